@@ -87,3 +87,20 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     else:
         raise RuntimeError("connected components did not settle")
     return e.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("component")).unionByName(e.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()).groupBy("id").agg(F.min("component").alias("component"))
+
+
+def map_stream(df: DataFrame, schema: str | T.StructType, run_rows: Callable[[Iterator[list[list]]], Iterator[tuple]], rows_per_batch: int = 4096) -> DataFrame:
+    """As :func:`map_rows`, but ``run_rows`` gets a whole task's batches as an iterator and may carry state from one to the next."""
+    out = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from itertools import batched
+
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        arrow = to_arrow_schema(out)
+        parts = ([c.to_pylist() for c in part.columns] for batch in batches for part in split_batch(batch))
+        for rows in batched(run_rows(parts), rows_per_batch):
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), arrow, strict=True)], schema=arrow)
+
+    return df.mapInArrow(run, out)

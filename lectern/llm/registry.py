@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lectern.llm.avi import op9_avi
 from lectern.llm.bpe import op6_bpe
+from lectern.llm.packing import op5_packing
+from lectern.llm.pii import op2_pii
 from lectern.llm.secrets import op8_secret_scan
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op6_bpe, op8_secret_scan)}
+    return {f.__name__: f for f in (op2_pii, op5_packing, op6_bpe, op8_secret_scan, op9_avi)}
 
 
 def oracle_sql() -> dict[str, str]:
