@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +27,14 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def importable(df: DataFrame) -> DataFrame:
+    """Let Python workers find this package where it isn't installed; on a cluster, ship it with --py-files."""
+    env, root = df.sparkSession.sparkContext.environment, str(Path(__file__).resolve().parents[2])
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH"), root]))
+    return df
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage: write ``df`` as Parquet to the shared folder and read it again."""
     spark = df.sparkSession
@@ -51,7 +61,7 @@ def map_rows(df: DataFrame, schema: str | T.StructType, make: Callable[[], Calla
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), arrow, strict=True)], schema=arrow)
 
-    return df.mapInArrow(run, out)
+    return importable(df).mapInArrow(run, out)
 
 
 def split_batch(batch: pa.RecordBatch, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
@@ -103,4 +113,4 @@ def map_stream(df: DataFrame, schema: str | T.StructType, run_rows: Callable[[It
         for rows in batched(run_rows(parts), rows_per_batch):
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), arrow, strict=True)], schema=arrow)
 
-    return df.mapInArrow(run, out)
+    return importable(df).mapInArrow(run, out)
