@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -39,7 +42,12 @@ def materialize(df: DataFrame) -> DataFrame:
     """Cut the lineage: write ``df`` as Parquet to the shared folder and read it again."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/lectern-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")  # what is written needs its shuffle files no longer
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
     return spark.read.schema(df.schema).parquet(path)
 
 

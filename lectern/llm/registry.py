@@ -14,10 +14,11 @@ from lectern.llm.pii import op2_pii
 from lectern.llm.resample import op1_quality
 from lectern.llm.secrets import op8_secret_scan
 from lectern.llm.simhash import op3_simhash
+from lectern.llm.substrings import op4_substrings
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_pii, op3_simhash, op5_packing, op6_bpe, op7_lm, op8_secret_scan, op9_avi)}
+    return {f.__name__: f for f in (op1_quality, op2_pii, op3_simhash, op4_substrings, op5_packing, op6_bpe, op7_lm, op8_secret_scan, op9_avi)}
 
 
 def oracle_sql() -> dict[str, str]:
