@@ -1,10 +1,40 @@
-"""Corpus pipeline: documents to packed training sequences."""
+"""Corpus pipeline: documents to packed training sequences.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as Parquet and read again as the next one's docs.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from lectern.llm.common import materialize, table
+from lectern.llm.packing import pack
+from lectern.llm.resample import resample
 from lectern.llm.secrets import redact_documents
+from lectern.llm.simhash import near_duplicates
+from lectern.llm.substrings import remove_repeats
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the importance sample takes; rows with a null id, which no draw tells apart, stay."""
+    kept = resample(docs, table(spark, sf_dir, "labels")).where("kept and doc_id is not null").select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi").unionByName(docs.where("doc_id is null"))
+
+
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, the one with the smallest id; of repeated rows all stay."""
+    kept = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
+    return docs.join(kept, "doc_id", "left_semi").unionByName(docs.where("doc_id is null"))
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that a document with a smaller id has too; a text that loses nothing stays as it is."""
+    changed = remove_repeats(docs).where("n_removed > 0").select("doc_id", "kept").dropDuplicates(["doc_id"])
+    joined = docs.join(changed, "doc_id", "left")
+    text = F.coalesce("kept", "text")
+    columns = {"text": text} | ({"n_chars": F.when(F.col("kept").isNotNull(), F.length("kept")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
+    return joined.select(*(columns[c].alias(c) if c in columns else c for c in docs.columns))
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -12,16 +42,25 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return redact_documents(docs)
 
 
-STAGES = [("secret_scan", secret_scan)]
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of training sequences with their ids."""
+    return pack(docs)
+
 
-#: Tokenisation and model fitting are beyond SQL.
+STAGES = [
+    ("quality classifier", quality_classifier),
+    ("simhash near-dedup", simhash_near_dedup),
+    ("substring dedup", substring_dedup),
+    ("secret scan", secret_scan),
+    ("packing", packing),
+]
+
+#: Fitted models, fingerprints and tokenisation are beyond SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from lectern.llm.common import materialize
-
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for i, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):

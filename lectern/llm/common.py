@@ -122,3 +122,16 @@ def map_stream(df: DataFrame, schema: str | T.StructType, run_rows: Callable[[It
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), arrow, strict=True)], schema=arrow)
 
     return importable(df).mapInArrow(run, out)
+
+
+def dealt_in_tiles(listed: DataFrame, keys: list[str], salt: str, tile: int) -> DataFrame:
+    """``listed`` without lists (rows of equal ``keys``) of one row, and with columns s, a, b: a list over ``tile`` rows is dealt by
+    ``salt`` into tiles, and each row goes to all pairs (a, b) of tiles that its own tile s is in, so that every two rows meet.
+
+    Rows are hashed by list and pair and sorted so within partitions. Rows of a list that fits come once, with s = a = b = 0.
+    """
+    sizes = listed.groupBy(*keys).agg(F.count(F.lit(1)).alias("size")).where("size > 1").select(*keys, F.ceil(F.col("size") / tile).cast("int").alias("tiles"))
+    own = listed.join(sizes, keys).withColumn("s", F.pmod(F.xxhash64(salt), F.col("tiles")).cast("int"))
+    pairs = own.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))).select(*listed.columns, "s", F.least("s", "o").alias("a"), F.greatest("s", "o").alias("b"))
+    n = int(listed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return pairs.repartition(n, *keys, "a", "b").sortWithinPartitions(*keys, "a", "b")

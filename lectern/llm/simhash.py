@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm.common import connected_components, map_rows, map_stream, materialize, table
+from lectern.llm.common import connected_components, dealt_in_tiles, map_rows, map_stream, materialize, table
 
 WORDS, SEED, MOST_BITS = 3, 42, 3
 SHARED = 8 - MOST_BITS
@@ -107,13 +107,8 @@ def edges(unique: DataFrame, tile: int = TILE) -> DataFrame:
     byte = [F.shiftrightunsigned("fp", 8 * k).bitwiseAND(255) for k in range(8)]
     key = lambda n, at: F.lit(n << 24) + sum((byte[p] * (1 << 8 * i) for i, p in enumerate(at)), F.lit(0).cast("long"))
     listed = unique.select("fp", "rep", F.explode(F.array(*(key(n, at) for n, at in enumerate(POSITIONS)))).alias("list"))
-    sizes = listed.groupBy("list").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("list", F.ceil(F.col("n") / tile).cast("int").alias("tiles"))
-    dealt = listed.join(sizes, "list").withColumn("s", F.pmod(F.xxhash64("fp"), F.col("tiles")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)).alias("o")
-    dealt = dealt.select("list", "fp", "rep", "s", other).select(F.col("list").cast("long"), F.least("s", "o").cast("long").alias("a"), F.greatest("s", "o").cast("long").alias("b"), "fp", "rep")
-    spark = unique.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return map_stream(dealt.repartition(n, "list", "a", "b").sortWithinPartitions("list", "a", "b"), "u long, v long", link)
+    dealt = dealt_in_tiles(listed, ["list"], "fp", tile).select("list", "a", "b", "fp", "rep")
+    return map_stream(dealt, "u long, v long", link)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
