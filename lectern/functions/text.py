@@ -45,18 +45,22 @@ def count_gaps(c: Column) -> Column:
     return F.regexp_count(c, F.lit(GAP))
 
 
-def between_gaps(c: Column, fill) -> Column:
-    """The text with its i-th gap (from 0) replaced by ``fill(i)``."""
-    parts = F.split(c, GAP, -1)
-    return F.array_join(F.transform(parts, lambda x, i: F.when(i < F.size(parts) - 1, F.concat(x, fill(i))).otherwise(x)), "")
+def between_gaps(c: Column, fills: Column) -> Column:
+    """The text with its i-th gap replaced by the i-th of ``fills``, which has one for each gap.
+
+    Both arrays are arguments of one zip, so each is made once a row, not once a gap.
+    """
+    return F.array_join(F.zip_with(F.split(c, GAP, -1), fills, lambda x, f: F.concat(F.coalesce(x, F.lit("")), F.coalesce(f, F.lit("")))), "")
 
 
 def number_gaps(c: Column) -> Column:
-    return between_gaps(c, lambda i: F.concat(F.lit(f"{GAP_MARK}("), (i + 1).cast("string"), F.lit(")")))
+    n = count_gaps(c)
+    marks = F.transform(F.sequence(F.lit(1), n), lambda i: F.concat(F.lit(f"{GAP_MARK}("), i.cast("string"), F.lit(")")))
+    return between_gaps(c, F.when(n > 0, marks).otherwise(F.array().cast("array<string>")))
 
 
 def fill_gaps(c: Column, answers: Column) -> Column:
-    return between_gaps(c, lambda i: F.coalesce(F.get(answers, i), F.lit("")))
+    return between_gaps(c, F.slice(F.coalesce(answers, F.array().cast("array<string>")), F.lit(1), count_gaps(c)))
 
 
 def enumerate_join(items: Column) -> Column:
