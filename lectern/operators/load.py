@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lectern.functions.enums import question_type
@@ -15,9 +14,8 @@ def question_doc_id(text: str) -> F.Column:
 
 
 def first_per_sentence(questions: DataFrame, order: list[str]) -> DataFrame:
-    """The first row of each sentence, whatever its type or level."""
-    w = W.partitionBy("sentence").orderBy(*order)
-    return questions.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    """The first row of each sentence, whatever its type or level; combined before the shuffle."""
+    return questions.groupBy(F.col("sentence").alias("_s")).agg(F.min_by(F.struct(*questions.columns), F.struct(*order)).alias("_x")).select("_x.*")
 
 
 def new_documents(questions: DataFrame, existing: DataFrame) -> DataFrame:

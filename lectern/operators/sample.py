@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 #: Questions per node, and per type in the review node.
 SINGLE = ("LISTENING", "SPEAKING")
+MOST = 10
 REVIEW_QUOTA = {"VOCAB": 4, "MATCHING": 4, "LISTENING": 1, "SPEAKING": 1}
 
 
@@ -18,32 +19,33 @@ def draw_key(id_: str | Column, seed: str | Column) -> Column:
 
 
 def quota(kind: Column) -> Column:
-    return F.when(kind.isin(*SINGLE), 1).otherwise(10)
+    return F.when(kind.isin(*SINGLE), 1).otherwise(MOST)
 
 
 def per_node(q: DataFrame, nodes: DataFrame, seed: str) -> DataFrame:
     """(tree_id, node_id, node_type, id, question_type, level_id, rn): up to a node's quota of the questions of its level."""
     own = nodes.where("node_type <> 'REVIEW'").select(F.col("id").alias("node_id"), F.col("skill_tree_id").alias("tree_id"), "node_type", "level_id", "order_index")
     ranked = q.join(own, ["node_id", "level_id"]).withColumn("rn", F.row_number().over(W.partitionBy("node_id").orderBy(draw_key("id", seed), "id")))
-    return ranked.where(F.col("rn") <= quota(F.col("node_type"))).select("tree_id", "node_id", "node_type", "id", "question_type", "level_id", "rn")
+    # the plain bound lets each task cut its nodes' questions before the shuffle
+    return ranked.where(F.col("rn") <= MOST).where(F.col("rn") <= quota(F.col("node_type"))).select("tree_id", "node_id", "node_type", "id", "question_type", "level_id", "rn")
 
 
 def review(q: DataFrame, nodes: DataFrame, drawn: DataFrame, seed: str) -> DataFrame:
     """Questions for each tree's review node: of its level, not drawn for the tree, of types whose own node got some.
 
-    A tree and type needs at most quota + drawn candidates, so a level's questions are cut to its first (quota + most drawn in a
-    tree) per type before they meet the trees: rows grow with trees, not with trees times questions.
+    A tree and type needs at most quota + drawn candidates. A tree draws ``MOST`` for each of its nodes at most, so a level's
+    questions are cut to that many per type, in each task before the shuffle, and only then meet the trees: rows grow with trees,
+    not with trees times questions.
     """
     target = nodes.where("node_type = 'REVIEW'").groupBy(F.col("skill_tree_id").alias("tree_id"), "level_id").agg(F.min("id").alias("node_id"))
     gate = drawn.select("tree_id", F.col("node_type").alias("question_type")).distinct()
     wants = target.join(gate, "tree_id").where(F.col("question_type").isin(*REVIEW_QUOTA))
-    most = drawn.groupBy("tree_id", "question_type").agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.max("n"), F.lit(0)).alias("most"))
+    most = MOST * (nodes.where("node_type <> 'REVIEW'").groupBy("skill_tree_id").count().agg(F.max("count")).first()[0] or 0)
     size = F.lit(0)
     for kind, n in REVIEW_QUOTA.items():
         size = F.when(F.col("question_type") == kind, n).otherwise(size)
     w = W.partitionBy("level_id", "question_type").orderBy(draw_key("id", seed), "id")
-    pool = q.select("id", "level_id", "question_type").withColumn("place", F.row_number().over(w)).crossJoin(F.broadcast(most))  # one row
-    pool = pool.where(F.col("place") <= size + F.col("most")).drop("most")
+    pool = q.select("id", "level_id", "question_type").withColumn("place", F.row_number().over(w)).where(F.col("place") <= max(REVIEW_QUOTA.values()) + most)
     open_ = pool.join(wants, ["level_id", "question_type"]).join(drawn.select("tree_id", "id"), ["tree_id", "id"], "left_anti")
     ranked = open_.withColumn("rn", F.row_number().over(W.partitionBy("tree_id", "question_type").orderBy("place")))
     return ranked.where(F.col("rn") <= size).select("tree_id", "node_id", F.lit("REVIEW").alias("node_type"), "id", "question_type", "level_id", "rn")
