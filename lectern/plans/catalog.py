@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import enums, text, urls
 from lectern.operators import assign, consolidate, export, extract, firstseen, load, report, sample, sinks, stats
-from lectern.plans.bind import STORE, few, nodes, questions, read, trees
+from lectern.plans.bind import STORE, listening, nodes, questions, read, trees
 
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
@@ -134,9 +134,9 @@ def gap_fill(spark, d):
     return docs(spark, d).select("doc_id", text.fill_gaps(gapped(), F.expr("regexp_extract_all(text, '([a-z]{7,})', 1)")).alias("filled"))
 
 
-@query("SELECT doc_id, array_to_string(list_transform(regexp_extract_all(text, '[a-z]{9,}')[1:5], lambda x, i: i || ':' || x), ' | ') AS answers FROM documents")
+@query("SELECT doc_id, array_to_string(list_transform(regexp_extract_all(text, '[a-z]{9,}'), lambda x, i: i || ':' || x), ' | ') AS answers FROM documents")
 def array_enumerate_join(spark, d):
-    return docs(spark, d).select("doc_id", text.enumerate_join(F.slice(F.expr("regexp_extract_all(text, '([a-z]{9,})', 1)"), 1, 5)).alias("answers"))
+    return docs(spark, d).select("doc_id", text.enumerate_join(F.expr("regexp_extract_all(text, '([a-z]{9,})', 1)")).alias("answers"))
 
 
 @query("SELECT doc_id, array_to_string(list_filter(list_transform(string_split(text, '.'), lambda x: trim(x, chr(10) || ' ')), lambda x: x <> ''), '#') AS parts FROM documents")
@@ -255,13 +255,13 @@ def node_id_lookup(spark, d):
 
 # ---- validation
 
-FIRST_FAILURE = "CASE WHEN doc_id % 11 = 0 THEN 'MISSING_AUDIO' WHEN n_chars < 300 THEN 'MISSING_ANSWERS' WHEN lang = 'fr' THEN 'ANSWER_COUNT_MISMATCH(gaps:' || (doc_id % 5) || ',answers:' || (doc_id % 7) || ')' END"
+FIRST_FAILURE = "CASE WHEN source = 'src3' THEN 'MISSING_AUDIO' WHEN n_chars < 300 THEN 'MISSING_ANSWERS' WHEN lang = 'fr' THEN 'ANSWER_COUNT_MISMATCH(gaps:' || (doc_id % 5) || ',answers:' || (doc_id % 7) || ')' END"
 
 
 @query(f"SELECT doc_id, {FIRST_FAILURE} AS reason FROM documents")
 def validate_first_failure(spark, d):
     mismatch = F.format_string("ANSWER_COUNT_MISMATCH(gaps:%d,answers:%d)", F.col("doc_id") % 5, F.col("doc_id") % 7)
-    reason = extract.first_reason((F.col("doc_id") % 11 == 0, "MISSING_AUDIO"), (F.col("n_chars") < 300, "MISSING_ANSWERS"), (F.col("lang") == "fr", mismatch))
+    reason = extract.first_reason((F.col("source") == "src3", "MISSING_AUDIO"), (F.col("n_chars") < 300, "MISSING_ANSWERS"), (F.col("lang") == "fr", mismatch))
     return docs(spark, d).select("doc_id", reason.alias("reason"))
 
 
@@ -374,14 +374,14 @@ def round_robin_assign(spark, d):
 
 
 LOADED = """WITH r AS (SELECT doc_id, text, lang, source, ROW_NUMBER() OVER (PARTITION BY text ORDER BY doc_id) AS rn FROM documents)
-SELECT sha256(text) AS mongo_question_id, doc_id % 5 AS node_id, 1 AS level_id, upper(lang) AS question_type, source AS correct_answer FROM r WHERE rn = 1 AND text NOT IN (SELECT text FROM documents WHERE doc_id % 10 = 0)"""
+SELECT sha256(text) AS mongo_question_id, doc_id % 5 AS node_id, 1 AS level_id, upper(lang) AS question_type, source AS correct_answer FROM r WHERE rn = 1 AND text NOT IN (SELECT text FROM documents WHERE lang = 'de')"""
 
 
 @query(LOADED)
 def load_insert_new(spark, d):
-    """One document in ten is in the store already."""
+    """The German documents are in the store already."""
     rows = docs(spark, d).select("doc_id", F.col("text").alias("sentence"), F.lit("a|b").alias("options"), F.col("source").alias("answer"), F.lit("easy").alias("difficulty"), F.col("lang").alias("question_type"), F.lit("").alias("audio_url"), (F.col("doc_id") % 5).alias("node_id"), F.lit(1).alias("level_id"))
-    known = rows.where("doc_id % 10 = 0")
+    known = rows.where("question_type = 'de'")
     facts = known.select(load.question_doc_id("sentence").alias("mongo_question_id"))
     return load.load_new(rows, known.select(F.col("sentence").alias("question_text")), facts, ["doc_id"])[1]
 
@@ -393,9 +393,9 @@ def load_documents(spark, d):
     return made.select("_id", "explanation", F.size("distractors").alias("n_options"), F.col("metadata")["audio_url"].alias("audio_url"))
 
 
-@query("SELECT doc_id FROM documents WHERE text NOT IN (SELECT text FROM documents WHERE doc_id % 10 = 0)")
+@query("SELECT doc_id FROM documents WHERE text NOT IN (SELECT text FROM documents WHERE lang = 'de')")
 def anti_join_new(spark, d):
-    known = docs(spark, d).where("doc_id % 10 = 0").select("text")
+    known = docs(spark, d).where("lang = 'de'").select("text")
     return docs(spark, d).join(known, "text", "left_anti").select("doc_id")
 
 
@@ -405,10 +405,10 @@ def anti_join_used(spark, d):
     return read(spark, d, "orders").join(used, "o_orderkey", "left_anti").select("o_orderkey")
 
 
-@query("SELECT o.o_orderkey AS id, coalesce(c.c_name, '') AS question_text, coalesce(c.c_mktsegment, '') AS audio_url FROM orders o LEFT JOIN (SELECT * FROM customer WHERE c_custkey % 3 > 0) c ON o.o_custkey = c.c_custkey")
+@query("SELECT o.o_orderkey AS id, coalesce(c.c_name, '') AS question_text, coalesce(c.c_mktsegment, '') AS audio_url FROM orders o LEFT JOIN (SELECT * FROM customer WHERE c_mktsegment <> 'BUILDING') c ON o.o_custkey = c.c_custkey")
 def enrich_left_join(spark, d):
-    """Documents for two customers in three; defaults for the others."""
-    doc = read(spark, d, "customer").where("c_custkey % 3 > 0").select(F.col("c_custkey").cast("string").alias("_id"), F.col("c_name").alias("question_text"), F.array("c_name").alias("distractors"), F.create_map(F.lit("audio_url"), "c_mktsegment").alias("metadata"))
+    """Customers of one segment have no document and get defaults."""
+    doc = read(spark, d, "customer").where("c_mktsegment <> 'BUILDING'").select(F.col("c_custkey").cast("string").alias("_id"), F.col("c_name").alias("question_text"), F.array("c_name").alias("distractors"), F.create_map(F.lit("audio_url"), "c_mktsegment").alias("metadata"))
     facts = read(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").cast("string").alias("mongo_question_id"), F.lit("x").alias("correct_answer"))
     return sample.enrich(facts.select("id"), facts, doc).select("id", "question_text", "audio_url")
 
@@ -457,13 +457,13 @@ def count_node_type_by_level(spark, d):
 @query(STORE + "SELECT level_id, skill, CAST(SUM(total) AS BIGINT) AS total FROM per_node GROUP BY 1, 2")
 def skill_by_level_left_join(spark, d):
     q, n, t = store(spark, d)
-    return stats.skill_by_level(few(q), n, t)
+    return stats.skill_by_level(listening(q), n, t)
 
 
 @query(STORE + "SELECT * FROM per_node")
 def node_by_level_with_skill(spark, d):
     q, n, t = store(spark, d)
-    return stats.node_by_level_with_skill(few(q), n, t)
+    return stats.node_by_level_with_skill(listening(q), n, t)
 
 
 @query(STORE + "SELECT node_type AS skill, question_type, COUNT(*) AS total FROM q JOIN nodes n ON q.node_id = n.id GROUP BY 1, 2")
@@ -501,37 +501,37 @@ def label_format(spark, d):
 @query(STORE + "SELECT level_id, CAST(SUM(CASE WHEN skill = 'VOCAB' THEN total ELSE 0 END) AS BIGINT) AS \"VOCAB\", CAST(SUM(CASE WHEN skill = 'LISTENING' THEN total ELSE 0 END) AS BIGINT) AS \"LISTENING\", CAST(SUM(CASE WHEN skill = 'MATCHING' THEN total ELSE 0 END) AS BIGINT) AS \"MATCHING\" FROM per_node GROUP BY 1")
 def pivot_skill_level(spark, d):
     q, n, t = store(spark, d)
-    return stats.skill_pivot(stats.skill_by_level(few(q), n, t), ["VOCAB", "LISTENING", "MATCHING"])
+    return stats.skill_pivot(stats.skill_by_level(listening(q), n, t), ["VOCAB", "LISTENING", "MATCHING"])
 
 
-@query(STORE + "SELECT l.level_id, s.skill, round(coalesce(c.total, 0) * 100.0 / l.base, 2) AS percent FROM (SELECT level_id, COUNT(*) AS base FROM few GROUP BY 1) l CROSS JOIN (SELECT DISTINCT skill FROM per_node WHERE skill <> 'REVIEW') s LEFT JOIN (SELECT level_id, skill, SUM(total) AS total FROM per_node GROUP BY 1, 2) c ON c.level_id = l.level_id AND c.skill = s.skill")
+@query(STORE + "SELECT l.level_id, s.skill, round(coalesce(c.total, 0) * 100.0 / l.base, 2) AS percent FROM (SELECT level_id, COUNT(*) AS base FROM listening GROUP BY 1) l CROSS JOIN (SELECT DISTINCT skill FROM per_node WHERE skill <> 'REVIEW') s LEFT JOIN (SELECT level_id, skill, SUM(total) AS total FROM per_node GROUP BY 1, 2) c ON c.level_id = l.level_id AND c.skill = s.skill")
 def skill_ratio_by_level(spark, d):
     q, n, t = store(spark, d)
-    return stats.skill_ratio(few(q), n, t)
+    return stats.skill_ratio(listening(q), n, t)
 
 
 @query(STORE + "SELECT skill, MIN(total) AS min, round(median(total), 2) AS median, MAX(total) AS max, round(stddev_pop(total), 2) AS std, round(avg(total), 2) AS mean, round(CASE WHEN avg(total) > 0 THEN stddev_pop(total) / avg(total) ELSE 0 END, 4) AS balance_score FROM per_node WHERE skill <> 'REVIEW' GROUP BY 1")
 def balance_by_skill(spark, d):
     q, n, t = store(spark, d)
-    return stats.balance_by_skill(stats.node_by_level_with_skill(few(q), n, t))
+    return stats.balance_by_skill(stats.node_by_level_with_skill(listening(q), n, t))
 
 
 @query(STORE + "SELECT l.level_id, coalesce(round(CASE WHEN s.mean > 0 THEN s.std / s.mean ELSE 0 END, 4), 0) AS balance_score FROM (SELECT DISTINCT level_id FROM q) l LEFT JOIN (SELECT level_id, avg(total) AS mean, stddev_pop(total) AS std FROM per_node WHERE skill <> 'REVIEW' GROUP BY 1) s ON s.level_id = l.level_id")
 def balance_by_level(spark, d):
     q, n, t = store(spark, d)
-    return stats.balance_by_level(stats.node_by_level_with_skill(few(q), n, t), q.select("level_id").distinct())
+    return stats.balance_by_level(stats.node_by_level_with_skill(listening(q), n, t), q.select("level_id").distinct())
 
 
 @query(STORE + "SELECT level_id, COUNT(*) AS total_nodes, round(COUNT_IF(total > 1) * 100.0 / COUNT(*), 2) AS above_lower_bound_percent, round(COUNT_IF(total < 3) * 100.0 / COUNT(*), 2) AS below_upper_bound_percent FROM per_node WHERE skill <> 'REVIEW' GROUP BY 1")
 def node_coverage(spark, d):
     q, n, t = store(spark, d)
-    return stats.node_coverage(stats.node_by_level_with_skill(few(q), n, t), q.select("level_id").distinct(), 1, 3)
+    return stats.node_coverage(stats.node_by_level_with_skill(listening(q), n, t), q.select("level_id").distinct(), 1, 3)
 
 
 @query(STORE + "SELECT level_id, 'Node ' || node_id || ' - ' || skill AS label, total, order_index FROM per_node WHERE skill <> 'REVIEW'")
 def chart_node_distribution(spark, d):
     q, n, t = store(spark, d)
-    return stats.charts(few(q), n, t)["node-distribution"]
+    return stats.charts(listening(q), n, t)["node-distribution"]
 
 
 @query(STORE + "SELECT node_type || ' - ' || question_type AS label, COUNT(*) AS total FROM q JOIN nodes n ON q.node_id = n.id WHERE node_type <> 'REVIEW' GROUP BY 1")
