@@ -257,13 +257,13 @@ def inverse_dct() -> np.ndarray:
     """(zigzag coefficient, pixel) weights of the 8 x 8 inverse cosine transform."""
     x = np.arange(8)
     c = np.cos((2 * x[None, :] + 1) * x[:, None] * np.pi / 16) * np.where(x == 0, np.sqrt(1 / 8), np.sqrt(1 / 4))[:, None]
-    return np.einsum("ux,vy->uvxy", c, c).reshape(64, 64)[ZIGZAG].astype(np.float32)
+    return np.einsum("ux,vy->uvxy", c, c).reshape(64, 64)[ZIGZAG]
 
 
 def histograms(coefs: np.ndarray) -> np.ndarray:
     """(frames, BINS) shares of brightness of the decoded pixels."""
     n = len(coefs)
-    pixels = coefs.reshape(-1, 64).astype(np.float32) @ inverse_dct() + 128
+    pixels = coefs.reshape(-1, 64).astype(float) @ inverse_dct() + (128 + 1e-6)  # whole values stay whole under rounding
     level = np.clip(pixels, 0, 255).astype(np.int32) * BINS // 256
     flat = level.reshape(n, -1) + BINS * np.arange(n)[:, None]
     return np.bincount(flat.ravel(), minlength=n * BINS).reshape(n, BINS) / (coefs.shape[1] * 64)
