@@ -17,9 +17,9 @@ from pyspark.sql import types as T
 
 from lectern.llm.common import importable
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 #: Distinct keys of this many blocks meet in one bucket, about.
-BLOCKS_PER_BUCKET = 4
+BLOCKS_PER_BUCKET = 16
 
 
 def with_block(docs: DataFrame) -> tuple[DataFrame, int, int, int]:

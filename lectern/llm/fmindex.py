@@ -78,7 +78,7 @@ class FmIndex:
         self.first = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=top + 1))])
         self.tree = WaveletTree(text[self.order - 1], top)
 
-    def search(self, patterns: np.ndarray, alone: bool = False, batch: int = 1 << 16) -> tuple[np.ndarray, np.ndarray]:
+    def search(self, patterns: np.ndarray, alone: bool = False, batch: int = 1 << 15) -> tuple[np.ndarray, np.ndarray]:
         """Suffix intervals [lo, hi) of equally long patterns (n, length), by backward search, all rows at a time.
 
         ``alone``: stop at intervals of one; their pattern, if known to occur, occurs once.

@@ -17,7 +17,6 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -25,23 +24,16 @@ from pyspark.sql import DataFrame, SparkSession
 from lectern.llm.blocks import BLOCKS_PER_BUCKET, dealt, joined, per_group, per_pair, with_block
 from lectern.llm.common import materialize, table
 from lectern.llm.fmindex import FmIndex
-from lectern.llm.lm import word_keys
+from lectern.llm.words import TO_SPACE, hashed, of_texts
 
 WINDOW, GRAM = 13, 5
 HOT = 4096
+#: A shard gets the shared runs of as much text as this many blocks have, about.
+BLOCKS_PER_SHARD = 4
 #: Rows without an id come after all others.
 LAST = (1 << 63) - 1
 
 
-def tokens_of(texts: list[str | None]) -> tuple[list[list[bytes]], np.ndarray, np.ndarray]:
-    """Words of each text (none for a null), a 64-bit hash of each word in turn, and the numbers of words."""
-    words = [(t or "").encode().split() for t in texts]
-    distinct = list(dict.fromkeys(chain.from_iterable(words)))
-    at = dict(zip(distinct, word_keys(distinct).tolist(), strict=True))
-    sizes = np.array([len(w) for w in words], np.int64)
-    return words, np.fromiter(map(at.__getitem__, chain.from_iterable(words)), np.uint64, int(sizes.sum())), sizes
-
-
 def grams(h: np.ndarray, k: int) -> np.ndarray:
     x = np.zeros(max(0, len(h) - k + 1), np.uint64)
     for j in range(k):
@@ -74,7 +66,7 @@ def shared_anchors(blocked: DataFrame, blocks: int) -> DataFrame:
     buckets = max(1, blocks // BLOCKS_PER_BUCKET)
 
     def ask(group: dict) -> Iterator[tuple]:
-        _, h, sizes = tokens_of(group["text"])
+        _, _, _, h, sizes = of_texts(group["text"])
         _, place, g = anchors(h, sizes)
         place = np.unique(place)
         owner = np.repeat(np.arange(len(sizes)), sizes)[place]
@@ -108,7 +100,8 @@ def runs(blocked: DataFrame, shared: DataFrame, shards: int, hot: int) -> DataFr
     def cut(left: dict, right: dict) -> Iterator[tuple]:
         if not left["doc_id"] or not right["keys"]:
             return
-        words, h, sizes = tokens_of(left["text"])
+        raw, first_byte, end_byte, h, sizes = of_texts(left["text"])
+        raw = raw.translate(TO_SPACE)
         start, place, g = anchors(h, sizes)
         keys, counts = joined(right["keys"]), joined(right["values"], np.int32)
         order = np.argsort(keys)
@@ -128,7 +121,6 @@ def runs(blocked: DataFrame, shared: DataFrame, shards: int, hot: int) -> DataFr
         single = often[first]
         if single.any():
             key[single] = grams(h, WINDOW)[begin[single]]
-        flat = list(chain.from_iterable(words))
         offsets = np.concatenate([[0], np.cumsum(sizes)])
         owner = np.searchsorted(offsets, begin, side="right") - 1
         ids = np.array([LAST if i is None else i for i in left["doc_id"]], np.int64)[owner]
@@ -136,34 +128,41 @@ def runs(blocked: DataFrame, shared: DataFrame, shards: int, hot: int) -> DataFr
         shard = (key % np.uint64(shards)).astype(np.int64)
         order = np.argsort(shard, kind="stable")
         cuts = [0, *(np.flatnonzero(np.diff(shard[order])) + 1).tolist(), len(order)]
-        begin, end, local = begin.tolist(), end.tolist(), begin - offsets[owner]
+        local = begin - offsets[owner]
+        begin, end = first_byte[begin].tolist(), end_byte[end - 1].tolist()
         for s, e in zip(cuts, cuts[1:], strict=False):
             some = order[s:e]
             seen: dict[bytes, int] = {}
-            which = np.array([seen.setdefault(b" ".join(flat[begin[i] : end[i]]), len(seen)) for i in some.tolist()], np.int32)
+            which = np.array([seen.setdefault(single_spaced(raw[begin[i] : end[i]]), len(seen)) for i in some.tolist()], np.int32)
             yield int(shard[some[0]]), left["block"][0], zlib.compress(b"\n".join(seen), 1), which.tobytes(), ids[some].tobytes(), texts[some].tobytes(), local[some].astype(np.int32).tobytes()
 
     return per_pair(blocked, shared, "block", "shard int, block int, words binary, run binary, doc binary, text binary, start binary", cut)
 
 
+def single_spaced(raw: bytes) -> bytes:
+    return b" ".join(raw.split()) if b"  " in raw else raw
+
+
 def text_key(text: str | None) -> int:
     import xxhash
 
     return xxhash.xxh64_intdigest((text or "").encode()) >> 1
 
 
-def first_documents(found: list[list[bytes]], docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each window of each run (words), the least document that has it; and where each run's windows begin in that list.
+def first_documents(found: list[bytes], docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each window of each run (words, single-spaced), the least document that has it; and where each run's windows begin in
+    that list.
 
     ``docs``: the least document of each run.
     """
-    sizes = np.array([len(r) for r in found], np.int64)
+    raw = b"\n".join([*found, b""])
+    first_byte, _, hashes = hashed(raw)
+    sizes = np.diff(np.searchsorted(first_byte, np.concatenate([[0], np.cumsum([len(r) + 1 for r in found])])))
     windows = sizes - WINDOW + 1
     begin = np.concatenate([[0], np.cumsum(windows)])
-    distinct = list(dict.fromkeys(chain.from_iterable(found)))
-    at = dict(zip(distinct, range(len(distinct)), strict=True))
-    word = np.fromiter(map(at.__getitem__, chain.from_iterable(found)), np.int64, int(sizes.sum()))
-    often = np.bincount(word, minlength=len(distinct))
+    word = np.unique(hashes, return_inverse=True)[1]
+    del raw, first_byte, hashes
+    often = np.bincount(word)
     # symbol 0 parts runs, 1 stands for the words that occur once: their windows are alone
     symbol = np.where(often > 1, np.cumsum(often > 1) + 1, 1)[word]
     text = np.zeros(len(symbol) + len(found), np.int64)
@@ -204,7 +203,7 @@ def report(sent: DataFrame) -> DataFrame:
         text, start = joined(group["text"], np.int64), joined(group["start"], np.int32)
         docs = np.full(len(number), LAST, np.int64)
         np.minimum.at(docs, run, doc)
-        least, begin = first_documents([r.split(b" ") for r in number], docs)
+        least, begin = first_documents(list(number), docs)
         mask = np.zeros(len(run), np.int32)
         many = begin[run + 1] - begin[run]
         for j in range(int(many.max())):
@@ -244,7 +243,7 @@ def reported(docs: DataFrame, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
     """Blocks (doc_id, text, block) and what to remove from each."""
     blocked, blocks, _, _ = with_block(docs)
     shared = shared_anchors(blocked, blocks)
-    return blocked, report(runs(blocked, shared, max(1, blocks // BLOCKS_PER_BUCKET), hot))
+    return blocked, report(runs(blocked, shared, max(1, blocks // BLOCKS_PER_SHARD), hot))
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
