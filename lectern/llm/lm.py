@@ -15,7 +15,6 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +22,7 @@ from pyspark.sql import functions as F
 
 from lectern.llm.blocks import BLOCKS_PER_BUCKET, dealt, joined, per_group, per_pair, with_block
 from lectern.llm.common import map_stream, materialize, table
+from lectern.llm.words import of_texts
 
 #: A frequent word makes up 1 / FREQUENT of twice the bytes and rows at least; a token takes two bytes or a row, so there are at most FREQUENT / 2.
 FREQUENT = 1 << 18
@@ -32,8 +32,8 @@ MIX = 0.4
 SEGMENT_BITS = 1 << 23
 BITS_PER_ENTRY, PROBES = 10, 7
 LEVELS_PER_DOUBLING = 2
-#: The end token's key, of bytes that no word has.
-END = b" "
+#: The end token's key.
+END = np.uint64(0x0E4D)
 
 
 def is_held_out(doc_id: int | None) -> bool:
@@ -41,27 +41,17 @@ def is_held_out(doc_id: int | None) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % 10 == 0
 
 
-def word_keys(words: list[bytes]) -> np.ndarray:
-    import xxhash
-
-    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-
-
 def tokenised(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct keys (sorted), token indices into them, and each text's number of tokens; a null text has its end only."""
-    words = [(t or "").encode().lower().split() for t in texts]
-    distinct = list(dict.fromkeys(chain.from_iterable(words)))
-    distinct.append(END)
-    keys = word_keys(distinct)
-    order = np.argsort(keys, kind="stable")
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.arange(len(order))
-    at = dict(zip(distinct, rank.tolist(), strict=True))
-    for w in words:
-        w.append(END)
-    sizes = np.array([len(w) for w in words], np.int64)
-    tokens = np.fromiter(map(at.__getitem__, chain.from_iterable(words)), np.int64, int(sizes.sum()))
-    return keys[order], tokens, sizes
+    _, _, _, hashes, sizes = of_texts(texts, lower=True)
+    sizes = sizes + 1
+    ends = np.cumsum(sizes) - 1
+    every = np.empty(int(sizes.sum()), np.uint64)
+    word = np.ones(len(every), bool)
+    word[ends] = False
+    every[word], every[ends] = hashes, END
+    keys, tokens = np.unique(every, return_inverse=True)
+    return keys, tokens, sizes
 
 
 def mixed(codes: np.ndarray, level: int) -> np.ndarray:
@@ -220,7 +210,7 @@ def score(docs: DataFrame) -> DataFrame:
     order = np.argsort(frequent)
     frequent, counts = frequent[order], counts[order]
     pairs = pair_filter(docs, frequent, n, blocks)
-    begin_count = int(counts[np.searchsorted(frequent, word_keys([END])[0])]) if len(frequent) and word_keys([END])[0] in frequent else 0
+    begin_count = int(counts[frequent == END].sum())
     shared = docs.sparkSession.sparkContext.broadcast((frequent, np.append(counts, begin_count).astype(float), pairs))
 
     def rate(left: dict, right: dict) -> Iterator[tuple]:
