@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Bytes of an Arrow batch, at most: they are held by the JVM and the worker.
+BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -31,7 +33,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def importable(df: DataFrame) -> DataFrame:
-    """Let Python workers find this package where it isn't installed; on a cluster, ship it with --py-files."""
+    """Let Python workers find this package where it isn't installed (on a cluster, ship it with --py-files), and get small batches."""
+    df.sparkSession.conf.set(BATCH, str(BATCH_BYTES))
     env, root = df.sparkSession.sparkContext.environment, str(Path(__file__).resolve().parents[2])
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH"), root]))
@@ -72,7 +75,7 @@ def map_rows(df: DataFrame, schema: str | T.StructType, make: Callable[[], Calla
     return importable(df).mapInArrow(run, out)
 
 
-def split_batch(batch: pa.RecordBatch, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def split_batch(batch: pa.RecordBatch, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of about ``most`` bytes, so that long texts don't add up in a worker."""
     if not batch.num_rows:
         return
