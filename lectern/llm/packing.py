@@ -31,7 +31,7 @@ SENTENCE, INSIDE, SEQUENCE = 4, 40, 16
 STEP = 64
 #: Tokens that are packed at a time; the last window of a chunk is packed again with the next one.
 CHUNK = 1 << 18
-CACHE = 150_000
+CACHE = 250_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 

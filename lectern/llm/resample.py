@@ -25,7 +25,7 @@ LABELLED = 20_000
 #: Added to both counts, on the target's scale.
 SMOOTHING = 20.0
 SEED = 17
-CACHE = 100_000
+CACHE = 200_000
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 
 _words: dict[str, bytes] = {}
