@@ -12,7 +12,7 @@ from lectern.llm.common import materialize, table
 from lectern.llm.packing import pack
 from lectern.llm.resample import resample
 from lectern.llm.secrets import redact_documents
-from lectern.llm.simhash import near_duplicates
+from lectern.llm.shingles import near_duplicates
 from lectern.llm.substrings import remove_repeats
 
 
@@ -23,7 +23,8 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest id; of repeated rows all stay."""
+    """One document of each group of near-duplicates (five-word shingles, Jaccard similarity of 0.8 or more), the one with the smallest
+    id; of repeated rows all stay."""
     kept = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
     return docs.join(kept, "doc_id", "left_semi").unionByName(docs.where("doc_id is null"))
 

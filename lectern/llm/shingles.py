@@ -1,0 +1,119 @@
+"""Near-duplicates by the Jaccard similarity of word shingles: min-hash bands choose candidates, whole shingle sets verify them.
+
+At similarity s, two sets agree in one of ``BANDS`` bands of ``ROWS`` min-hashes with probability 1 - (1 - s ** ROWS) ** BANDS:
+0.9998 at 0.8. Equal sets are folded first. Only members of lists that have company carry their sets; a list yields a forest.
+"""
+
+from __future__ import annotations
+
+import hashlib
+from collections.abc import Iterator
+
+import numpy as np
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from lectern.llm.common import connected_components, dealt_in_tiles, map_rows, map_stream, materialize
+from lectern.llm.itq import grouped
+from lectern.llm.words import mix, of_texts
+
+WORDS, LEAST = 5, 0.8
+BANDS, ROWS = 16, 4
+TILE = 4096
+_factors = np.random.default_rng(7).integers(0, 1 << 63, (BANDS * ROWS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
+def shingle_sets(texts: list[str | None], words: int) -> Iterator[np.ndarray]:
+    """Each text's distinct shingle hashes, sorted; a text of fewer words is one shingle, as is one without words."""
+    _, _, _, hashes, sizes = of_texts(texts, lower=True)
+    at = 0
+    for n in sizes.tolist():
+        own, at = hashes[at : at + n], at + n
+        k = min(n, words)
+        h = np.full(max(1, n - k + 1), k, np.uint64)
+        for i in range(k):
+            h = mix(h * _STEP + own[i : i + len(h)])
+        yield np.unique(h)
+
+
+def digest(own: np.ndarray) -> bytes:
+    return hashlib.blake2b(own.tobytes(), digest_size=16).digest()
+
+
+def bands(own: np.ndarray) -> list[int]:
+    """One key a band."""
+    least = np.full(BANDS * ROWS, np.iinfo(np.uint64).max)
+    for at in range(0, len(own), 2048):
+        np.minimum(least, (own[at : at + 2048] * _factors).min(axis=1), out=least)
+    key = np.arange(BANDS, dtype=np.uint64)
+    for row in least.reshape(BANDS, ROWS).T:
+        key = mix(key * _STEP + row)
+    return key.view(np.int64).tolist()
+
+
+def links_within(rep: list[int], sets: list[np.ndarray], least: float) -> Iterator[tuple[int, int]]:
+    """A forest (rep, rep of its root) over the members that verified pairs connect."""
+    size = np.array([len(s) for s in sets])
+    starts = np.concatenate([[0], np.cumsum(size)[:-1]])
+    values, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    left = np.ones(len(sets), bool)
+    for root in range(len(sets)):
+        front = [root] if left[root] else []
+        left[root] = False
+        while front and left.any():
+            i = front.pop()
+            has = np.zeros(len(values), bool)
+            has[ids[starts[i] : starts[i] + size[i]]] = True
+            both = np.add.reduceat(has[ids], starts, dtype=np.int64)
+            found = np.flatnonzero(left & (both >= least * (size + size[i] - both) - 1e-9)).tolist()
+            left[found] = False
+            front += found
+            for j in found:
+                yield rep[j], rep[root]
+
+
+def near_duplicates(docs: DataFrame, words: int = WORDS, least: float = LEAST, tile: int = TILE) -> DataFrame:
+    """(doc_id, component_id) for every row of ``docs`` (doc_id, text); other columns are not read.
+
+    Documents whose sets of ``words``-word shingles have a Jaccard similarity of ``least`` or more are linked; component_id is the
+    smallest doc_id that links reach, the row's own included. Words are split and lowered as bytes (ASCII). Null, empty and blank
+    texts equal each other. Repeated rows give repeated rows. Rows with a null id get their component all the same, null where
+    nothing else is linked. An empty table gives no rows.
+    """
+
+    def printed():
+        def rows(cols: list[list]) -> Iterator[tuple]:
+            for i, own in zip(cols[0], shingle_sets(cols[1], words), strict=True):
+                yield i, digest(own), bands(own)
+
+        return rows
+
+    def whole():
+        def rows(cols: list[list]) -> Iterator[tuple]:
+            for own in shingle_sets(cols[0], words):
+                yield digest(own), own.tobytes()
+
+        return rows
+
+    def link(batches: Iterator[list[list]]) -> Iterator[tuple]:
+        for _, group in grouped(batches, 3):
+            if len(group) > 1:
+                reps, blobs = zip(*group, strict=True)
+                yield from links_within(list(reps), [np.frombuffer(b, np.uint64) for b in blobs], least)
+
+    prints = materialize(map_rows(docs.select("doc_id", "text"), "doc_id long, digest binary, bands array<long>", printed))
+    unique = materialize(prints.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")))
+    listed = unique.where("rep is not null").select("digest", "rep", F.explode("bands").alias("list"))
+    # of lists with the same members one is enough
+    sums = listed.groupBy("list").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("low"), F.max("rep").alias("high"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("sum"))
+    lists = sums.where("n > 1").groupBy("n", "low", "high", "sum").agg(F.min("list").alias("list")).select("list")
+    shared = materialize(listed.join(lists, "list"))
+    # a rep's id may belong to rows of other texts too, so sets are found again by their digest
+    again = docs.join(shared.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select("text")
+    sets = map_rows(again, "digest binary, shingles binary", whole).dropDuplicates(["digest"])
+    members = shared.join(sets, "digest").select("list", "rep", "shingles")
+    dealt = dealt_in_tiles(members, ["list"], "rep", tile).select("list", "a", "b", "rep", "shingles")
+    parts = connected_components(map_stream(dealt, "u long, v long", link))
+    named = unique.join(parts, unique.rep == parts.id, "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
+    return prints.join(named, "digest").select("doc_id", "component_id")
