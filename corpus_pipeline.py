@@ -30,9 +30,12 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the passages that a document with a smaller id has too; a text that loses nothing stays as it is."""
-    changed = remove_repeats(docs).where("n_removed > 0").select("doc_id", "kept").dropDuplicates(["doc_id"])
-    joined = docs.join(changed, "doc_id", "left")
+    """Texts without the passages that a document with a smaller id has too; a text that loses nothing stays as it is.
+
+    Each row keeps its own result, where the id is null or shared by other texts too.
+    """
+    changed = remove_repeats(docs).where("n_removed > 0").select(F.col("doc_id").alias("id"), "kept", "text_sha256").dropDuplicates(["id", "text_sha256"])
+    joined = docs.join(changed, F.col("doc_id").eqNullSafe(F.col("id")) & (F.sha2("text", 256) == F.col("text_sha256")), "left")
     text = F.coalesce("kept", "text")
     columns = {"text": text} | ({"n_chars": F.when(F.col("kept").isNotNull(), F.length("kept")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
     return joined.select(*(columns[c].alias(c) if c in columns else c for c in docs.columns))

@@ -247,7 +247,8 @@ def reported(docs: DataFrame, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept): every row of ``docs`` (doc_id, text) with the words kept, joined by one space.
+    """(doc_id, n_words, n_removed, kept, text_sha256): every row of ``docs`` (doc_id, text) with the words kept, joined by one space,
+    and the hash of its text, which with the id tells rows of different results apart.
 
     A word goes if a window over it starts in a document with a smaller id as well; windows are judged on the input. Null texts
     have no words; rows with a null id come after all others; repeated rows (same id) don't count as earlier ones. Other columns
@@ -255,10 +256,12 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     """
 
     def keep(left: dict, right: dict) -> Iterator[tuple]:
-        for i, words, gone in removed_words(left, right):
-            yield i, len(words), int(gone.sum()), b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g]).decode()
+        for (i, words, gone), t in zip(removed_words(left, right), left["text"], strict=True):
+            kept = b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g]).decode()
+            yield i, len(words), int(gone.sum()), kept, hashlib.sha256((t or "").encode()).hexdigest()
 
-    return per_pair(*reported(docs.select("doc_id", "text")), "block", "doc_id long, n_words long, n_removed long, kept string", keep)
+    schema = "doc_id long, n_words long, n_removed long, kept string, text_sha256 string"
+    return per_pair(*reported(docs.select("doc_id", "text")), "block", schema, keep)
 
 
 def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,3 +40,14 @@ def test_pipeline(spark, as_tables):
     assert steps["packing"].columns[:7] == [c.split()[0] for c in SCHEMA.split(", ")]
     assert {r["doc_id"] for r in steps["packing"].collect()} == set(fourth)
     assert corpus_pipeline.run(spark, folder).count() == steps["packing"].count()
+
+
+def test_rows_of_shared_and_null_ids_keep_their_own_text(spark):
+    rng = random.Random(8)
+    prose = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    passage, own = prose(40), [prose(30) for _ in range(6)]
+    rows = [(1, passage + " " + own[0]), (5, own[1] + " " + passage), (5, passage + " " + own[2]), (5, own[3]), (None, own[4] + " " + passage), (None, passage + " " + own[5])]
+    docs = spark.createDataFrame([(i, t, len(t)) for i, t in rows], "doc_id long, text string, n_chars long")
+    got = corpus_pipeline.substring_dedup(spark, docs, "").collect()
+    want = [(1, rows[0][1]), (5, own[1]), (5, own[2]), (5, own[3]), (None, own[4]), (None, own[5])]
+    assert sorted(map(tuple, got), key=str) == sorted(((i, t, len(t)) for i, t in want), key=str)
