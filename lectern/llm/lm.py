@@ -1,13 +1,14 @@
 """Language-model scoring with a log-frequency Bloom filter.
 
-Unigram counts are exact: blocks of documents exchange their distinct words with count buckets. Words over a share of the corpus
-(at most ``1 << 17`` by that share) form the bigram model: counts of their pairs, quantised to powers of the square root of
-two, are stored as that many entries of a Bloom filter, which workers get by broadcast and read by repeated probes until one fails.
+Unigram counts are exact: blocks of documents exchange their distinct words with count buckets. So are the training counts of all
+pairs of words, exchanged in the same way by buckets of the pair's key; a bucket quantises them to powers of the square root of two,
+stores each as that many entries of its segments of the filter, and answers a block's keys by repeated probes until one fails.
+The segments grow with the distinct pairs of a bucket, the buckets with the corpus; none is gathered or broadcast.
 
     P(w | u) = MIX * count(u, w) / count(u) + (1 - MIX) * P(w),   P(w) = (c + 0.1) / (N + 0.1 * (V + 1))
 
-A pair is stored if it makes up at least 2 ** -23 of all training tokens, so there are at most 2 ** 23 of them at any corpus size.
-Quantised counts are lower bounds (but for the filter's false positives), so the probabilities of a context add up to 1 at most.
+A word before w that training lacks leaves P(w). Quantised counts are lower bounds (but for the filter's false positives), so the
+probabilities of a context add up to 1 at most.
 """
 
 from __future__ import annotations
@@ -21,19 +22,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm.blocks import BLOCKS_PER_BUCKET, dealt, joined, per_group, per_pair, with_block
-from lectern.llm.common import map_stream, materialize, table
+from lectern.llm.common import materialize, table
 from lectern.llm.words import of_texts
 
-#: A frequent word makes up 1 / FREQUENT of twice the bytes and rows at least; a token takes two bytes or a row, so there are at most FREQUENT / 2.
-FREQUENT = 1 << 18
-#: Least share of a stored pair, as a divisor of N.
-PAIR_SHARE = 1 << 23
 MIX = 0.4
 SEGMENT_BITS = 1 << 23
 BITS_PER_ENTRY, PROBES = 10, 7
 LEVELS_PER_DOUBLING = 2
-#: The end token's key.
-END = np.uint64(0x0E4D)
+#: The end token's key, and that of a text's beginning as the word before its first.
+END, BEGIN = np.uint64(0x0E4D), np.uint64(0x0BE6)
 
 
 def is_held_out(doc_id: int | None) -> bool:
@@ -75,14 +72,19 @@ def levels(counts: np.ndarray, floor: float) -> np.ndarray:
     return np.maximum(0, q)
 
 
+def counted(level: np.ndarray, floor: float) -> np.ndarray:
+    """The least count of each level."""
+    return np.where(level > 0, floor * 2.0 ** ((level - 1.0) / LEVELS_PER_DOUBLING), 0.0)
+
+
 class Filter:
     """A log-frequency Bloom filter: entry (code, j) for each level j up to a code's quantised count."""
 
     def __init__(self, bits: np.ndarray, floor: float):
         self.bits, self.floor, self.segments = bits, floor, len(bits)
 
-    def count(self, codes: np.ndarray) -> np.ndarray:
-        """Lower bounds of the counts; 0 where the first probe fails."""
+    def level(self, codes: np.ndarray) -> np.ndarray:
+        """Quantised counts; 0 where the first probe fails."""
         level, alive = np.zeros(len(codes), np.int64), np.arange(len(codes))
         j = 0
         while len(alive) and j < 128:
@@ -93,12 +95,16 @@ class Filter:
                 ok &= (self.bits[segment, row >> 3] >> (row & 7).astype(np.uint8)) & 1 == 1
             alive = alive[ok]
             level[alive] = j
-        return np.where(level > 0, self.floor * 2.0 ** ((level - 1) / LEVELS_PER_DOUBLING), 0.0)
+        return level
+
+    def count(self, codes: np.ndarray) -> np.ndarray:
+        """Lower bounds of the counts; 0 where the first probe fails."""
+        return counted(self.level(codes), self.floor)
 
 
-def count_words(blocked: DataFrame, blocks: int, frequent_from: int) -> DataFrame:
+def count_words(blocked: DataFrame, blocks: int) -> DataFrame:
     """Per block and bucket, the block's keys with their training counts over the whole corpus (block >= 0); per bucket, its totals
-    (block -1: tokens, distinct words) and frequent words (block -2). Written to the shared folder."""
+    (block -1: tokens, distinct words). Written to the shared folder."""
     buckets = max(1, blocks // BLOCKS_PER_BUCKET)
 
     def ask(group: dict) -> Iterator[tuple]:
@@ -116,81 +122,59 @@ def count_words(blocked: DataFrame, blocks: int, frequent_from: int) -> DataFram
             yield block, blob, totals[place[at : at + n]].tobytes()
             at += n
         yield -1, b"", np.array([totals.sum(), (totals > 0).sum()], np.int64).tobytes()
-        if (often := totals >= frequent_from).any():
-            yield -2, distinct[often].tobytes(), totals[often].tobytes()
 
     asked = per_group(blocked, ["block"], "bucket int, block int, keys binary, values binary", ask)
     return materialize(per_group(asked, ["bucket"], "block int, keys binary, values binary", answer))
 
 
-def pair_filter(docs: DataFrame, frequent: np.ndarray, n_tokens: int, blocks: int) -> Filter:
-    """The filter of training pairs of frequent words (and the document's beginning, the code after the last)."""
-    sc = docs.sparkSession.sparkContext
-    known = sc.broadcast(frequent)
-    buckets = max(1, blocks // BLOCKS_PER_BUCKET)
-    floor = max(1.0, n_tokens / PAIR_SHARE)
-
-    def count(batches: Iterator[list[list]]) -> Iterator[tuple]:
-        for ids, texts in batches:
-            chosen = [t for i, t in zip(ids, texts, strict=True) if not is_held_out(i)]
-            if not chosen:
-                continue
-            keys, tokens, sizes = tokenised(chosen)
-            codes = pair_codes(frequent_index(known.value, keys)[tokens], sizes, len(known.value))
-            pairs, counts = np.unique(codes[codes >= 0], return_counts=True)
-            yield from dealt(0, pairs.astype(np.uint64), counts.astype(np.int64), buckets)
-
-    def total(group: dict) -> Iterator[tuple]:
-        pairs, place = np.unique(joined(group["keys"]), return_inverse=True)
-        counts = np.bincount(place, weights=joined(group["values"], np.int64), minlength=len(pairs))
-        q = levels(counts, floor)
-        kept = q > 0
-        yield pairs[kept].tobytes(), q[kept].tobytes(), int(q[kept].sum())
-
-    counted = map_stream(docs.select("doc_id", "text"), "bucket int, block int, keys binary, values binary", count)
-    stored = materialize(per_group(counted, ["bucket"], "keys binary, levels binary, entries long", total))
-    entries = stored.agg(F.sum("entries")).first()[0] or 0
-    segments = max(1, math.ceil(entries * BITS_PER_ENTRY / SEGMENT_BITS))
-
-    def place(batches: Iterator[list[list]]) -> Iterator[tuple]:
-        for keys, qs, _ in batches:
-            codes, q = joined(keys), joined(qs, np.int64)
-            for j in range(1, int(q.max(initial=0)) + 1):
-                segment, at = places(codes[q >= j], j, segments)
-                order = np.argsort(segment, kind="stable")
-                cuts = [0, *(np.flatnonzero(np.diff(segment[order])) + 1).tolist(), len(order)]
-                for s, e in zip(cuts, cuts[1:], strict=False):
-                    if e > s:
-                        yield int(segment[order[s]]), at[:, order[s:e]].astype(np.int32).tobytes()
-
-    def fill(group: dict) -> Iterator[tuple]:
-        on = np.zeros(SEGMENT_BITS, bool)
-        on[joined(group["bits"], np.int32)] = True
-        yield group["segment"][0], np.packbits(on, bitorder="little").tobytes()
-
-    placed = map_stream(stored, "segment int, bits binary", place)
+def pair_keys(keys: np.ndarray, tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Key of (word before, word) for each token; a text's first token follows ``BEGIN``."""
+    word = keys[tokens]
+    before = np.empty_like(word)
+    before[1:] = word[:-1]
+    before[np.cumsum(sizes) - sizes] = BEGIN
+    return mixed(before, 1) * np.uint64(3) ^ mixed(word, 2)
+
+
+def filled(codes: np.ndarray, counts: np.ndarray) -> Filter:
+    """A filter of all ``codes`` whose count is 1 or more."""
+    q = levels(counts, 1.0)
+    segments = max(1, math.ceil(int(q.sum()) * BITS_PER_ENTRY / SEGMENT_BITS))
     bits = np.zeros((segments, SEGMENT_BITS // 8), np.uint8)
-    for r in per_group(placed, ["segment"], "segment int, bits binary", fill).toLocalIterator():
-        bits[r["segment"]] = np.frombuffer(r["bits"], np.uint8)
-    return Filter(bits, floor)
+    for j in range(1, int(q.max(initial=0)) + 1):
+        segment, at = places(codes[q >= j], j, segments)
+        for row in at:
+            np.bitwise_or.at(bits, (segment, row >> 3), (1 << (row & 7)).astype(np.uint8))
+    return Filter(bits, 1.0)
+
 
+def count_pairs(blocked: DataFrame, blocks: int) -> DataFrame:
+    """Per block and bucket, the quantised training counts over the whole corpus of the block's distinct pairs in that bucket, in the
+    order of their keys: (block, bucket, values), a byte each. Written to the shared folder."""
+    buckets = pair_buckets(blocks)
 
-def frequent_index(frequent: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    """Position of each key among the sorted frequent ones, -1 for others."""
-    if not len(frequent):
-        return np.full(len(keys), -1, np.int64)
-    at = np.searchsorted(frequent, keys)
-    at[at == len(frequent)] = 0
-    return np.where(frequent[at] == keys, at, -1)
+    def ask(group: dict) -> Iterator[tuple]:
+        keys, tokens, sizes = tokenised(group["text"])
+        pairs, place = np.unique(pair_keys(keys, tokens, sizes), return_inverse=True)
+        train = np.repeat([not is_held_out(i) for i in group["doc_id"]], sizes)
+        yield from dealt(group["block"][0], pairs, np.bincount(place[train], minlength=len(pairs)).astype(np.int32), buckets)
+
+    def answer(group: dict) -> Iterator[tuple]:
+        pairs, place = np.unique(joined(group["keys"]), return_inverse=True)
+        counts = np.bincount(place, weights=joined(group["values"], np.int32), minlength=len(pairs))
+        known = filled(pairs, counts).level(pairs).astype(np.uint8)[place]
+        at = 0
+        for block, blob in zip(group["block"], group["keys"], strict=True):
+            n = len(blob) // 8
+            yield block, group["bucket"][0], known[at : at + n].tobytes()
+            at += n
+
+    asked = per_group(blocked, ["block"], "bucket int, block int, keys binary, values binary", ask)
+    return materialize(per_group(asked, ["bucket"], "block int, bucket int, values binary", answer))
 
 
-def pair_codes(index: np.ndarray, sizes: np.ndarray, begin: int) -> np.ndarray:
-    """Code of (word before, word) for each token, -1 unless both are frequent; a text's first token follows ``begin``."""
-    before = np.empty_like(index)
-    before[1:] = index[:-1]
-    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    before[starts] = begin
-    return np.where((index >= 0) & (before >= 0), before << 20 | index, -1)
+def pair_buckets(blocks: int) -> int:
+    return max(1, math.ceil(blocks / (BLOCKS_PER_BUCKET // 2)))
 
 
 def score(docs: DataFrame) -> DataFrame:
@@ -201,36 +185,34 @@ def score(docs: DataFrame) -> DataFrame:
     """
     docs = docs.select("doc_id", "text")
     blocked, blocks, n_bytes, rows = with_block(docs)
-    counted = count_words(blocked, blocks, max(1, math.ceil(2 * (n_bytes + 2 * rows) / FREQUENT)))
-    totals = [np.frombuffer(r["values"], np.int64) for r in counted.where("block = -1").select("values").toLocalIterator()]
+    words = count_words(blocked, blocks)
+    totals = [np.frombuffer(r["values"], np.int64) for r in words.where("block = -1").select("values").toLocalIterator()]
     n, v = (int(sum(t[k] for t in totals)) for k in (0, 1))
-    often = [(joined([r["keys"]]), joined([r["values"]], np.int64)) for r in counted.where("block = -2").select("keys", "values").toLocalIterator()]
-    frequent = np.concatenate([k for k, _ in often]) if often else np.zeros(0, np.uint64)
-    counts = np.concatenate([c for _, c in often]) if often else np.zeros(0, np.int64)
-    order = np.argsort(frequent)
-    frequent, counts = frequent[order], counts[order]
-    pairs = pair_filter(docs, frequent, n, blocks)
-    begin_count = int(counts[frequent == END].sum())
-    shared = docs.sparkSession.sparkContext.broadcast((frequent, np.append(counts, begin_count).astype(float), pairs))
+    buckets = pair_buckets(blocks)
+    pairs = count_pairs(blocked, blocks)
+    known = words.where("block >= 0").select("block", F.lit(-1).alias("bucket"), "keys", "values").unionByName(pairs.select("block", "bucket", F.lit(None).cast("binary").alias("keys"), "values"))
 
     def rate(left: dict, right: dict) -> Iterator[tuple]:
         if not left["doc_id"]:
             return
-        known, context, model = shared.value
         keys, tokens, sizes = tokenised(left["text"])
         c = np.zeros(len(keys))
-        c[np.searchsorted(keys, joined(right["keys"]))] = joined(right["values"], np.int64)
+        pair, place = np.unique(pair_keys(keys, tokens, sizes), return_inverse=True)
+        where = pair % np.uint64(buckets)
+        level = np.zeros(len(pair), np.int64)
+        for bucket, k, values in zip(right["bucket"], right["keys"], right["values"], strict=True):
+            if bucket < 0:
+                c[np.searchsorted(keys, np.frombuffer(k, np.uint64))] = np.frombuffer(values, np.int64)
+            else:
+                level[where == np.uint64(bucket)] = np.frombuffer(values, np.uint8)
         unigram = (c + 0.1) / (n + 0.1 * (v + 1))
-        codes = pair_codes(frequent_index(known, keys)[tokens], sizes, len(known))
-        has = codes >= 0
         p = unigram[tokens]
-        base, probability = np.log10(p), p.copy()
-        if has.any():
-            distinct, place = np.unique(codes[has], return_inverse=True)
-            seen = context[distinct >> 20]
-            share = np.where(seen > 0, np.minimum(1.0, model.count(distinct) / np.maximum(seen, 1)), 0.0)
-            mix = np.where(seen > 0, MIX, 0.0)
-            probability[has] = (mix * share)[place] + (1 - mix)[place] * p[has]
+        seen = np.empty(len(tokens))
+        seen[1:] = c[tokens[:-1]]
+        seen[np.cumsum(sizes) - sizes] = c[np.searchsorted(keys, END)]  # each training text begins once and ends once
+        share = np.minimum(1.0, counted(level, 1.0)[place] / np.maximum(seen, 1))
+        mix = np.where(seen > 0, MIX, 0.0)
+        base, probability = np.log10(p), mix * share + (1 - mix) * p
         cuts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         base, own = np.add.reduceat(base, cuts), np.add.reduceat(np.log10(probability), cuts)
         n_known = np.add.reduceat((c[tokens] > 0).astype(np.int64), cuts)
@@ -238,7 +220,7 @@ def score(docs: DataFrame) -> DataFrame:
             yield i, is_held_out(i), size, k, n, b, s
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return per_pair(blocked, counted.where("block >= 0"), "block", schema, rate)
+    return per_pair(blocked, known, "block", schema, rate)
 
 
 def op7_lm(spark: SparkSession, sf_dir: str) -> DataFrame:

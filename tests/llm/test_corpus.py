@@ -149,6 +149,26 @@ def test_scores(spark, as_tables, docs, rows):
         assert r["score"] < 0
 
 
+def test_every_training_pair_counts(spark):
+    """A rare word still is a context, in a corpus whose size once raised the floors above it."""
+    rng = random.Random(13)
+    rows = [(i, " ".join(f"w{rng.randrange(40)}" for _ in range(3000))) for i in range(200)]
+    rows += [(1000 + i, f"w1 rare{i // 2} next{i // 2} w2") for i in range(40)]
+    held = lambda i: zlib.crc32(str(i).encode()) % 10 == 0
+    tokens = [(i, ["", *t.split(), None]) for i, t in rows]
+    c = Counter(w for i, ws in tokens if not held(i) for w in ws)
+    pairs = Counter(p for i, ws in tokens if not held(i) for p in zip(ws, ws[1:]))
+    n, v = sum(c.values()) - c[""], len(c) - 1
+    got = {r["doc_id"]: r["score"] for r in lm.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for i, ws in tokens[200:]:
+        want = 0
+        for u, w in zip(ws, ws[1:]):
+            p = (c[w] + 0.1) / (n + 0.1 * (v + 1))
+            low = 2.0 ** (math.floor(2 * math.log2(pairs[u, w]) + 1e-9) / 2) if pairs[u, w] else 0
+            want += math.log10(lm.MIX * low / c[u] + (1 - lm.MIX) * p if c[u] else p)
+        assert got[i] == pytest.approx(want, rel=1e-6, abs=0.05)
+
+
 def test_bloom_filter_never_undercounts():
     rng = np.random.default_rng(4)
     codes, counts = np.arange(2000), rng.integers(1, 5000, 2000)
