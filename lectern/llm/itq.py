@@ -2,7 +2,8 @@
 
 A rotation of the principal components is learnt so that signs make balanced binary codes. The code is cut into substrings; each
 is the key of one table. Vectors that share a substring are compared by cosine in double precision. The substrings grow with the
-logarithm of the largest label, and there are as many tables as the least similarity needs, so lists stay short at any size. Equal
+logarithm of the largest label, and there are as many tables as pairs of the least similarity need at the angles that centring
+leaves between them, so lists stay short at any size. Equal
 vectors are folded first; lists over ``TILE`` are dealt to several tasks; a list yields counts and a forest, not its pairs.
 """
 
@@ -26,6 +27,8 @@ ROUNDS = 30
 #: Vectors of a label per list, were codes even; and the share of pairs at LEAST that may share no table.
 PER_LIST, MISSED = 64, 0.03
 TILE = 512
+#: A sample of fewer vectors has no mean to speak of: it isn't centred.
+FEW = 32
 SEED = 11
 
 
@@ -62,7 +65,7 @@ def unit(raw: list[bytes], dim: int) -> np.ndarray:
 def learn(x: np.ndarray, bits: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
     """Mean and projection (dim, bits) of the sample ``x``: rotations of its principal components, several if bits exceed the dimension."""
     dim = x.shape[1]
-    mean = x.mean(axis=0)
+    mean = x.mean(axis=0) if len(x) >= FEW else np.zeros(dim)
     _, vectors = np.linalg.eigh(np.cov(x - mean, rowvar=False).reshape(dim, dim) + 1e-9 * np.eye(dim))
     parts = []
     while sum(p.shape[1] for p in parts) < bits:
@@ -77,11 +80,31 @@ def learn(x: np.ndarray, bits: int, rng: np.random.Generator) -> tuple[np.ndarra
     return mean, np.concatenate(parts, axis=1)
 
 
-def shape(largest: int, least: float = LEAST) -> tuple[int, int]:
-    """(bits of a substring, tables) for the largest label's number of vectors."""
+def centred_angles(x: np.ndarray, mean: np.ndarray, least: float, rng: np.random.Generator) -> np.ndarray:
+    """Angles around ``mean`` between unit vectors and partners at cosine ``least``, moved towards other vectors of the sample ``x``."""
+    other = x[rng.permutation(len(x))]
+    side = other - (other * x).sum(axis=1, keepdims=True) * x
+    norm = np.linalg.norm(side, axis=1)
+    x, side = x[norm > 1e-6], (side / np.maximum(norm, 1e-300)[:, None])[norm > 1e-6]
+    out = []
+    for sign in (1, -1):
+        a, b = x - mean, least * x + sign * math.sqrt(1 - least**2) * side - mean
+        size = np.linalg.norm(a, axis=1) * np.linalg.norm(b, axis=1)
+        out.append(np.arccos(np.clip((a * b).sum(axis=1) / np.maximum(size, 1e-300), -1, 1)))
+    return np.concatenate(out) if len(x) else np.array([math.acos(least)])
+
+
+def shape(largest: int, least: float = LEAST, angles: np.ndarray | None = None) -> tuple[int, int]:
+    """(bits of a substring, tables) for the largest label's number of vectors and the angles of pairs at ``least``."""
     bits = min(24, max(8, math.ceil(math.log2(max(1, largest) / PER_LIST))))
-    same = (1 - math.acos(least) / math.pi) ** bits
-    return bits, math.ceil(math.log(MISSED) / math.log(1 - same))
+    same = (1 - (np.array([math.acos(least)]) if angles is None else angles) / math.pi) ** bits
+    low, high = 0, 1
+    while ((1 - same) ** high).mean() > MISSED:
+        low, high = high, 2 * high
+    while high - low > 1:
+        mid = (low + high) // 2
+        low, high = (mid, high) if ((1 - same) ** mid).mean() > MISSED else (low, mid)
+    return bits, high
 
 
 def substrings(x: np.ndarray, mean: np.ndarray, projection: np.ndarray, bits: int, tables: int) -> np.ndarray:
@@ -127,13 +150,15 @@ def found_links(reps: DataFrame, least: float = LEAST) -> DataFrame:
     """(rep, add, root) of the distinct vectors ``reps`` (label, dim, rep, n, vec): rows to be summed and joined up by rep."""
     spark = reps.sparkSession
     largest = reps.groupBy("label").count().agg(F.max("count")).first()[0] or 0
-    bits, tables = shape(largest, least)
     sample = reps.orderBy(F.xxhash64("rep", F.lit(SEED)), "rep").select("dim", "vec").limit(SAMPLE).collect()
     dims = {}
     for r in sample:
         dims.setdefault(r["dim"], []).append(bytes(r["vec"]))
     rng = np.random.default_rng(SEED)
-    models = {d: learn(unit(v, d), bits * tables, rng) for d, v in sorted(dims.items()) if len(v) > 1}
+    samples = {d: unit(v, d) for d, v in sorted(dims.items()) if len(v) > 1}
+    shapes = [shape(largest, least), *(shape(largest, least, centred_angles(x, x.mean(axis=0), least, rng)) for x in samples.values() if len(x) >= FEW)]
+    bits, tables = max(shapes)
+    models = {d: learn(x, bits * tables, rng) for d, x in samples.items()}
     shared = spark.sparkContext.broadcast(models)
 
     def listed(batches: Iterator[list[list]]) -> Iterator[tuple]:

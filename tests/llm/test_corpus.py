@@ -288,3 +288,23 @@ def test_near_vectors(spark, monkeypatch):
     # pairs are verified in double precision, and the codes lose few of them at any bits
     bits, tables = itq.shape(10**9)
     assert bits == 24 and tables < 120
+
+
+@pytest.mark.parametrize("bits", [16, 24])
+def test_recall_with_a_common_mean(spark, monkeypatch, bits):
+    """Brute force over pairs just above the least cosine, at the substrings of large tables."""
+    monkeypatch.setattr(itq, "PER_LIST", 600 / 2**bits)
+    rng = np.random.default_rng(21)
+    norm = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    one = np.eye(1, 32)
+    x = 0.6 * one + 0.8 * norm(rng.standard_normal((300, 32)))
+    x = norm(x)
+    side = norm(rng.standard_normal((300, 32)))
+    side = norm(side - (side * x).sum(axis=1, keepdims=True) * x)
+    x = np.concatenate([x, 0.935 * x + np.sqrt(1 - 0.935**2) * side])
+    u = norm(x)
+    linked = u @ u.T >= 0.93
+    np.fill_diagonal(linked, False)
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = sum(r["n_links"] for r in itq.near_vectors(df).collect())
+    assert 0.9 * linked.sum() <= got <= linked.sum()
