@@ -95,6 +95,16 @@ def test_votes_add_spans_and_keep_base(spark):
     assert [k for k, _, _ in found[104]] == ["ssn"]
 
 
+def test_real_numbers_and_introductions_are_found(spark):
+    rows = [(i, f"call me at +1 (487) 555-7{i:03d} or mail a{i}@mail.example.com") for i in range(40)]
+    rows += [(100, "call 212-867-5309"), (101, "so my name is Anna"), (102, "no data 12 34"), (103, "phone (415) 273-9164 please")]
+    found = {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in pii.detect(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found[100] == [("phone", 5, 17)]
+    assert found[101] == [("name", 3, 18)]
+    assert found[102] == []
+    assert [k for k, _, _ in found[103]] == ["phone"]
+
+
 def test_pii_learning_is_bounded():
     assert pii.learn({}) == set()
 
