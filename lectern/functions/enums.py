@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from lectern.functions.text import trim_unicode
+
 #: Fixed values.
 DIFFICULTIES = ("easy", "medium", "hard")
 COURSE_MARKS = (("easy", ("basic", "level1")), ("medium", ("developing", "level2")), ("hard", ("expanding", "level3")))
@@ -24,13 +26,13 @@ def difficulty_of(name: Column, marks=COURSE_MARKS, default: str | None = None)
 
 
 def normalize_difficulty(c: Column) -> Column:
-    low = F.lower(F.trim(c))
+    low = trim_unicode(F.lower(c))
     return F.when(low.isin(*DIFFICULTIES), low).otherwise(F.lit("medium"))
 
 
 def question_type(c: Column, trimmed: bool = False) -> Column:
     kind = F.upper(F.coalesce(F.nullif(c, F.lit("")), F.lit("VOCAB")))
-    return F.trim(kind) if trimmed else kind
+    return trim_unicode(kind) if trimmed else kind
 
 
 def level_of(difficulty: Column) -> Column:

@@ -93,11 +93,19 @@ def json_strings(c: Column) -> Column:
 def option_list(c: Column) -> Column:
     """Options given as a JSON array or as an object (its values, in order); anything else has none.
 
-    Null, 0 and false are dropped as in the source format.
+    Null, the number 0 and false are dropped, as are blank strings; the strings "0" and "false" are options like any other.
     """
-    values = F.map_values(F.when(F.ltrim(c).startswith("{"), F.from_json(c, "map<string,string>")))
-    kept = F.filter(F.coalesce(json_strings(c), values), lambda x: x.isNotNull() & ~x.isin("0", "false"))
-    return nonempty(kept, normalize_space)
+    every = F.when(F.json_array_length(c).isNotNull(), F.from_json(c, "array<variant>"))
+    values = F.map_values(F.when(F.ltrim(c).startswith("{"), F.from_json(c, "map<string,variant>")))
+    return nonempty(F.transform(F.coalesce(every, values), told), normalize_space)
+
+
+def told(v: Column) -> Column:
+    """A JSON value as text; null for null, false and 0."""
+    kind = F.schema_of_variant(v)
+    number = F.try_variant_get(v, "$", "double")
+    falsy = (kind == "VOID") | ((kind == "BOOLEAN") & (F.try_variant_get(v, "$", "boolean") == F.lit(False))) | (~kind.isin("STRING", "BOOLEAN") & F.coalesce(number == 0, F.lit(False)))
+    return F.when(~falsy, F.coalesce(F.try_variant_get(v, "$", "string"), F.to_json(v)))
 
 
 def csv_field(c: Column, always: bool = False) -> Column:
@@ -114,8 +122,13 @@ def sorted_pair(a: Column, b: Column, between: str = " <-> ") -> Column:
     return F.array_join(F.array_sort(F.array(a, b)), between)
 
 
+def rounded(c: Column, places: int) -> Column:
+    """Half up on the binary value (10.075 is a little less, so it gives 10.07), as the source format's numbers are; not for negatives."""
+    return F.floor(c * F.lit(10.0**places) + F.lit(0.5)) / F.lit(10.0**places)
+
+
 def percent(value: Column, base: Column) -> Column:
-    return F.round(F.when(base > 0, value * 100 / base).otherwise(F.lit(0.0)), 2)
+    return rounded(F.when(base > 0, value * 100 / base).otherwise(F.lit(0.0)), 2)
 
 
 def append_distinct(items: Column, extra: Column) -> Column:

@@ -7,20 +7,23 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lectern.functions.enums import node_id, question_type
+from lectern.shared import materialize
 
 
 def numbered(df: DataFrame, group: str, order: list[str], name: str) -> DataFrame:
     """Rows numbered from 0 in ``order`` within each group, without a group ever being one task's.
 
-    Rows are range-partitioned by group and order; each partition's counts per group are summed up before it, and rows are numbered
-    within their partition. A group of any size spreads over as many partitions as it fills.
+    Rows are range-partitioned and sorted by group and order, given their place and written once, so that the counts per partition
+    and group are those of the very partitions that are numbered. A group of any size spreads over as many partitions as it fills.
+    Rows that tie in ``order`` are numbered in any order.
     """
-    tagged = df.repartitionByRange(group, *order).withColumn("_p", F.spark_partition_id())
-    local = tagged.withColumn("_i", F.row_number().over(W.partitionBy("_p", group).orderBy(*order)) - 1)
-    counts = tagged.groupBy("_p", group).agg(F.count(F.lit(1)).alias("_n"))
-    before = counts.select("_p", F.col(group).alias("_g"), (F.sum("_n").over(W.partitionBy(group).orderBy("_p")) - F.col("_n")).alias("_before"))
-    joined = local.join(before, (local["_p"] == before["_p"]) & local[group].eqNullSafe(before["_g"]))
-    return joined.select(*df.columns, (F.col("_i") + F.col("_before")).alias(name))
+    placed = df.repartitionByRange(group, *order).sortWithinPartitions(group, *order).withColumn("_at", F.monotonically_increasing_id())
+    rows = materialize(placed)
+    part = F.shiftright("_at", 33)  # the partition's number; the place in it is in the lower bits
+    runs = rows.groupBy(part.alias("_p"), F.col(group).alias("_g")).agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = runs.select("_p", "_g", (F.sum("_n").over(W.partitionBy("_g").orderBy("_p")) - F.col("_n") - F.col("_first")).alias("_shift"))
+    joined = rows.join(before, (part == before["_p"]) & rows[group].eqNullSafe(before["_g"]))
+    return joined.select(*df.columns, (F.col("_at") + F.col("_shift")).alias(name))
 
 
 def round_robin(questions: DataFrame, trees: DataFrame, order: list[str]) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lectern.functions.text import append_distinct, real_newlines
-from lectern.operators.sample import draw_key
+from lectern.operators.sample import draw_key, type_place
 
 LETTERS = ("A", "B", "C", "D")
 
@@ -46,13 +46,19 @@ def question_text(seed: str) -> Column:
     )
 
 
+def numbered(drawn: DataFrame) -> DataFrame:
+    """Drawn rows with their number in the node: in drawing order, in a review node by type before that."""
+    place = F.when(F.col("node_type") == "REVIEW", type_place(F.col("question_type"))).otherwise(0)
+    return drawn.withColumn("number", F.row_number().over(W.partitionBy("node_id").orderBy(place, "rn")))
+
+
 def sheets(drawn: DataFrame, trees: DataFrame, seed: str) -> DataFrame:
     """(level_id, tree_number, tree_id, content): a sheet for each tree; the number counts over all levels.
 
-    ``drawn``: enriched rows with node order_index; ``trees``: a few rows.
+    ``drawn``: enriched rows with node order_index; a node without a question (:func:`lectern.operators.sample.with_empty_nodes`)
+    shows its heading. ``trees``: a few rows; each has a sheet, if only of its heading.
     """
-    w = W.partitionBy("node_id").orderBy("question_type", "rn")
-    blocks = drawn.withColumn("number", F.row_number().over(w)).withColumn("block", question_text(seed))
+    blocks = numbered(drawn).withColumn("block", F.when(F.col("id").isNotNull(), question_text(seed)).otherwise(""))
     sorted_text = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(c)), lambda x: x["text"]), "")
     node = blocks.groupBy("tree_id", "node_id", "node_type", "order_index").agg(sorted_text(F.struct("number", F.col("block").alias("text"))).alias("body"))
     shown = F.concat(F.lit("NODE "), F.col("node_type"), F.lit("\n\n"), F.col("body"), F.lit("\n\n"))
@@ -60,10 +66,15 @@ def sheets(drawn: DataFrame, trees: DataFrame, seed: str) -> DataFrame:
     number = F.row_number().over(W.orderBy("level_id", "order_index", "id"))
     head = F.concat(F.lit("TREE "), F.col("tree_id").cast("string"), F.lit("\n" + "=" * 36 + "\n\n"))
     ranked = trees.select("level_id", number.alias("tree_number"), F.col("id").alias("tree_id"))
-    return ranked.join(tree, "tree_id").select("level_id", "tree_number", "tree_id", F.concat(head, "body").alias("content"))
+    return ranked.join(tree, "tree_id", "left").select("level_id", "tree_number", "tree_id", F.concat(head, F.coalesce("body", F.lit(""))).alias("content"))
 
 
 def write_sheets(sheet: DataFrame, folder: str) -> None:
-    """A file level_L/tree_K.txt each, written by the tasks that hold the sheets through partitioned text folders."""
-    out = sheet.select(F.concat(F.lit("level_"), "level_id").alias("level"), F.concat(F.lit("tree_"), "tree_number").alias("tree"), F.col("content").alias("value"))
-    out.repartition("level", "tree").write.mode("overwrite").partitionBy("level", "tree").text(folder)
+    """A file level_L/tree_K.txt for each sheet. There are a few dozen; they pass through the driver one partition at a time."""
+    spark = sheet.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = path(folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for r in sheet.select("level_id", "tree_number", "content").toLocalIterator():
+        out = files.create(path(f"{folder}/level_{r['level_id']}/tree_{r['tree_number']}.txt"), True)
+        out.write(r["content"].encode())
+        out.close()

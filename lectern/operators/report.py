@@ -8,6 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lectern.functions.text import rounded
+
 #: Fixed value of the report's AvgIteration column: 5 nodes of 10 questions.
 ITERATIONS = 50
 HEADER = "Weight constraint (level),Number of runs,Success,AvgTime(ms),AvgIteration,AvgDuplicate(%),StdDev"
@@ -31,10 +33,10 @@ def summarize(measured: DataFrame) -> DataFrame:
     zero = lambda c: F.coalesce(c, F.lit(0.0))
     return measured.groupBy("runs", "level").agg(
         F.count_if("ok").alias("success"),
-        F.round(zero(F.avg("ms")), 2).alias("avg_time"),
+        rounded(zero(F.avg("ms")), 2).alias("avg_time"),
         F.lit(ITERATIONS).alias("avg_iteration"),
-        F.round(zero(F.avg("duplicate")) * 100, 2).alias("avg_duplicate"),
-        F.round(zero(F.stddev_pop("ms")), 4).alias("std_dev"),
+        rounded(zero(F.avg("duplicate")) * 100, 2).alias("avg_duplicate"),
+        rounded(zero(F.stddev_pop("ms")), 4).alias("std_dev"),
     ).orderBy("runs", "level")
 
 

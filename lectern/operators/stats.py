@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.functions.text import percent
+from lectern.functions.text import percent, rounded
 
 EXCLUDED = ("REVIEW",)
 LOWER, UPPER = 100, 1000
@@ -105,8 +105,8 @@ def skill_ratio(q: DataFrame, nodes: DataFrame, trees: DataFrame) -> DataFrame:
 def spread(x: str) -> dict[str, Column]:
     mean, std = F.avg(x), F.stddev_pop(x)
     return {
-        "min": F.min(x), "median": F.round(F.median(x), 2), "max": F.max(x), "std": F.round(std, 2), "mean": F.round(mean, 2),
-        "balance_score": F.round(F.when(mean > 0, std / mean).otherwise(F.lit(0.0)), 4),
+        "min": F.min(x), "median": rounded(F.median(x), 2), "max": F.max(x), "std": rounded(std, 2), "mean": rounded(mean, 2),
+        "balance_score": rounded(F.when(mean > 0, std / mean).otherwise(F.lit(0.0)), 4),
     }
 
 

@@ -26,11 +26,6 @@ def questions(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("node_id"), choose("o_orderstatus", STATUSES).alias("level_id"), choose("o_orderpriority", PRIORITIES).alias("question_type"))
 
 
-def listening(q: DataFrame) -> DataFrame:
-    """Questions of one type: some nodes have none."""
-    return q.where("question_type = 'LISTENING'")
-
-
 def nodes(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "customer").select(F.col("c_custkey").alias("id"), (F.col("c_nationkey") + 1).alias("skill_tree_id"), F.col("c_name").alias("title"), choose("c_mktsegment", SEGMENTS).alias("node_type"), (F.col("c_custkey") % 7).alias("order_index"))
 
@@ -47,6 +42,5 @@ def case(column: str, values: dict) -> str:
 STORE = f"""WITH q AS (SELECT o_orderkey AS id, o_custkey AS node_id, {case("o_orderstatus", STATUSES)} AS level_id, {case("o_orderpriority", PRIORITIES)} AS question_type FROM orders),
 nodes AS (SELECT c_custkey AS id, c_nationkey + 1 AS skill_tree_id, c_name AS title, {case("c_mktsegment", SEGMENTS)} AS node_type, c_custkey % 7 AS order_index FROM customer),
 trees AS (SELECT n_nationkey + 1 AS id, n_regionkey % 3 + 1 AS level_id, n_nationkey AS order_index FROM nation),
-listening AS (SELECT * FROM q WHERE question_type = 'LISTENING'),
-per_node AS (SELECT t.level_id, n.id AS node_id, n.title, n.node_type AS skill, n.order_index, COUNT(f.id) AS total FROM nodes n JOIN trees t ON n.skill_tree_id = t.id LEFT JOIN listening f ON f.node_id = n.id GROUP BY ALL)
+per_node AS (SELECT t.level_id, n.id AS node_id, n.title, n.node_type AS skill, n.order_index, COUNT(f.id) AS total FROM nodes n JOIN trees t ON n.skill_tree_id = t.id LEFT JOIN q f ON f.node_id = n.id GROUP BY ALL)
 """

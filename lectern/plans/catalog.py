@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions import enums, text, urls
 from lectern.operators import assign, consolidate, export, extract, firstseen, load, report, sample, sinks, stats
-from lectern.plans.bind import STORE, listening, nodes, questions, read, trees
+from lectern.plans.bind import STORE, nodes, questions, read, trees
 
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
@@ -65,16 +65,16 @@ def json_extract(spark, d):
     return read(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"))
 
 
-@query("SELECT doc_id, 'item' || (doc_id % 3) AS kind, CASE doc_id % 3 WHEN 0 THEN NULL WHEN 1 THEN 'ROOT_NOT_ARRAY' ELSE 'JSON_PARSE_ERROR' END AS error, CASE doc_id % 3 WHEN 0 THEN 2 ELSE 1 END AS n_rows FROM documents")
+@query("SELECT doc_id, CASE doc_id % 3 WHEN 0 THEN text END AS first_item, CASE doc_id % 3 WHEN 0 THEN NULL WHEN 1 THEN 'ROOT_NOT_ARRAY' ELSE 'JSON_PARSE_ERROR' END AS error, CASE doc_id % 3 WHEN 0 THEN 2 ELSE 1 END AS n_rows FROM documents")
 def json_source_errors(spark, d):
-    """JSON texts built from ids: an array of two, an object, a cut text."""
+    """Texts as JSON: an array of two, an object, an array that is cut off."""
     from lectern.sources.files import json_items
 
-    i = F.col("doc_id").cast("string")
-    value = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit('[{"a":'), i, F.lit('},{"a":0}]'))).when(F.col("doc_id") % 3 == 1, F.concat(F.lit('{"a":'), i, F.lit("}"))).otherwise(F.concat(F.lit('[{"a":'), i))
-    items = json_items(docs(spark, d).select(F.lit("m").alias("mode"), i.alias("file"), F.lit(0).alias("mode_rank"), F.col("doc_id").cast("int").alias("file_rank"), value.alias("value")))
-    by = items.groupBy("file").agg(F.substring_index(F.first("error"), ":", 1).alias("error"), F.count(F.lit(1)).alias("n_rows"))
-    return by.select(F.col("file").cast("long").alias("doc_id"), F.concat(F.lit("item"), F.col("file").cast("long") % 3).alias("kind"), "error", "n_rows")
+    array = F.to_json(F.array("text", "lang"))
+    value = F.when(F.col("doc_id") % 3 == 0, array).when(F.col("doc_id") % 3 == 1, F.to_json(F.struct("text"))).otherwise(F.expr("substring(to_json(array(text, lang)), 1, length(to_json(array(text, lang))) - 1)"))
+    items = json_items(docs(spark, d).select(F.lit("m").alias("mode"), F.col("doc_id").cast("string").alias("file"), F.lit(0).alias("mode_rank"), F.col("doc_id").cast("int").alias("file_rank"), value.alias("value")))
+    by = items.groupBy("file").agg(F.max(F.when(F.col("pos") == 1, F.col("item"))).alias("first_item"), F.substring_index(F.max("error"), ":", 1).alias("error"), F.count(F.lit(1)).alias("n_rows"))
+    return by.select(F.col("file").cast("long").alias("doc_id"), "first_item", "error", "n_rows")
 
 
 @query("SELECT doc_id, source FROM documents WHERE trim(text) <> ''")
@@ -113,9 +113,10 @@ def text_literal_newline(spark, d):
     return docs(spark, d).select("doc_id", text.literal_newlines(F.col("text")).alias("literal"))
 
 
-@query("SELECT doc_id, text FROM documents")
+@query("SELECT doc_id, replace(text, ' ', chr(10)) AS lines FROM documents")
 def text_unescape_newline(spark, d):
-    return docs(spark, d).select("doc_id", text.real_newlines(text.literal_newlines(F.col("text"))).alias("text"))
+    """Every space is a line break in its two-character form."""
+    return docs(spark, d).select("doc_id", text.real_newlines(F.replace("text", F.lit(" "), F.lit("\\n"))).alias("lines"))
 
 
 @query(f"SELECT doc_id, CAST(len(regexp_extract_all({GAPPED}, '_{{2,}}')) AS INTEGER) AS gaps FROM documents")
@@ -128,10 +129,11 @@ def gap_number(spark, d):
     return docs(spark, d).select("doc_id", text.number_gaps(gapped()).alias("numbered"))
 
 
-@query("SELECT doc_id, text AS filled FROM documents")
+@query(r"SELECT doc_id, regexp_replace(text, '([a-z]{7,})', '<\1>', 'g') AS filled FROM documents")
 def gap_fill(spark, d):
-    """Long words are cut out and filled in again."""
-    return docs(spark, d).select("doc_id", text.fill_gaps(gapped(), F.expr("regexp_extract_all(text, '([a-z]{7,})', 1)")).alias("filled"))
+    """Long words are cut out and filled in again, in brackets."""
+    words = F.transform(F.expr("regexp_extract_all(text, '([a-z]{7,})', 1)"), lambda w: F.concat(F.lit("<"), w, F.lit(">")))
+    return docs(spark, d).select("doc_id", text.fill_gaps(gapped(), words).alias("filled"))
 
 
 @query("SELECT doc_id, array_to_string(list_transform(regexp_extract_all(text, '[a-z]{9,}'), lambda x, i: i || ':' || x), ' | ') AS answers FROM documents")
@@ -150,10 +152,20 @@ def conv_join_sentences(spark, d):
     return by.select("conv_id", text.join_sentences(F.col("t.text")).alias("sentences"))
 
 
-@query("SELECT doc_id, CAST(len(string_split(text, ' ')) AS INTEGER) AS n, array_to_string(string_split(text, ' '), '|') AS joined FROM documents WHERE text NOT LIKE '%|%'")
+@query("SELECT doc_id, CAST(len(string_split(joined, '|')) AS INTEGER) AS n, joined FROM (SELECT doc_id, array_to_string(string_split(text, ' '), '|') AS joined FROM documents)")
 def split_join_roundtrip(spark, d):
+    """Words as options; one with the separator in it comes back as two, as it does in the source format."""
     joined = text.join_options(F.split("text", " ", -1))
-    return docs(spark, d).where(~F.col("text").contains("|")).select("doc_id", F.size(text.split_options(joined)).alias("n"), joined.alias("joined"))
+    return docs(spark, d).select("doc_id", F.size(text.split_options(joined)).alias("n"), joined.alias("joined"))
+
+
+@query("SELECT doc_id, array_to_string(list_filter([CAST(doc_id % 3 AS VARCHAR), CASE WHEN doc_id % 5 > 0 THEN CAST(doc_id % 5 AS VARCHAR) ELSE '' END, 'false', lang, CASE WHEN doc_id % 2 = 0 THEN 'true' ELSE '' END], lambda x: x <> ''), '|') AS options FROM documents")
+def option_list(spark, d):
+    """Options of mixed JSON types: numbers as strings and as numbers, where 0 counts as none, truth values as both, null."""
+    number, flag = (F.col("doc_id") % 5).cast("string"), F.when(F.col("doc_id") % 2 == 0, "true").otherwise("false")
+    listed = F.concat(F.lit('["'), (F.col("doc_id") % 3).cast("string"), F.lit('", '), number, F.lit(', "false", null, "'), "lang", F.lit('", '), flag, F.lit("]"))
+    keyed = F.concat(F.lit('{"z": "'), (F.col("doc_id") % 3).cast("string"), F.lit('", "y": '), number, F.lit(', "x": "false", "w": null, "v": "'), "lang", F.lit('", "a": '), flag, F.lit("}"))
+    return docs(spark, d).select("doc_id", text.join_options(text.option_list(F.when(F.col("doc_id") % 4 < 2, listed).otherwise(keyed))).alias("options"))
 
 
 @query("SELECT doc_id, list_contains(opts, ans) AS found FROM (SELECT doc_id, string_split(text, ' ') AS opts, source AS ans FROM documents)")
@@ -227,7 +239,7 @@ def case_map_difficulty(spark, d):
 
 @query("SELECT doc_id, CASE WHEN doc_id % 4 < 3 THEN ['easy', 'medium', 'hard'][doc_id % 4 + 1] ELSE 'medium' END AS difficulty, CASE WHEN doc_id % 2 = 0 THEN 'VOCAB' ELSE upper(lang) END AS question_type FROM documents")
 def normalize_enum_default(spark, d):
-    raw = F.get(F.array(F.lit(" Easy"), F.lit("MEDIUM "), F.lit("hard"), F.lit("other")), (F.col("doc_id") % 4).cast("int"))
+    raw = F.get(F.array(F.lit("\t Easy\n"), F.lit("MEDIUM\u00a0"), F.lit("hard"), F.lit("other")), (F.col("doc_id") % 4).cast("int"))
     kind = F.when(F.col("doc_id") % 2 == 0, "").otherwise(F.concat(F.lit(" "), "lang"))
     return docs(spark, d).select("doc_id", enums.normalize_difficulty(raw).alias("difficulty"), enums.question_type(kind, trimmed=True).alias("question_type"))
 
@@ -367,10 +379,10 @@ def consolidate_union(spark, d):
     return consolidate.consolidate(spark, [("a_vocab.csv", vocab), ("Listening.csv", listening), ("speaking.csv", speaking), ("x_matching.csv", matching), ("other.csv", matching)])
 
 
-@query(STORE + ", i AS (SELECT id, level_id, ROW_NUMBER() OVER (PARTITION BY level_id ORDER BY id) - 1 AS i FROM q), r AS (SELECT id AS tree_id, level_id, ROW_NUMBER() OVER (PARTITION BY level_id ORDER BY id) - 1 AS rank, COUNT(*) OVER (PARTITION BY level_id) AS n FROM trees) SELECT i.id, i.level_id, r.tree_id FROM i JOIN r ON i.level_id = r.level_id AND i.i % r.n = r.rank")
+@query(STORE + ", i AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY level_id ORDER BY id) - 1 AS i FROM q), r AS (SELECT id AS tree_id, level_id, ROW_NUMBER() OVER (PARTITION BY level_id ORDER BY id) - 1 AS rank, COUNT(*) OVER (PARTITION BY level_id) AS n FROM trees) SELECT i.id, i.level_id, i.node_id, i.question_type, r.tree_id FROM i JOIN r ON i.level_id = r.level_id AND i.i % r.n = r.rank")
 def round_robin_assign(spark, d):
     q, _, t = store(spark, d)
-    return assign.round_robin(q.select("id", "level_id"), t, ["id"]).select("id", "level_id", "tree_id")
+    return assign.round_robin(q, t, ["id"]).select("id", "level_id", "node_id", "question_type", "tree_id")
 
 
 LOADED = """WITH r AS (SELECT doc_id, text, lang, source, ROW_NUMBER() OVER (PARTITION BY text ORDER BY doc_id) AS rn FROM documents)
@@ -457,13 +469,13 @@ def count_node_type_by_level(spark, d):
 @query(STORE + "SELECT level_id, skill, CAST(SUM(total) AS BIGINT) AS total FROM per_node GROUP BY 1, 2")
 def skill_by_level_left_join(spark, d):
     q, n, t = store(spark, d)
-    return stats.skill_by_level(listening(q), n, t)
+    return stats.skill_by_level(q, n, t)
 
 
 @query(STORE + "SELECT * FROM per_node")
 def node_by_level_with_skill(spark, d):
     q, n, t = store(spark, d)
-    return stats.node_by_level_with_skill(listening(q), n, t)
+    return stats.node_by_level_with_skill(q, n, t)
 
 
 @query(STORE + "SELECT node_type AS skill, question_type, COUNT(*) AS total FROM q JOIN nodes n ON q.node_id = n.id GROUP BY 1, 2")
@@ -501,37 +513,37 @@ def label_format(spark, d):
 @query(STORE + "SELECT level_id, CAST(SUM(CASE WHEN skill = 'VOCAB' THEN total ELSE 0 END) AS BIGINT) AS \"VOCAB\", CAST(SUM(CASE WHEN skill = 'LISTENING' THEN total ELSE 0 END) AS BIGINT) AS \"LISTENING\", CAST(SUM(CASE WHEN skill = 'MATCHING' THEN total ELSE 0 END) AS BIGINT) AS \"MATCHING\" FROM per_node GROUP BY 1")
 def pivot_skill_level(spark, d):
     q, n, t = store(spark, d)
-    return stats.skill_pivot(stats.skill_by_level(listening(q), n, t), ["VOCAB", "LISTENING", "MATCHING"])
+    return stats.skill_pivot(stats.skill_by_level(q, n, t), ["VOCAB", "LISTENING", "MATCHING"])
 
 
-@query(STORE + "SELECT l.level_id, s.skill, round(coalesce(c.total, 0) * 100.0 / l.base, 2) AS percent FROM (SELECT level_id, COUNT(*) AS base FROM listening GROUP BY 1) l CROSS JOIN (SELECT DISTINCT skill FROM per_node WHERE skill <> 'REVIEW') s LEFT JOIN (SELECT level_id, skill, SUM(total) AS total FROM per_node GROUP BY 1, 2) c ON c.level_id = l.level_id AND c.skill = s.skill")
+@query(STORE + "SELECT l.level_id, s.skill, round(coalesce(c.total, 0) * 100.0 / l.base, 2) AS percent FROM (SELECT level_id, COUNT(*) AS base FROM q GROUP BY 1) l CROSS JOIN (SELECT DISTINCT skill FROM per_node WHERE skill <> 'REVIEW') s LEFT JOIN (SELECT level_id, skill, SUM(total) AS total FROM per_node GROUP BY 1, 2) c ON c.level_id = l.level_id AND c.skill = s.skill")
 def skill_ratio_by_level(spark, d):
     q, n, t = store(spark, d)
-    return stats.skill_ratio(listening(q), n, t)
+    return stats.skill_ratio(q, n, t)
 
 
 @query(STORE + "SELECT skill, MIN(total) AS min, round(median(total), 2) AS median, MAX(total) AS max, round(stddev_pop(total), 2) AS std, round(avg(total), 2) AS mean, round(CASE WHEN avg(total) > 0 THEN stddev_pop(total) / avg(total) ELSE 0 END, 4) AS balance_score FROM per_node WHERE skill <> 'REVIEW' GROUP BY 1")
 def balance_by_skill(spark, d):
     q, n, t = store(spark, d)
-    return stats.balance_by_skill(stats.node_by_level_with_skill(listening(q), n, t))
+    return stats.balance_by_skill(stats.node_by_level_with_skill(q, n, t))
 
 
 @query(STORE + "SELECT l.level_id, coalesce(round(CASE WHEN s.mean > 0 THEN s.std / s.mean ELSE 0 END, 4), 0) AS balance_score FROM (SELECT DISTINCT level_id FROM q) l LEFT JOIN (SELECT level_id, avg(total) AS mean, stddev_pop(total) AS std FROM per_node WHERE skill <> 'REVIEW' GROUP BY 1) s ON s.level_id = l.level_id")
 def balance_by_level(spark, d):
     q, n, t = store(spark, d)
-    return stats.balance_by_level(stats.node_by_level_with_skill(listening(q), n, t), q.select("level_id").distinct())
+    return stats.balance_by_level(stats.node_by_level_with_skill(q, n, t), q.select("level_id").distinct())
 
 
 @query(STORE + "SELECT level_id, COUNT(*) AS total_nodes, round(COUNT_IF(total > 1) * 100.0 / COUNT(*), 2) AS above_lower_bound_percent, round(COUNT_IF(total < 3) * 100.0 / COUNT(*), 2) AS below_upper_bound_percent FROM per_node WHERE skill <> 'REVIEW' GROUP BY 1")
 def node_coverage(spark, d):
     q, n, t = store(spark, d)
-    return stats.node_coverage(stats.node_by_level_with_skill(listening(q), n, t), q.select("level_id").distinct(), 1, 3)
+    return stats.node_coverage(stats.node_by_level_with_skill(q, n, t), q.select("level_id").distinct(), 1, 3)
 
 
 @query(STORE + "SELECT level_id, 'Node ' || node_id || ' - ' || skill AS label, total, order_index FROM per_node WHERE skill <> 'REVIEW'")
 def chart_node_distribution(spark, d):
     q, n, t = store(spark, d)
-    return stats.charts(listening(q), n, t)["node-distribution"]
+    return stats.charts(q, n, t)["node-distribution"]
 
 
 @query(STORE + "SELECT node_type || ' - ' || question_type AS label, COUNT(*) AS total FROM q JOIN nodes n ON q.node_id = n.id WHERE node_type <> 'REVIEW' GROUP BY 1")
@@ -539,14 +551,35 @@ def chart_skill_question_type(spark, d):
     return stats.charts(*store(spark, d))["skill-x-question-type"]
 
 
+@query(STORE + "SELECT l.level_id, s.skill, round(coalesce(c.total, 0) * 100.0 / l.base, 2) AS percent FROM (SELECT level_id, COUNT(*) AS base FROM q GROUP BY 1) l CROSS JOIN (SELECT DISTINCT skill FROM per_node WHERE skill <> 'REVIEW') s LEFT JOIN (SELECT level_id, skill, SUM(total) AS total FROM per_node GROUP BY 1, 2) c ON c.level_id = l.level_id AND c.skill = s.skill")
+def chart_skill_ratio(spark, d):
+    return stats.charts(*store(spark, d))["skill-ratio-by-level"]
+
+
+@query(STORE + "SELECT skill, MIN(total) AS min, round(median(total), 2) AS median, MAX(total) AS max, round(stddev_pop(total), 2) AS std, round(avg(total), 2) AS mean, round(CASE WHEN avg(total) > 0 THEN stddev_pop(total) / avg(total) ELSE 0 END, 4) AS balance_score FROM per_node WHERE skill <> 'REVIEW' GROUP BY 1")
+def chart_node_balance(spark, d):
+    return stats.charts(*store(spark, d))["node-balance-by-skill"]
+
+
+@query(STORE + "SELECT l.level_id, coalesce(n, 0) AS total_nodes, coalesce(above, 0) AS above_lower_bound_percent, coalesce(below, 0) AS below_upper_bound_percent FROM (SELECT DISTINCT level_id FROM q) l LEFT JOIN (SELECT level_id, COUNT(*) AS n, round(COUNT_IF(total > 100) * 100.0 / COUNT(*), 2) AS above, round(COUNT_IF(total < 1000) * 100.0 / COUNT(*), 2) AS below FROM per_node WHERE skill <> 'REVIEW' GROUP BY 1) c ON c.level_id = l.level_id")
+def chart_node_coverage(spark, d):
+    return stats.charts(*store(spark, d))["node-coverage-by-level"]
+
+
+@query(STORE + "SELECT l.level_id, coalesce(round(CASE WHEN s.mean > 0 THEN s.std / s.mean ELSE 0 END, 4), 0) AS balance_score FROM (SELECT DISTINCT level_id FROM q) l LEFT JOIN (SELECT level_id, avg(total) AS mean, stddev_pop(total) AS std FROM per_node WHERE skill <> 'REVIEW' GROUP BY 1) s ON s.level_id = l.level_id")
+def chart_balance_score(spark, d):
+    return stats.charts(*store(spark, d))["balance-score-by-level"]
+
+
 # ---- sampling and export
 
 PLACED_NODES = STORE + """, placed AS (SELECT n.*, t.level_id FROM nodes n JOIN trees t ON n.skill_tree_id = t.id),
 drawn AS (SELECT tree_id, node_id, node_type, id, question_type, level_id, rn FROM (SELECT p.skill_tree_id AS tree_id, p.id AS node_id, p.node_type, q.id, q.question_type, q.level_id, ROW_NUMBER() OVER (PARTITION BY p.id ORDER BY md5(q.id || '#s'), q.id) AS rn FROM q JOIN placed p ON q.node_id = p.id AND q.level_id = p.level_id WHERE p.node_type <> 'REVIEW') WHERE rn <= CASE WHEN node_type IN ('LISTENING', 'SPEAKING') THEN 1 ELSE 10 END),
-target AS (SELECT skill_tree_id AS tree_id, level_id, MIN(id) AS node_id FROM placed WHERE node_type = 'REVIEW' GROUP BY 1, 2),
+target AS (SELECT skill_tree_id AS tree_id, level_id, id AS node_id FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY skill_tree_id ORDER BY order_index, id) AS place FROM placed WHERE node_type = 'REVIEW') WHERE place = 1),
 gate AS (SELECT DISTINCT tree_id, node_type AS question_type FROM drawn),
 review AS (SELECT tree_id, node_id, 'REVIEW' AS node_type, id, question_type, level_id, rn FROM (SELECT t.tree_id, t.node_id, q.id, q.question_type, q.level_id, ROW_NUMBER() OVER (PARTITION BY t.tree_id, q.question_type ORDER BY md5(q.id || '#s'), q.id) AS rn FROM target t JOIN gate g ON g.tree_id = t.tree_id JOIN q ON q.level_id = t.level_id AND q.question_type = g.question_type WHERE NOT EXISTS (SELECT 1 FROM drawn d WHERE d.tree_id = t.tree_id AND d.id = q.id)) WHERE rn <= CASE WHEN question_type IN ('VOCAB', 'MATCHING') THEN 4 ELSE 1 END),
-exam AS (SELECT * FROM drawn UNION ALL SELECT * FROM review)
+exam AS (SELECT * FROM drawn UNION ALL SELECT * FROM review),
+numbered AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY node_id ORDER BY CASE WHEN node_type = 'REVIEW' THEN list_position(['VOCAB', 'MATCHING', 'LISTENING', 'SPEAKING'], question_type) ELSE 0 END, rn) AS number FROM exam)
 """
 
 
@@ -569,11 +602,12 @@ def duplicate_rate(spark, d):
     return sample.duplicate_rate(drawn(spark, d))
 
 
-@query(PLACED_NODES + "SELECT tree_id, COUNT(DISTINCT node_id) AS nodes, COUNT(*) AS questions FROM exam GROUP BY 1")
+@query(PLACED_NODES + "SELECT p.skill_tree_id AS tree_id, COUNT(DISTINCT p.id) AS nodes, COUNT(e.id) AS questions FROM placed p LEFT JOIN exam e ON e.node_id = p.id WHERE p.node_type <> 'REVIEW' OR p.id IN (SELECT node_id FROM target) GROUP BY 1")
 def exam_nested(spark, d):
-    n = sample.nested(drawn(spark, d), ["id"])
+    _, n, t = store(spark, d)
+    exams = sample.nested(sample.with_empty_nodes(drawn(spark, d), n, t), ["id"])
     size = F.aggregate("nodes", F.lit(0).cast("long"), lambda a, x: a + F.size(x["questions"]))
-    return n.select("tree_id", F.size("nodes").cast("long").alias("nodes"), size.alias("questions"))
+    return exams.select("tree_id", F.size("nodes").cast("long").alias("nodes"), size.alias("questions"))
 
 
 @query(PLACED_NODES + "SELECT tree_id, node_id, node_type, question_type, CAST(rn AS INTEGER) AS rn, id FROM exam")
@@ -581,9 +615,9 @@ def exam_flatten(spark, d):
     return sample.flattened(sample.nested(drawn(spark, d), ["id"]))
 
 
-@query(PLACED_NODES + "SELECT node_id, id, CAST(ROW_NUMBER() OVER (PARTITION BY node_id ORDER BY question_type, rn) AS INTEGER) AS number FROM exam")
+@query(PLACED_NODES + "SELECT node_id, id, CAST(number AS INTEGER) AS number FROM numbered")
 def number_within_group(spark, d):
-    return drawn(spark, d).select("node_id", "id", F.row_number().over(W.partitionBy("node_id").orderBy("question_type", "rn")).alias("number"))
+    return export.numbered(drawn(spark, d)).select("node_id", "id", "number")
 
 
 @query(STORE + "SELECT id AS tree_id, CAST(ROW_NUMBER() OVER (ORDER BY level_id, order_index, id) AS INTEGER) AS tree_number FROM trees")
@@ -591,20 +625,40 @@ def global_rank(spark, d):
     return trees(spark, d).select(F.col("id").alias("tree_id"), F.row_number().over(W.orderBy("level_id", "order_index", "id")).alias("tree_number"))  # a few dozen trees
 
 
-@query()
+SHUFFLED = """WITH given AS (SELECT c_custkey AS id, c_mktsegment AS answer, unnest([c_name, 'x', 'y', 'z']) AS v FROM customer),
+others AS (SELECT id, v, ROW_NUMBER() OVER (PARTITION BY id ORDER BY md5(id || v || '#s'), v) AS place FROM given WHERE v <> answer),
+kept AS (SELECT id, v FROM others WHERE place < 4 UNION ALL SELECT c_custkey, c_mktsegment FROM customer),
+shown AS (SELECT id, v, ROW_NUMBER() OVER (PARTITION BY id ORDER BY md5(id || v || '!#s'), v) AS place FROM kept)
+SELECT c.c_custkey, string_agg(s.v, '|' ORDER BY s.place) AS options, ['A', 'B', 'C', 'D'][MAX(CASE WHEN s.v = c.c_mktsegment THEN s.place END)] AS letter FROM customer c JOIN shown s ON s.id = c.c_custkey GROUP BY 1"""
+
+
+@query(SHUFFLED)
 def shuffle_options(spark, d):
     opts = F.array("c_name", "c_mktsegment", F.lit("x"), F.lit("y"), F.lit("z"))
     rows = read(spark, d, "customer").withColumn("options", export.shuffled_options(opts, F.col("c_mktsegment"), F.col("c_custkey"), "s"))
     return rows.select("c_custkey", F.array_join("options", "|").alias("options"), export.answer_letter(F.col("options"), F.col("c_mktsegment")).alias("letter"))
 
 
-@query()
+SHEETS = PLACED_NODES.rstrip() + """, asked AS (SELECT x.*, o.o_orderpriority AS answer, c.c_name AS question, c.c_mktsegment AS segment FROM numbered x JOIN orders o ON o.o_orderkey = x.id JOIN customer c ON c.c_custkey = o.o_custkey),
+options AS (SELECT node_id, id, answer, v, ROW_NUMBER() OVER (PARTITION BY node_id, id ORDER BY md5(id || v || '!#s'), v) AS place FROM (SELECT node_id, id, answer, unnest([question, segment, answer]) AS v FROM asked WHERE question_type = 'VOCAB')),
+listed AS (SELECT node_id, id, string_agg(['A', 'B', 'C'][place] || '. ' || v, chr(10) ORDER BY place) AS lines, ['A', 'B', 'C'][MAX(CASE WHEN v = answer THEN place END)] AS letter FROM options GROUP BY 1, 2),
+blocks AS (SELECT a.node_id, a.number, CASE
+    WHEN question_type = 'VOCAB' THEN 'Q' || number || ': ' || question || chr(10) || lines || chr(10) || 'Answer: ' || letter || chr(10) || chr(10)
+    WHEN question_type = 'LISTENING' OR (question_type = 'MATCHING' AND node_type = 'REVIEW') THEN 'Q' || number || ': ' || question || chr(10) || 'Answer: ' || answer || chr(10) || chr(10)
+    WHEN question_type = 'MATCHING' THEN number || '. ' || question || ' -> ' || answer || chr(10)
+    WHEN question_type = 'SPEAKING' THEN 'Q' || number || ': [Speaking] ' || question || chr(10) || answer || chr(10) || chr(10) END AS block FROM asked a LEFT JOIN listed l ON l.node_id = a.node_id AND l.id = a.id),
+bodies AS (SELECT node_id, string_agg(block, '' ORDER BY number) AS body FROM blocks GROUP BY 1),
+parts AS (SELECT p.skill_tree_id AS tree_id, p.id, p.order_index, p.node_type, 'NODE ' || p.node_type || chr(10) || chr(10) || coalesce(b.body, '') || chr(10) || chr(10) AS part FROM placed p LEFT JOIN bodies b ON b.node_id = p.id WHERE p.node_type <> 'REVIEW' OR p.id IN (SELECT node_id FROM target)),
+whole AS (SELECT tree_id, string_agg(part, '' ORDER BY node_type = 'REVIEW', order_index, id) AS body FROM parts GROUP BY 1)
+SELECT t.level_id, CAST(ROW_NUMBER() OVER (ORDER BY t.level_id, t.order_index, t.id) AS INTEGER) AS tree_number, t.id AS tree_id, 'TREE ' || t.id || chr(10) || repeat('=', 36) || chr(10) || chr(10) || coalesce(w.body, '') AS content FROM trees t LEFT JOIN whole w ON w.tree_id = t.id"""
+
+
+@query(SHEETS)
 def exam_sheets(spark, d):
     q, n, t = store(spark, d)
-    rows = drawn(spark, d).join(n.select(F.col("id").alias("node_id"), "order_index"), "node_id")
     facts = read(spark, d, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").cast("string").alias("mongo_question_id"), F.col("o_orderpriority").alias("correct_answer"))
     doc = read(spark, d, "customer").select(F.col("c_custkey").cast("string").alias("_id"), F.col("c_name").alias("question_text"), F.array("c_name", "c_mktsegment").alias("distractors"), F.create_map(F.lit("audio_url"), F.lit("")).alias("metadata"))
-    return export.sheets(sample.enrich(rows, facts, doc), t, "s")
+    return export.sheets(sample.with_empty_nodes(sample.enrich(drawn(spark, d), facts, doc), n, t), t, "s")
 
 
 MEASURED = "(SELECT CAST(l_linenumber AS INTEGER) AS level, CAST(l_suppkey % 4 AS INTEGER) AS runs, l_quantity > 5 AS ok, CASE WHEN l_quantity > 5 THEN l_quantity END AS ms, CASE WHEN l_quantity > 5 THEN l_discount END AS duplicate FROM lineitem)"
@@ -617,7 +671,14 @@ def report_runs(spark, d):
     return report.summarize(rows)
 
 
-@query("SELECT 'reason,difficulty' AS line WHERE FALSE UNION ALL SELECT '=== KHONG_CO_CAU_NAO_CAN_REVIEW ===,medium'")
+@query("SELECT '=== KHONG_CO_CAU_NAO_CAN_REVIEW ===,medium' AS line WHERE NOT EXISTS (SELECT 1 FROM documents WHERE text IS NULL) UNION ALL SELECT source || ',' || lang FROM documents WHERE text IS NULL")
 def sink_sentinel(spark, d):
-    none = docs(spark, d).where("doc_id < 0").select(F.col("source").alias("reason"), F.col("lang").alias("difficulty"))
-    return sinks.csv_lines(sinks.or_sentinel(none, ["reason", "difficulty"], sinks.NOTHING_TO_REVIEW, "reason"), ["reason", "difficulty"]).select("line")
+    """Documents without a text are the rejects."""
+    rejects = docs(spark, d).where("text is null").select(F.col("source").alias("reason"), F.col("lang").alias("difficulty"))
+    return sinks.csv_lines(sinks.or_sentinel(rejects, ["reason", "difficulty"], sinks.NOTHING_TO_REVIEW, "reason"), ["reason", "difficulty"]).select("line")
+
+
+@query("""SELECT '"' || source || '","' || replace(text, '"', '""') || '",' || lang AS line FROM documents""")
+def sink_quoted(spark, d):
+    """The two sides of a pair are always quoted, the level isn't."""
+    return sinks.csv_lines(docs(spark, d), ["source", "text", "lang"], ("source", "text")).select("line")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,32 +19,44 @@ def selected_modes(mode: str, first: str = "statics", strict: bool = False) -> l
     return [first, "upstream"]
 
 
-def _list(spark: SparkSession, folder: str, any_case: bool) -> list[str]:
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(path) if s.isFile()]
-    return sorted((n for n in names if (n.lower() if any_case else n).endswith(".json")), key=lambda n: (n.lower(), n))
+def _files(spark: SparkSession, folder: str):
+    """The folder's file system and path, None for the path if there is no such folder."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files, path if files.exists(path) else None
+
+
+def _has_json(spark: SparkSession, folder: str, any_case: bool) -> bool:
+    files, path = _files(spark, folder)
+    found = files.listStatusIterator(path) if path is not None else None
+    while found is not None and found.hasNext():
+        status = found.next()
+        name = status.getPath().getName()
+        if status.isFile() and (name.lower() if any_case else name).endswith(".json"):
+            return True
+    return False
 
 
-def read_items(spark: SparkSession, root: str, modes: list[str], any_case: bool = True) -> tuple[DataFrame, list[str]]:
-    """Items of all JSON files under root/mode, and the modes without a folder or file.
+def read_items(spark: SparkSession, root: str, modes: list[str], any_case: bool = True, required: bool = False) -> tuple[DataFrame, list[str]]:
+    """Items of all JSON files under root/mode, and the modes without a folder or file. One scan, however many files there are.
 
     Columns: mode, file, seq (mode, file and item rank), pos (from 1; null for a broken file), item (text), kind (JSON type), error.
+    ``required``: a root that is no folder, or has no file for any of the modes, is an error.
     """
-    parts, missing = [], []
-    for rank, mode in enumerate(modes):
-        names = _list(spark, f"{root}/{mode}", any_case)
-        if not names:
-            missing.append(mode)
-        for k, name in enumerate(names):
-            text = spark.read.text(f"{root}/{mode}/{name}", wholetext=True)
-            parts.append(text.select(F.lit(mode).alias("mode"), F.lit(name).alias("file"), F.lit(rank).alias("mode_rank"), F.lit(k).alias("file_rank"), "value"))
-    if not parts:
-        return spark.createDataFrame([], "mode string, file string, seq struct<mode_rank:int,file_rank:int,pos:int>, pos int, item string, kind string, error string"), missing
-    return json_items(reduce(DataFrame.unionByName, parts)), missing
+    if required and _files(spark, root)[1] is None:
+        raise FileNotFoundError(root)
+    found = [m for m in modes if _has_json(spark, f"{root}/{m}", any_case)]
+    missing = [m for m in modes if m not in found]
+    if required and not found:
+        raise FileNotFoundError(f"no JSON file under {root}: {', '.join(modes)}")
+    if not found:
+        return spark.createDataFrame([], "mode string, file string, seq struct<mode_rank:int,file_rank:string,pos:int>, pos int, item string, kind string, error string"), missing
+    texts = spark.read.option("pathGlobFilter", "*.[jJ][sS][oO][nN]" if any_case else "*.json").text([f"{root}/{m}" for m in found], wholetext=True)
+    plain = lambda c: F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))  # names come as parts of a URI
+    named = texts.select("value", plain(F.col("_metadata.file_name")).alias("file"), plain(F.element_at(F.split("_metadata.file_path", "/"), -2)).alias("mode"))
+    rank = F.array_position(F.array(*(F.lit(m) for m in modes)), F.col("mode")).cast("int") - 1
+    # names in order without regard to case, then with
+    return json_items(named.select("mode", "file", rank.alias("mode_rank"), F.concat(F.lower("file"), F.lit("/"), "file").alias("file_rank"), "value")), missing
 
 
 def json_items(texts: DataFrame) -> DataFrame:
@@ -70,12 +80,19 @@ def read_csv(spark: SparkSession, path: str | list[str], comments: bool = False)
     return df.toDF(*(c.replace("\ufeff", "").strip() for c in df.columns))
 
 
+def read_consolidated(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """The consolidated file, ``columns`` in this order; a missing file is an error."""
+    if _files(spark, path)[1] is None:
+        raise FileNotFoundError(path)
+    return read_csv(spark, path).select(*columns)
+
+
 def read_csv_folder(spark: SparkSession, folder: str) -> list[tuple[str, DataFrame]]:
-    """(file name, rows) of every file in a folder, by name."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    names = sorted(s.getPath().getName() for s in fs.listStatus(path) if s.isFile())
+    """(file name, rows) of every file in a folder, by name; their headers differ, so each is a frame of its own."""
+    files, path = _files(spark, folder)
+    if path is None:
+        raise FileNotFoundError(folder)
+    names = sorted(s.getPath().getName() for s in files.listStatus(path) if s.isFile())
     return [(n, read_csv(spark, f"{folder}/{n}")) for n in names]
 
 

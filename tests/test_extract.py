@@ -1,5 +1,7 @@
 import json
 
+import pytest
+
 from lectern.operators import extract
 from lectern.sources.files import json_items, read_items, selected_modes
 
@@ -54,10 +56,11 @@ def test_vocab_reasons(spark):
     rows = [
         {"question": "Q one", "answer": "a", "options": ["a", "b"]}, {"question": "q  ONE", "answer": "a", "options": {"A": "a"}},
         {"question": "two", "answer": "A", "options": ["a"]}, {"question": "three", "answer": "a"}, {"question": " ", "answer": "a", "options": ["a"]}, 7,
+        {"question": "four", "answer": "0", "options": ["0", 1]}, {"question": "five", "answer": "0", "options": [0, "1"]},
     ]
     out = extract.vocab(items(spark, ("b1.json", rows), ("b2.json", "[{")))
-    assert [(r["sentence"], r["distractors"], r["difficulty"]) for r in out.main.collect()] == [("Q one", "a|b", "easy")]
-    assert reasons(out.review) == [("upstream/b1.json", "ANSWER_NOT_IN_OPTIONS"), ("upstream/b1.json", "MISSING_OPTIONS"), ("upstream/b2.json", "JSON_PARSE_ERROR:invalid JSON")]
+    assert sorted((r["sentence"], r["distractors"], r["difficulty"]) for r in out.main.collect()) == [("Q one", "a|b", "easy"), ("four", "0|1", "easy")]
+    assert reasons(out.review) == [("upstream/b1.json", "ANSWER_NOT_IN_OPTIONS"), ("upstream/b1.json", "ANSWER_NOT_IN_OPTIONS"), ("upstream/b1.json", "MISSING_OPTIONS"), ("upstream/b2.json", "JSON_PARSE_ERROR:invalid JSON")]
     assert [r["sentence"] for r in out.duplicates.collect()] == ["q ONE"]
 
 
@@ -71,5 +74,15 @@ def test_reading_folders(spark, tmp_path):
     assert missing == ["destination"]
     assert [(r["file"], r["item"], r["pos"]) for r in found.orderBy("seq").collect()] == [("A.json", "2", 1), ("A.json", "3", 2), ("b.JSON", "1", 1)]
     assert selected_modes("x") == ["statics", "upstream"] and selected_modes("upstream") == ["upstream"]
+    (folder / "C d%1.json").write_text("[5]")
+    (tmp_path / "statics").mkdir()
+    (tmp_path / "statics" / "z.json").write_text("{")
+    both, missing = read_items(spark, str(tmp_path), ["statics", "upstream"], any_case=False)
+    assert missing == [] and [(r["mode"], r["file"], r["error"] is None) for r in both.orderBy("seq").collect()] == [("statics", "z.json", False), ("upstream", "A.json", True), ("upstream", "A.json", True), ("upstream", "C d%1.json", True)]
+    assert len(both.inputFiles()) == 3
+    for root, modes in ((str(tmp_path / "no"), ["upstream"]), (str(tmp_path), ["destination"])):
+        with pytest.raises(FileNotFoundError):
+            read_items(spark, root, modes, required=True)
+    (tmp_path / "statics" / "z.json").unlink()
     none, missing = read_items(spark, str(tmp_path), ["statics"])
     assert none.count() == 0 and missing == ["statics"]

@@ -27,6 +27,8 @@ def test_options(spark):
     c = text.option_list(F.col("a"))
     assert one(spark, c, a='["x", " y ", "", null]') == ["x", "y"]
     assert one(spark, c, a='{"B": "b", "A": "a"}') == ["b", "a"]
+    assert one(spark, c, a='["0", "1", "false", 0, 0.0, 1, 2.5, true, false, null, "x"]') == ["0", "1", "false", "1", "2.5", "true", "x"]
+    assert one(spark, c, a='{"b": "0", "a": 0, "c": false}') == ["0"]
     assert one(spark, c, a="5") == [] and one(spark, c, a="oops") == []
     assert one(spark, text.split_options(F.col("a")), a="a|b|c") == ["a", "b", "c"]
     assert one(spark, text.split_options(F.col("a")), a="") == []
@@ -52,5 +54,7 @@ def test_enums(spark):
     assert one(spark, enums.difficulty_of(F.col("a"), enums.EXAM_MARKS, "medium"), a="C1.json") == "hard"
     assert one(spark, enums.normalize_difficulty(F.col("a")), a=" Easy ") == "easy"
     assert one(spark, enums.normalize_difficulty(F.col("a")), a="odd") == "medium"
+    assert one(spark, enums.normalize_difficulty(F.col("a")), a="\thard\n") == "hard"
+    assert one(spark, enums.normalize_difficulty(F.col("a")), a="\u00a0EASY") == "easy"
     assert one(spark, enums.node_id(F.lit(3), F.col("a")), a="MATCHING") == 14
     assert one(spark, enums.node_id(F.lit(3), F.col("a")), a="OTHER") == 11

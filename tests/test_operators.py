@@ -1,7 +1,9 @@
 from pyspark.sql import functions as F
 
-from lectern.operators import assign, export, load, report, sample, sinks
-from lectern.sources.files import read_csv
+import pytest
+
+from lectern.operators import assign, export, load, report, sample, sinks, stats
+from lectern.sources.files import read_consolidated, read_csv, read_jdbc
 from lectern.streaming.load import load_stream
 
 
@@ -14,6 +16,17 @@ def test_round_robin_is_even_under_one_hot_level(spark):
     assert {r["id"] % 3: r["tree_id"] for r in got.where("level_id = 1").collect()} == {0: 10, 1: 11, 2: 12}
 
 
+def test_numbers_have_no_gap_under_a_hot_level_and_wide_rows(spark):
+    q = spark.range(120_000).select((F.col("id") * 7919 % 120_000).alias("id"), F.when(F.col("id") % 10 < 8, 1).otherwise(F.col("id") % 10).cast("int").alias("level_id"), F.repeat(F.sha2(F.col("id").cast("string"), 256), 6).alias("text"), F.lit(5).alias("_n"))
+    q = q.unionByName(q.where("id < 0")).repartition(7)
+    got = assign.numbered(q, "level_id", ["id"], "place")
+    assert got.columns == [*q.columns, "place"]
+    by = got.groupBy("level_id").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("place").alias("d"), F.min("place").alias("low"), F.max("place").alias("high")).collect()
+    assert sum(r["n"] for r in by) == 120_000 and all(r["d"] == r["n"] == r["high"] + 1 and r["low"] == 0 for r in by)
+    assert got.join(got.select("level_id", (F.col("place") + 1).alias("place"), F.col("id").alias("before")), ["level_id", "place"]).where("before >= id").count() == 0
+    assert sorted(r["place"] for r in assign.numbered(spark.createDataFrame([(None, 1), (None, 2), (1, 3)], "level_id int, id int"), "level_id", ["id"], "place").collect()) == [0, 0, 1]
+
+
 def questions(spark):
     rows = [(i, f"text {i % 7}", "a|b", "a", "easy", "VOCAB", None, 5, 1) for i in range(20)]
     return spark.createDataFrame(rows, "pos int, sentence string, options string, answer string, difficulty string, question_type string, audio_url string, node_id int, level_id int")
@@ -73,7 +86,41 @@ def test_sheets(spark, tmp_path):
     assert [line for line in body.split("\n") if line.startswith("NODE")] == [f"NODE {k}" for k in ("VOCAB", "LISTENING", "SPEAKING", "MATCHING", "REVIEW")]
     assert "Answer: None" not in body and " -> right\n" in body
     export.write_sheets(export.sheets(rows, trees, "s"), str(tmp_path / "out"))
-    assert (tmp_path / "out" / "level=level_1" / "tree=tree_2").is_dir()
+    assert sorted(str(p.relative_to(tmp_path / "out")) for p in (tmp_path / "out").rglob("*.txt")) == ["level_1/tree_1.txt", "level_1/tree_2.txt"]
+    assert (tmp_path / "out" / "level_1" / "tree_1.txt").read_text() == body
+
+
+def test_sheet_layout(spark):
+    """Every kind of question, a node that drew nothing, and the order in a review node."""
+    nodes = spark.createDataFrame([(1, 7, "VOCAB", 0), (2, 7, "LISTENING", 1), (3, 7, "SPEAKING", 2), (4, 7, "MATCHING", 3), (5, 7, "REVIEW", 4), (6, 7, "REVIEW", 5)], "id long, skill_tree_id long, node_type string, order_index int")
+    trees = spark.createDataFrame([(7, 2, 0), (8, 3, 0)], "id long, level_id int, order_index int")
+    drawn = [(7, 1, "VOCAB", 11, "VOCAB", 1), (7, 3, "SPEAKING", 12, "SPEAKING", 1), (7, 4, "MATCHING", 13, "MATCHING", 1), (7, 4, "MATCHING", 14, "MATCHING", 2)]
+    drawn += [(7, 5, "REVIEW", 21, "SPEAKING", 1), (7, 5, "REVIEW", 22, "LISTENING", 1), (7, 5, "REVIEW", 23, "MATCHING", 2), (7, 5, "REVIEW", 24, "MATCHING", 1), (7, 5, "REVIEW", 25, "VOCAB", 1)]
+    rows = spark.createDataFrame([(*r, 2) for r in drawn], "tree_id long, node_id long, node_type string, id long, question_type string, rn int, level_id int")
+    full = sample.with_empty_nodes(rows, nodes, trees).withColumns({"correct_answer": F.concat(F.lit("a"), "id"), "question_text": F.when(F.col("id") == 12, "").otherwise(F.concat(F.lit("t"), "id")), "options": F.array().cast("array<string>")})
+    got = {r["tree_number"]: r["content"] for r in export.sheets(full, trees, "s").collect()}
+    line = "=" * 36
+    assert got[1] == (
+        f"TREE 7\n{line}\n\n"
+        "NODE VOCAB\n\nQ1: t11\nA. a11\nAnswer: A\n\n\n\n"
+        "NODE LISTENING\n\n\n\n"
+        "NODE SPEAKING\n\nQ1: [Speaking] Describe the image\na12\n\n\n\n"
+        "NODE MATCHING\n\n1. t13 -> a13\n2. t14 -> a14\n\n\n"
+        "NODE REVIEW\n\nQ1: t25\nA. a25\nAnswer: A\n\nQ2: t24\nAnswer: a24\n\nQ3: t23\nAnswer: a23\n\nQ4: t22\nAnswer: a22\n\nQ5: [Speaking] t21\na21\n\n\n\n"
+    )
+    assert got[2] == f"TREE 8\n{line}\n\n"
+    nested = sample.nested(sample.with_empty_nodes(rows, nodes, trees), ["id"]).first()["nodes"]
+    assert [(n["node_type"], [q["id"] for q in n["questions"]]) for n in nested] == [("VOCAB", [11]), ("LISTENING", []), ("SPEAKING", [12]), ("MATCHING", [13, 14]), ("REVIEW", [25, 24, 23, 22, 21])]
+
+
+def test_nodes_without_questions_count_zero(spark):
+    nodes = spark.createDataFrame([(1, 1, "a", "VOCAB", 0), (2, 1, "b", "VOCAB", 1), (3, 1, "c", "LISTENING", 2)], "id long, skill_tree_id long, title string, node_type string, order_index int")
+    trees = spark.createDataFrame([(1, 1, 0)], "id long, level_id int, order_index int")
+    q = spark.createDataFrame([(i, 1, 1, "VOCAB") for i in range(4)], "id long, node_id long, level_id int, question_type string")
+    assert [tuple(r) for r in stats.skill_by_level(q, nodes, trees).collect()] == [(1, "LISTENING", 0), (1, "VOCAB", 4)]
+    per_node = stats.node_by_level_with_skill(q, nodes, trees)
+    assert [r["total"] for r in per_node.collect()] == [4, 0, 0]
+    assert [tuple(r) for r in stats.node_coverage(per_node, q.select("level_id").distinct(), 1, 3).collect()] == [(1, 3, 33.33, 66.67)]
 
 
 def test_report(spark):
@@ -99,5 +146,31 @@ def test_sinks(spark, tmp_path):
     assert [r["left"] for r in empty.collect()] == [sinks.NO_DUPLICATE]
     full = sinks.or_sentinel(df.withColumn("difficulty", F.lit("")), ["left", "difficulty"], sinks.NO_DUPLICATE, "left")
     assert full.count() == 2
+    sinks.write_lines(sinks.csv_lines(df, ["left"]), str(tmp_path / "bare.csv"), ["left"], last_newline=False)
+    assert (tmp_path / "bare.csv").read_text() == 'left\na\n"b ""q"""'
+    sinks.write_review(df.where("seq > 9").withColumns({"reason": F.lit(""), "difficulty": F.lit("")}), ["left", "reason", "difficulty"], "matching", str(tmp_path / "review.csv"))
+    lines = (tmp_path / "review.csv").read_text().split("\n")
+    assert lines[0] == "# REVIEW_REASON_GUIDE" and lines[-3:] == ["left,reason,difficulty", f",{sinks.NOTHING_TO_REVIEW},medium", ""]
+    sinks.write_duplicates(df.withColumns({"reason": F.lit("EXACT_DUPLICATE_ROW"), "difficulty": F.lit("easy")}), ["reason", "left", "difficulty"], "speaking", str(tmp_path / "again.csv"))
+    assert (tmp_path / "again.csv").read_text().split("\n")[3:6] == ["reason,left,difficulty", "EXACT_DUPLICATE_ROW,a,easy", 'EXACT_DUPLICATE_ROW,"b ""q""",easy']
     sinks.write_csv(df, str(tmp_path / "csv"))
     assert read_csv(spark, str(tmp_path / "csv")).count() == 2
+
+
+def test_missing_inputs_are_errors(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        read_consolidated(spark, str(tmp_path / "none.csv"), ["a"])
+    (tmp_path / "some.csv").write_text("\ufeffa , b\n1,2\n")
+    assert [tuple(r) for r in read_consolidated(spark, str(tmp_path / "some.csv"), ["b", "a"]).collect()] == [("2", "1")]
+
+
+def test_store_tables_over_jdbc(spark, tmp_path):
+    """The embedded database that comes with Spark."""
+    url = f"jdbc:derby:{tmp_path}/store;create=true"
+    driver = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    df = spark.createDataFrame([(i, f"n{i}") for i in range(10)], "id int, title string")
+    sinks.append_jdbc(df.where("id < 6"), url, "nodes", **driver)
+    sinks.append_jdbc(df.where("id >= 6"), url, "nodes", **driver)
+    back = read_jdbc(spark, url, "nodes", **driver, partitionColumn="id", lowerBound="0", upperBound="10", numPartitions="2")
+    assert back.rdd.getNumPartitions() == 2
+    assert sorted((r["id"], r["title"]) for r in back.collect()) == [(i, f"n{i}") for i in range(10)]
