@@ -22,11 +22,12 @@ BLOCK_BYTES = 2 << 20
 BLOCKS_PER_BUCKET = 16
 
 
-def with_block(docs: DataFrame) -> tuple[DataFrame, int, int, int]:
-    """``docs`` (doc_id, text) with a ``block`` column; the number of blocks, of text bytes and of rows."""
+def with_block(docs: DataFrame, *more: str) -> tuple[DataFrame, int]:
+    """``docs`` (doc_id, text and ``more``) with a ``block`` column, and the number of blocks. Rows go to blocks by id and text, so
+    that only rows which repeat both meet in one block for sure."""
     n_bytes, rows = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count(F.lit(1))).first()
     blocks = max(1, math.ceil((n_bytes + 64 * rows) / BLOCK_BYTES))
-    return docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(blocks)).cast("int").alias("block")), blocks, n_bytes, rows
+    return docs.select("doc_id", "text", *more, F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block")), blocks
 
 
 def record(schema: T.StructType, rows: list[tuple]) -> pa.Table:

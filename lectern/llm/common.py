@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
 
@@ -13,47 +11,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lectern.shared import materialize
 
-#: Bytes of an Arrow batch, at most: they are held by the JVM and the worker.
-BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 4 << 20
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+__all__ = ["connected_components", "dealt_in_tiles", "importable", "map_rows", "map_stream", "materialize", "split_batch", "table"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that every executor sees: ``spark.checkpoint.dir``; a temporary one only where it is unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not found:
-        found = tempfile.mkdtemp(prefix="lectern-")
-        spark.sparkContext.setCheckpointDir(found)
-    return found.rstrip("/")
-
-
 def importable(df: DataFrame) -> DataFrame:
-    """Let Python workers find this package where it isn't installed (on a cluster, ship it with --py-files), and get small batches."""
-    df.sparkSession.conf.set(BATCH, str(BATCH_BYTES))
+    """Let Python workers find this package where it isn't installed (on a cluster, ship it with --py-files)."""
     env, root = df.sparkSession.sparkContext.environment, str(Path(__file__).resolve().parents[2])
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH"), root]))
     return df
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage: write ``df`` as Parquet to the shared folder and read it again."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/lectern-{uuid.uuid4().hex}"
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")  # what is written needs its shuffle files no longer
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def map_rows(df: DataFrame, schema: str | T.StructType, make: Callable[[], Callable[[list[list]], Iterable[tuple]]]) -> DataFrame:
     """Map each Arrow batch of ``df`` to rows.
 
@@ -84,29 +58,28 @@ def split_batch(batch: pa.RecordBatch, most: int = 2 << 20) -> Iterator[pa.Recor
         yield batch.slice(at, step)
 
 
-def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """Smallest reachable id for each id of undirected ``edges`` (u long, v long): (id, component).
 
     Alternates large-star and small-star steps (each a grouped minimum and an equi-join) until the sum of labels and the
-    number of edges stay the same; every step is written to the shared folder. Edges never reach the driver.
+    number of edges stay the same, which takes some log(ids) ** 2 rounds at most; every step is written to the shared folder in
+    place of the one before. Edges never reach the driver.
     Ids without an edge are absent; empty edges give an empty result.
     """
     e = materialize(edges.where("u is not null and v is not null and u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     seen = None
-    for _ in range(rounds):
+    while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         least = down.groupBy("u").agg(F.min("v").alias("m"))
         small = down.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("x")).select("x.*")
-        e = materialize(small.where("u <> v").distinct())
+        e = materialize(small.where("u <> v").distinct(), e)
         now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if tuple(now) == seen:
             break
         seen = tuple(now)
-    else:
-        raise RuntimeError("connected components did not settle")
     return e.groupBy(F.col("u").alias("id")).agg(F.min("v").alias("component")).unionByName(e.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct()).groupBy("id").agg(F.min("component").alias("component"))
 
 

@@ -1,21 +1,20 @@
-"""An FM-index over word symbols: suffix order, Burrows-Wheeler transform and a byte-wise wavelet tree for rank queries."""
+"""A compressed FM-index over word symbols: the Burrows-Wheeler transform in a wavelet tree of packed bits.
+
+A symbol takes one bit a level, and half as much again for rank counts; the suffix order is not kept, only what its owner asks for.
+"""
 
 from __future__ import annotations
 
 import numpy as np
 
-#: Rank counts are sampled every so many positions.
-SAMPLE = 64
-
 
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     """Positions sorted by the ``depth`` symbols from each on (prefix doubling); patterns up to that length can be searched."""
     rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
     k, order = 1, np.argsort(rank, kind="stable")
     while k < depth:
-        beyond = np.zeros_like(rank)
-        beyond[:-k] = rank[k:] + 1
-        key = rank * (int(rank.max()) + 2) + beyond
+        key = rank * (int(rank.max()) + 2)
+        key[:-k] += rank[k:] + 1
         order = np.argsort(key, kind="stable")
         step = np.concatenate([[0], np.cumsum(key[order][1:] != key[order][:-1])])
         rank = np.empty_like(rank)
@@ -26,72 +25,88 @@ def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     return order
 
 
-class Ranks:
-    """rank(c, i): occurrences of byte c before position i."""
+class Bits:
+    """Packed bits; ones(i): how many are set before position i."""
 
-    def __init__(self, seq: np.ndarray):
-        n = len(seq)
-        self.seq = np.zeros((n // SAMPLE + 1, SAMPLE), np.uint8)
-        self.seq.ravel()[:n] = seq
-        flat = np.bincount((np.arange(n) // SAMPLE) * 256 + seq, minlength=(n // SAMPLE + 1) * 256).reshape(-1, 256)
-        self.before = np.zeros((n // SAMPLE + 2, 256), np.uint32)
-        np.cumsum(flat, axis=0, out=self.before[1:], dtype=np.uint32)
-        self.inside = np.arange(SAMPLE, dtype=np.int64)
+    def __init__(self, bits: np.ndarray):
+        words = len(bits) // 64 + 1
+        packed = np.zeros(words * 8, np.uint8)
+        some = np.packbits(bits, bitorder="little")
+        packed[: len(some)] = some
+        self.words = packed.view(np.uint64)
+        self.before = np.zeros(words, np.uint32)
+        np.cumsum(np.bitwise_count(self.words)[:-1], out=self.before[1:], dtype=np.uint32)
 
-    def rank(self, c: np.ndarray, i: np.ndarray) -> np.ndarray:
-        block, rest = i // SAMPLE, i % SAMPLE
-        hit = (self.seq[block] == c[:, None]) & (self.inside < rest[:, None])
-        return self.before[block, c] + hit.sum(axis=1)
+    def ones(self, i: np.ndarray) -> np.ndarray:
+        word = i >> 6
+        below = (np.uint64(1) << (i & 63).astype(np.uint64)) - np.uint64(1)
+        return self.before[word] + np.bitwise_count(self.words[word] & below).astype(np.int64)
 
 
 class WaveletTree:
-    """Byte-wise wavelet tree: level l holds the l-th byte of each symbol, grouped by the bytes before it, order kept."""
+    """Levels of bits from the highest on; each puts symbols with a 0 before those with a 1, order kept."""
 
     def __init__(self, seq: np.ndarray, top: int):
-        self.levels = max(1, (int(top).bit_length() + 7) // 8)
-        self.nodes: list[Ranks] = []
-        self.starts: list[np.ndarray] = []  # by prefix: where its node begins
-        self.shifts = [8 * (self.levels - 1 - k) for k in range(self.levels)]
-        cur = seq
-        for shift in self.shifts:
-            prefix = cur >> (shift + 8)
-            size = (int(top) >> (shift + 8)) + 2
-            self.starts.append(np.concatenate([[0], np.cumsum(np.bincount(prefix, minlength=size))]))
-            byte = ((cur >> shift) & 255).astype(np.uint8)
-            self.nodes.append(Ranks(byte))
-            cur = cur[np.argsort(cur >> shift, kind="stable")]
+        self.levels: list[tuple[int, Bits, int]] = []  # shift, bits, number of zeros
+        for shift in range(max(1, int(top).bit_length()) - 1, -1, -1):
+            bit = (seq >> shift & 1).astype(bool)
+            self.levels.append((shift, Bits(bit), int(len(bit) - bit.sum())))
+            seq = np.concatenate([seq[~bit], seq[bit]])
+        every = np.arange(top + 1)
+        self.starts = self.down(every, np.zeros(top + 1, np.int64)).astype(np.uint32)
+
+    def down(self, c: np.ndarray, i: np.ndarray) -> np.ndarray:
+        for shift, bits, zeros in self.levels:
+            ones = bits.ones(i)
+            i = np.where(c >> shift & 1 == 1, zeros + ones, i - ones)
+        return i
 
     def rank(self, c: np.ndarray, i: np.ndarray) -> np.ndarray:
         """Occurrences of symbols ``c`` before positions ``i``."""
-        for node, starts, shift in zip(self.nodes, self.starts, self.shifts, strict=True):
-            byte, start = (c >> shift) & 255, starts[c >> (shift + 8)]
-            i = node.rank(byte, start + i) - node.rank(byte, start) if shift + 8 < 8 * self.levels else node.rank(byte, i).astype(np.int64)
-        return i
+        return self.down(c, i) - self.starts[c]
+
+    def nbytes(self) -> int:
+        return self.starts.nbytes + sum(b.words.nbytes + b.before.nbytes for _, b, _ in self.levels)
 
 
 class FmIndex:
-    def __init__(self, text: np.ndarray, depth: int):
-        """``text``: non-negative symbols, 0 between parts."""
-        self.n = len(text)
-        self.order = suffix_order(text, depth)
-        top = int(text.max())
+    def __init__(self, text: np.ndarray, depth: int, values: np.ndarray):
+        """``text``: non-negative symbols, 0 between parts; ``values``: a number for each position, kept in suffix order."""
+        order = suffix_order(text, depth)
+        self.n, top = len(text), int(text.max())
         self.first = np.concatenate([[0], np.cumsum(np.bincount(text, minlength=top + 1))])
-        self.tree = WaveletTree(text[self.order - 1], top)
+        self.tree = WaveletTree(text[order - 1], top)
+        self.distinct, place = np.unique(values, return_inverse=True)
+        self.values = place.astype(np.int32)[order]
 
-    def search(self, patterns: np.ndarray, alone: bool = False, batch: int = 1 << 15) -> tuple[np.ndarray, np.ndarray]:
-        """Suffix intervals [lo, hi) of equally long patterns (n, length), by backward search, all rows at a time.
+    def matching(self, text: np.ndarray, ends: np.ndarray, most: int, batch: int = 1 << 15) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Matching statistics of a streamed ``text``: for each of ``ends``, how many symbols up to and with it occur at more than one
+        place of the index (``most`` at most), and the suffix interval [lo, hi) of that match. Symbol 0 matches nothing.
 
-        ``alone``: stop at intervals of one; their pattern, if known to occur, occurs once.
+        Backward search, all positions of a batch at a time.
         """
-        lo, hi = np.zeros(len(patterns), np.int64), np.full(len(patterns), self.n, np.int64)
-        for s in range(0, len(patterns), batch):
-            part = patterns[s : s + batch]
-            live, a, b = np.arange(len(part)), lo[s : s + batch], hi[s : s + batch]
-            for t in range(part.shape[1] - 1, -1, -1):
-                c = part[live, t]
-                both = self.first[np.concatenate([c, c])] + self.tree.rank(np.concatenate([c, c]), np.concatenate([a[live], b[live]]))
-                a[live], b[live] = both[: len(c)], both[len(c) :]
-                live = live[(b[live] - a[live] > (1 if alone else 0))]
+        length = np.zeros(len(ends), np.int64)
+        lo, hi = np.zeros(len(ends), np.int64), np.full(len(ends), self.n, np.int64)
+        for s in range(0, len(ends), batch):
+            live = np.arange(s, min(len(ends), s + batch))
+            for t in range(most):
+                at = ends[live] - t
+                c = text[np.maximum(at, 0)]
+                on = (at >= 0) & (c > 0)
+                live, c = live[on], c[on]
+                both = self.first[np.concatenate([c, c])] + self.tree.rank(np.concatenate([c, c]), np.concatenate([lo[live], hi[live]]))
+                a, b = both[: len(c)], both[len(c) :]
+                several = b - a > 1
+                live = live[several]
                 if not len(live):
                     break
-        return lo, hi
+                lo[live], hi[live], length[live] = a[several], b[several], t + 1
+        return length, lo, hi
+
+    def least(self, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        """The least value of each suffix interval; none of them is empty."""
+        a, first, back = np.unique(lo * (self.n + 1) + hi, return_index=True, return_inverse=True)
+        del a
+        cuts = np.stack([lo[first], hi[first]], axis=1).ravel()
+        low = np.minimum.reduceat(np.append(self.values, np.iinfo(np.int32).max), cuts)[::2]
+        return self.distinct[low[back]]

@@ -184,7 +184,7 @@ def score(docs: DataFrame) -> DataFrame:
     an empty table gives no rows.
     """
     docs = docs.select("doc_id", "text")
-    blocked, blocks, n_bytes, rows = with_block(docs)
+    blocked, blocks = with_block(docs)
     words = count_words(blocked, blocks)
     totals = [np.frombuffer(r["values"], np.int64) for r in words.where("block = -1").select("values").toLocalIterator()]
     n, v = (int(sum(t[k] for t in totals)) for k in (0, 1))

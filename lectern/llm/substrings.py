@@ -1,15 +1,18 @@
-"""Repeated word windows across documents, by FM-indexes over content shards.
+"""Repeated word windows across documents, by compressed FM-indexes over content shards.
 
 A window is ``WINDOW`` consecutive words of one document. Its anchor is the least hash among its ``GRAM``-grams, so equal windows
 have equal anchors wherever they stand.
 
 1. Blocks of documents exchange their distinct anchors with count buckets; anchors of one document only are done with.
 2. Windows with a shared anchor go, in runs under the same anchor position, to the shard of that anchor: each distinct run once per
-   block, with the places where it stands. Runs under an anchor of over ``HOT`` documents are cut into single windows, dealt by the
-   window's own hash, so that no shard holds a third of the corpus.
-3. A shard puts its distinct runs in an FM-index (byte-wise wavelet tree) and searches every window backward. The least document in a
-   window's suffix interval is where it starts first; every other place is reported.
-4. Blocks take the reported words out.
+   block, with the least and the greatest document that has it there, however many do. Runs under an anchor of over ``HOT``
+   documents are cut into single windows, dealt by the window's own hash, so that no shard holds a third of the corpus.
+3. A shard numbers the words of its runs by their bytes, puts the runs in an FM-index and streams them against it: backward search
+   over the wavelet tree gives their matching statistics. An interval of ``WINDOW`` words or more occurs elsewhere too; the least
+   document in its suffix interval is where it starts first.
+4. Blocks cut their runs again, and take out the words of windows that start first in a document before their own.
+
+Hashes choose candidates and shards; what is equal is decided on the words themselves.
 """
 
 from __future__ import annotations
@@ -17,14 +20,18 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lectern.llm.blocks import BLOCKS_PER_BUCKET, dealt, joined, per_group, per_pair, with_block
-from lectern.llm.common import materialize, table
+from lectern.llm.common import importable, materialize, table
 from lectern.llm.fmindex import FmIndex
-from lectern.llm.words import TO_SPACE, hashed, of_texts
+from lectern.llm.words import TO_SPACE, of_texts
 
 WINDOW, GRAM = 13, 5
 HOT = 4096
@@ -94,59 +101,73 @@ def shared_anchors(blocked: DataFrame, blocks: int) -> DataFrame:
     return materialize(per_group(asked, ["bucket"], "block int, keys binary, values binary", answer))
 
 
-def runs(blocked: DataFrame, shared: DataFrame, shards: int, hot: int) -> DataFrame:
-    """(shard, block, words, run, doc, text, start): distinct runs, packed, and the places where each stands."""
-
-    def cut(left: dict, right: dict) -> Iterator[tuple]:
-        if not left["doc_id"] or not right["keys"]:
-            return
-        raw, first_byte, end_byte, h, sizes = of_texts(left["text"])
-        raw = raw.translate(TO_SPACE)
-        start, place, g = anchors(h, sizes)
-        keys, counts = joined(right["keys"]), joined(right["values"], np.int32)
-        order = np.argsort(keys)
-        keys, counts = keys[order], counts[order]
-        own = g[place] if len(place) else np.zeros(0, np.uint64)
-        at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
-        on = keys[at] == own
-        start, place, own, often = start[on], place[on], own[on], counts[at[on]] > hot
-        if not len(start):
-            return
-        new = np.ones(len(start), bool)
-        new[1:] = (place[1:] != place[:-1]) | often[1:]
-        first = np.flatnonzero(new)
-        last = np.append(first[1:], len(start)) - 1
-        begin, end = start[first], start[last] + WINDOW
-        key = own[first]
-        single = often[first]
-        if single.any():
-            key[single] = grams(h, WINDOW)[begin[single]]
-        offsets = np.concatenate([[0], np.cumsum(sizes)])
-        owner = np.searchsorted(offsets, begin, side="right") - 1
-        ids = np.array([LAST if i is None else i for i in left["doc_id"]], np.int64)[owner]
-        texts = np.array([text_key(t) for t in left["text"]], np.int64)[owner]
-        shard = (key % np.uint64(shards)).astype(np.int64)
-        order = np.argsort(shard, kind="stable")
-        cuts = [0, *(np.flatnonzero(np.diff(shard[order])) + 1).tolist(), len(order)]
-        local = begin - offsets[owner]
-        begin, end = first_byte[begin].tolist(), end_byte[end - 1].tolist()
-        for s, e in zip(cuts, cuts[1:], strict=False):
-            some = order[s:e]
-            seen: dict[bytes, int] = {}
-            which = np.array([seen.setdefault(single_spaced(raw[begin[i] : end[i]]), len(seen)) for i in some.tolist()], np.int32)
-            yield int(shard[some[0]]), left["block"][0], zlib.compress(b"\n".join(seen), 1), which.tobytes(), ids[some].tobytes(), texts[some].tobytes(), local[some].astype(np.int32).tobytes()
-
-    return per_pair(blocked, shared, "block", "shard int, block int, words binary, run binary, doc binary, text binary, start binary", cut)
+@dataclass
+class Runs:
+    """A block's runs: for each shard that gets some, the places of its runs, and which of its distinct runs stands there."""
+
+    begin: np.ndarray  # first word of each place, counted over the block
+    windows: np.ndarray  # windows of each place
+    doc: np.ndarray  # its document
+    by_shard: dict[int, tuple[np.ndarray, np.ndarray, list[bytes]]]  # places, run of each, runs
+
+
+def cut(ids: list, texts: list, keys: np.ndarray, counts: np.ndarray, shards: int, hot: int) -> Runs | None:
+    """The runs of a block whose shared anchors are ``keys``; the same call gives the same runs in the same order."""
+    if not len(ids) or not len(keys):
+        return None
+    raw, first_byte, end_byte, h, sizes = of_texts(texts)
+    raw = raw.translate(TO_SPACE)
+    start, place, g = anchors(h, sizes)
+    order = np.argsort(keys)
+    keys, counts = keys[order], counts[order]
+    own = g[place] if len(place) else np.zeros(0, np.uint64)
+    at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+    on = keys[at] == own
+    start, place, own, often = start[on], place[on], own[on], counts[at[on]] > hot
+    if not len(start):
+        return None
+    new = np.ones(len(start), bool)
+    new[1:] = (place[1:] != place[:-1]) | often[1:]
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(start)) - 1
+    begin, end = start[first], start[last] + WINDOW
+    key = own[first]
+    single = often[first]
+    if single.any():
+        key[single] = grams(h, WINDOW)[begin[single]]
+    owner = np.searchsorted(np.cumsum(sizes), begin, side="right")
+    doc = np.array([LAST if i is None else i for i in ids], np.int64)[owner]
+    shard = (key % np.uint64(shards)).astype(np.int64)
+    order = np.argsort(shard, kind="stable")
+    cuts = [0, *(np.flatnonzero(np.diff(shard[order])) + 1).tolist(), len(order)]
+    low, high = first_byte[begin].tolist(), end_byte[end - 1].tolist()
+    by_shard = {}
+    for s, e in zip(cuts, cuts[1:], strict=False):
+        some = order[s:e]
+        seen: dict[bytes, int] = {}
+        which = np.array([seen.setdefault(single_spaced(raw[low[i] : high[i]]), len(seen)) for i in some.tolist()], np.int32)
+        by_shard[int(shard[some[0]])] = some, which, list(seen)
+    return Runs(begin, end - begin - WINDOW + 1, doc, by_shard)
 
 
 def single_spaced(raw: bytes) -> bytes:
     return b" ".join(raw.split()) if b"  " in raw else raw
 
 
-def text_key(text: str | None) -> int:
-    import xxhash
+def sent(blocked: DataFrame, shared: DataFrame, shards: int, hot: int) -> DataFrame:
+    """(shard, block, words, low, high): each block's distinct runs, packed, with the least and the greatest document of each."""
 
-    return xxhash.xxh64_intdigest((text or "").encode()) >> 1
+    def pack(left: dict, right: dict) -> Iterator[tuple]:
+        runs = cut(left["doc_id"], left["text"], joined(right["keys"]), joined(right["values"], np.int32), shards, hot)
+        if runs is None:
+            return
+        for shard, (places, which, found) in runs.by_shard.items():
+            low, high = np.full(len(found), LAST, np.int64), np.full(len(found), -LAST - 1, np.int64)
+            np.minimum.at(low, which, runs.doc[places])
+            np.maximum.at(high, which, runs.doc[places])
+            yield shard, left["block"][0], zlib.compress(b"\n".join(found), 1), low.tobytes(), high.tobytes()
+
+    return per_pair(blocked, shared, "block", "shard int, block int, words binary, low binary, high binary", pack)
 
 
 def first_documents(found: list[bytes], docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -155,121 +176,159 @@ def first_documents(found: list[bytes], docs: np.ndarray) -> tuple[np.ndarray, n
 
     ``docs``: the least document of each run.
     """
-    raw = b"\n".join([*found, b""])
-    first_byte, _, hashes = hashed(raw)
-    sizes = np.diff(np.searchsorted(first_byte, np.concatenate([[0], np.cumsum([len(r) + 1 for r in found])])))
+    sizes = np.array([r.count(b" ") + 1 for r in found])
     windows = sizes - WINDOW + 1
     begin = np.concatenate([[0], np.cumsum(windows)])
-    word = np.unique(hashes, return_inverse=True)[1]
-    del raw, first_byte, hashes
-    often = np.bincount(word)
-    # symbol 0 parts runs, 1 stands for the words that occur once: their windows are alone
-    symbol = np.where(often > 1, np.cumsum(often > 1) + 1, 1)[word]
-    text = np.zeros(len(symbol) + len(found), np.int64)
+    number: dict[bytes, int] = {}
+    word = np.fromiter((number.setdefault(w, len(number)) for r in found for w in r.split(b" ")), np.int64, int(sizes.sum()))
+    del number
+    # symbol 0 parts runs and stands for words that occur once: no window with one of them is elsewhere too
+    often = np.bincount(word) > 1
+    symbol = np.where(often, np.cumsum(often), 0)[word]
     run_of = np.repeat(np.arange(len(found)), sizes)
+    text = np.zeros(len(symbol) + len(found), np.int64)
     text[np.arange(len(symbol)) + run_of] = symbol
     starts = np.concatenate([[0], np.cumsum(sizes + 1)[:-1]])
     own = np.repeat(np.arange(len(found)), windows)
-    where = starts[own] + np.arange(len(own)) - begin[own]
+    last = starts[own] + np.arange(len(own)) - begin[own] + WINDOW - 1  # of each window
     least = docs[own]
-    once = np.concatenate([[0], np.cumsum(text == 1)])
-    asked = np.flatnonzero(once[where + WINDOW] == once[where])
+    breaks = np.concatenate([[0], np.cumsum(text == 0)])
+    asked = np.flatnonzero(breaks[last + 1] == breaks[last + 1 - WINDOW])  # others can't reach the threshold
     if len(asked):
-        index = FmIndex(text, WINDOW)
-        lo, hi = index.search(text[where[asked][:, None] + np.arange(WINDOW)], alone=True)
-        several = hi - lo > 1
-        if several.any():
-            position_doc = np.full(len(text), LAST, np.int64)
-            position_doc[np.arange(len(symbol)) + run_of] = docs[run_of]
-            in_order = np.append(position_doc[index.order], LAST)
-            a, first = np.unique(lo[several], return_index=True)
-            b = hi[several][first]
-            low = np.minimum.reduceat(in_order, np.stack([a, b], axis=1).ravel())[::2]
-            least[asked[several]] = low[np.searchsorted(a, lo[several])]
+        index = FmIndex(text, WINDOW, np.repeat(docs, sizes + 1))
+        length, lo, hi = index.matching(text, last[asked], WINDOW)
+        above = length >= WINDOW
+        if above.any():
+            least[asked[above]] = index.least(lo[above], hi[above])
     return least, begin
 
 
-def report(sent: DataFrame) -> DataFrame:
-    """(block, doc, text, start, mask): words to remove, a bit for each word from ``start`` on. Written to the shared folder."""
+def report(runs: DataFrame) -> DataFrame:
+    """(block, shard, runs, least): per block, the runs with a window to remove, and the first document of each of their windows.
+    Written to the shared folder."""
 
     def search(group: dict) -> Iterator[tuple]:
         number: dict[bytes, int] = {}
-        which, blocks = [], []
-        for words, run in zip(group["words"], group["run"], strict=True):
-            ids = np.array([number.setdefault(r, len(number)) for r in zlib.decompress(words).split(b"\n")], np.int64)
-            which.append(ids[np.frombuffer(run, np.int32)])
-            blocks.append(len(which[-1]))
-        run, doc = np.concatenate(which), joined(group["doc"], np.int64)
-        text, start = joined(group["text"], np.int64), joined(group["start"], np.int32)
+        which = []
+        for words in group["words"]:
+            which.append(np.array([number.setdefault(r, len(number)) for r in zlib.decompress(words).split(b"\n")], np.int64))
         docs = np.full(len(number), LAST, np.int64)
-        np.minimum.at(docs, run, doc)
+        np.minimum.at(docs, np.concatenate(which), joined(group["low"], np.int64))
         least, begin = first_documents(list(number), docs)
-        mask = np.zeros(len(run), np.int32)
-        many = begin[run + 1] - begin[run]
-        for j in range(int(many.max())):
-            on = np.flatnonzero(many > j)
-            later = on[least[begin[run[on]] + j] < doc[on]]
-            mask[later] |= ((1 << WINDOW) - 1) << j
-        cuts = np.concatenate([[0], np.cumsum(blocks)])
-        for block, s, e in zip(group["block"], cuts, cuts[1:], strict=False):
-            on = np.flatnonzero(mask[s:e]) + s
+        low = np.minimum.reduceat(least, begin[:-1])
+        for block, ids, high in zip(group["block"], which, group["high"], strict=True):
+            on = np.flatnonzero(low[ids] < np.frombuffer(high, np.int64)).astype(np.int32)
             if len(on):
-                yield block, doc[on].tobytes(), text[on].tobytes(), start[on].tobytes(), mask[on].tobytes()
-
-    return materialize(per_group(sent, ["shard"], "block int, doc binary, text binary, start binary, mask binary", search))
-
-
-def removed_words(left: dict, right: dict) -> Iterator[tuple[int | None, list[bytes], np.ndarray]]:
-    """(doc_id, words, which are removed) of each row of a block."""
-    doc, text = joined(right["doc"], np.int64), joined(right["text"], np.int64)
-    start, mask = joined(right["start"], np.int32), joined(right["mask"], np.int32)
-    order = np.lexsort((text, doc))
-    doc, text, start, mask = doc[order], text[order], start[order].astype(np.int64), mask[order]
-    for i, t in zip(left["doc_id"], left["text"], strict=True):
-        words = (t or "").encode().split()
-        gone = np.zeros(len(words) + 32, bool)
-        d = LAST if i is None else i
-        s, e = np.searchsorted(doc, [d, d + 1 if d < LAST else d])
-        if d == LAST:
-            e = len(doc)
-        if e > s:
-            on = np.arange(s, e)[text[s:e] == text_key(t)]
-            for j in range(WINDOW + WINDOW - GRAM):
-                gone[start[on][mask[on] >> j & 1 == 1] + j] = True
-        yield i, words, gone[: len(words)]
-
-
-def reported(docs: DataFrame, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
-    """Blocks (doc_id, text, block) and what to remove from each."""
-    blocked, blocks, _, _ = with_block(docs)
+                parts = [least[begin[r] : begin[r + 1]] for r in ids[on].tolist()]
+                yield block, group["shard"][0], on.tobytes(), zlib.compress(np.concatenate(parts).tobytes(), 1)
+
+    return materialize(per_group(runs, ["shard"], "block int, shard int, runs binary, least binary", search), runs)
+
+
+def removed(ids: list, texts: list, right: dict, shards: int, hot: int) -> Iterator[tuple[list[bytes], np.ndarray]]:
+    """(words, which are removed) of each row of a block; ``right``: its shared anchors (shard null) and its shards' reports."""
+    keys = [k for k, s in zip(right["keys"], right["shard"], strict=True) if s is None]
+    counts = [c for c, s in zip(right["values"], right["shard"], strict=True) if s is None]
+    reports = [(s, r, x) for s, r, x in zip(right["shard"], right["runs"], right["least"], strict=True) if s is not None]
+    words = [(t or "").encode().split() for t in texts]
+    sizes = np.array([len(w) for w in words], np.int64)
+    change = np.zeros(int(sizes.sum()) + 1, np.int32)
+    runs = cut(ids, texts, joined(keys), joined(counts, np.int32), shards, hot) if reports else None
+    for shard, told, least in reports:
+        places, which, found = runs.by_shard[shard]
+        told, least = np.frombuffer(told, np.int32), np.frombuffer(zlib.decompress(least), np.int64)
+        row = np.full(len(found), -1, np.int64)
+        row[told] = np.arange(len(told))
+        on = row[which] >= 0
+        places, row = places[on], row[which[on]]
+        n = np.zeros(len(told), np.int64)
+        n[row] = runs.windows[places]  # places of a run have equal numbers of windows
+        offset = np.cumsum(n) - n
+        many = runs.windows[places]
+        inside = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
+        earlier = least[np.repeat(offset[row], many) + inside] < np.repeat(runs.doc[places], many)
+        at = (np.repeat(runs.begin[places], many) + inside)[earlier]
+        np.add.at(change, at, 1)
+        np.add.at(change, at + WINDOW, -1)
+    gone = np.cumsum(change[:-1]) > 0
+    at = 0
+    for w in words:
+        yield w, gone[at : at + len(w)]
+        at += len(w)
+
+
+def reported(blocked: DataFrame, blocks: int, hot: int = HOT) -> tuple[DataFrame, int]:
+    """What each block needs to remove its words (see :func:`removed`), and the number of shards."""
+    shards = max(1, blocks // BLOCKS_PER_SHARD)
     shared = shared_anchors(blocked, blocks)
-    return blocked, report(runs(blocked, shared, max(1, blocks // BLOCKS_PER_SHARD), hot))
+    found = report(sent(blocked, shared, shards, hot))
+    none = F.lit(None).cast("binary")
+    anchors_of = shared.select("block", "keys", "values", F.lit(None).cast("int").alias("shard"), none.alias("runs"), none.alias("least"))
+    return anchors_of.unionByName(found.select("block", none.alias("keys"), none.alias("values"), "shard", "runs", "least")), shards
+
+
+def kept_words(words: list[bytes], gone: np.ndarray) -> bytes:
+    return b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g] if gone.any() else words)
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_words, n_removed, kept, text_sha256): every row of ``docs`` (doc_id, text) with the words kept, joined by one space,
-    and the hash of its text, which with the id tells rows of different results apart.
+def remove_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
+    """(doc_id, n_words, n_removed, kept): every row of ``docs`` (doc_id, text) with the words kept, joined by one space.
 
     A word goes if a window over it starts in a document with a smaller id as well; windows are judged on the input. Null texts
-    have no words; rows with a null id come after all others; repeated rows (same id) don't count as earlier ones. Other columns
-    are not read; an empty table gives no rows.
+    have no words; rows with a null id come after all others; repeated rows (same id) don't count as earlier ones. Long texts are
+    handled whole. Other columns are not read; an empty table gives no rows.
     """
+    blocked, blocks = with_block(docs.select("doc_id", "text"))
+    found, shards = reported(blocked, blocks, hot)
 
     def keep(left: dict, right: dict) -> Iterator[tuple]:
-        for (i, words, gone), t in zip(removed_words(left, right), left["text"], strict=True):
-            kept = b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g]).decode()
-            yield i, len(words), int(gone.sum()), kept, hashlib.sha256((t or "").encode()).hexdigest()
-
-    schema = "doc_id long, n_words long, n_removed long, kept string, text_sha256 string"
-    return per_pair(*reported(docs.select("doc_id", "text")), "block", schema, keep)
+        for i, (words, gone) in zip(left["doc_id"], removed(left["doc_id"], left["text"], right, shards, hot), strict=True):
+            yield i, len(words), int(gone.sum()), kept_words(words, gone).decode()
+
+    return per_pair(blocked, found, "block", "doc_id long, n_words long, n_removed long, kept string", keep)
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` with the words that :func:`remove_repeats` takes out of ``text`` gone, and ``n_chars``, if there, recounted where it
+    lost some. A text that loses nothing stays as it is, white space and nulls included; all rows and columns stay."""
+    names = docs.columns
+    plain = docs.toDF(*("doc_id" if n == "doc_id" else "text" if n == "text" else f"c{k}" for k, n in enumerate(names)))
+    inner = plain.columns
+    blocked, blocks = with_block(plain, *(c for c in inner if c not in ("doc_id", "text")))
+    found, shards = reported(blocked.select("doc_id", "text", "block"), blocks)
+    schema = T.StructType([T.StructField(n, docs.schema[n].dataType, True) for n in names])
+    chars = names.index("n_chars") if "n_chars" in names else None
+
+    def rewrite(left: pa.Table, right: pa.Table) -> pa.Table:
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        arrow = to_arrow_schema(schema)
+        if not left.num_rows:
+            return arrow.empty_table()
+        ids, texts = left["doc_id"].to_pylist(), left["text"].to_pylist()
+        columns = {c: left[c] for c in inner}
+        out, sizes = list(texts), columns[inner[chars]].to_pylist() if chars is not None else None
+        for k, (words, gone) in enumerate(removed(ids, texts, right.to_pydict(), shards, HOT)):
+            if gone.any():
+                out[k] = kept_words(words, gone).decode()
+                if sizes is not None:
+                    sizes[k] = len(out[k])
+        columns["text"] = out
+        if sizes is not None:
+            columns[inner[chars]] = sizes
+        cast = [pa.chunked_array([pa.array(c, f.type)]) if isinstance(c, list) else c.cast(f.type) for c, f in zip((columns[c] for c in inner), arrow, strict=True)]
+        return pa.Table.from_arrays(cast, schema=arrow)
+
+    return importable(blocked).groupBy("block").cogroup(found.groupBy("block")).applyInArrow(rewrite, schema)
 
 
 def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digest of :func:`remove_repeats` for every document: numbers of words and of words removed, and the hash of those kept."""
+    blocked, blocks = with_block(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found, shards = reported(blocked, blocks)
+
     def digest(left: dict, right: dict) -> Iterator[tuple]:
-        for i, words, gone in removed_words(left, right):
-            n = int(gone.sum())
-            kept = [w for w, g in zip(words, gone.tolist(), strict=True) if not g] if n else words
-            yield i, len(words), n, hashlib.sha256(b" ".join(kept)).hexdigest()
+        for i, (words, gone) in zip(left["doc_id"], removed(left["doc_id"], left["text"], right, shards, HOT), strict=True):
+            yield i, len(words), int(gone.sum()), hashlib.sha256(kept_words(words, gone)).hexdigest()
 
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return per_pair(*reported(docs), "block", "doc_id long, n_words long, n_removed long, kept_sha256 string", digest)
+    return per_pair(blocked, found, "block", "doc_id long, n_words long, n_removed long, kept_sha256 string", digest)

@@ -111,26 +111,73 @@ def test_repeated_windows(spark, as_tables, docs, rows, none):
     assert substrings.remove_repeats(none).count() == 0
 
 
-def test_hot_anchors_are_cut_into_windows(docs, rows):
+@pytest.mark.parametrize("hot", [1, substrings.HOT])
+def test_hot_anchors_are_cut_into_windows(docs, rows, hot):
     """With every shared anchor hot, single windows are dealt, and the result is the same."""
-    from lectern.llm.blocks import per_pair
+    out = substrings.remove_repeats(docs, hot)
+    assert sorted(((r["doc_id"], r["n_words"], r["n_removed"], hashlib.sha256(r["kept"].encode()).hexdigest()) for r in out.collect()), key=str) == slow_removed(rows)
 
-    blocked, found = substrings.reported(docs.select("doc_id", "text"), hot=1)
-    out = per_pair(blocked, found, "block", "doc_id long, n long", lambda a, b: ((i, int(g.sum())) for i, _, g in substrings.removed_words(a, b)))
-    assert sorted(map(tuple, out.collect()), key=str) == sorted([(i, n) for i, _, n, _ in slow_removed(rows)], key=str)
 
+def colliding_words():
+    """Words whose polynomial hashes modulo 2 ** 64 are equal for every base."""
+    a, b = "a", "b"
+    for _ in range(10):
+        a, b = a + b, b + a
+    return a, b
 
-def test_fm_index_counts():
+
+def test_words_are_told_apart_by_their_bytes(spark, as_tables):
+    a, b = colliding_words()
+    rows = [(1, " ".join([a] * 20)), (2, " ".join([b] * 20)), (3, " ".join([a] * 14)), (4, f"{a} {b} " * 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = substrings.op4_substrings(spark, as_tables(documents=docs)).collect()
+    assert sorted(map(tuple, got), key=str) == slow_removed(rows)
+    scores = {r["doc_id"]: r for r in lm.score(docs.where("doc_id < 3")).collect()}
+    assert scores[1]["n_tokens"] == 21 and scores[1]["base_score"] == pytest.approx(scores[2]["base_score"])
+    assert scores[1]["base_score"] == pytest.approx(20 * math.log10(20.1 / 42.4) + math.log10(2.1 / 42.4))
+
+
+def test_equal_hashes_do_not_make_equal_words():
+    """Whatever the hash says, a shard numbers words by their bytes."""
+    found = [" ".join(f"w{i}" for i in range(k, k + 15)).encode() for k in (0, 1, 40)] + [" ".join(["w0", "x", *(f"w{i}" for i in range(2, 15))]).encode()]
+    least, begin = substrings.first_documents(found, np.array([5, 3, 2, 1]))
+    assert [least[s:e].tolist() for s, e in zip(begin, begin[1:])] == [[5, 3, 1], [3, 1, 3], [2, 2, 2], [1, 1, 1]]
+
+
+def test_rows_keep_their_columns_and_own_texts(spark, docs, rows, none):
+    out = substrings.without_repeats(docs)
+    assert out.columns == docs.columns and out.count() == len(rows)
+    want = {(i, n, r, d) for i, n, r, d in slow_removed(rows)}
+    for r in out.collect():
+        t = r["text"]
+        assert r["n_chars"] == len(t or "") and r["spans"] == [1]
+        assert any(i == r["doc_id"] and d == hashlib.sha256(b" ".join((t or "").encode().split())).hexdigest() for i, _, _, d in want)
+    assert substrings.without_repeats(none).count() == 0
+
+
+def test_fm_index():
     rng = np.random.default_rng(3)
     text = np.append(rng.integers(1, 700, 5000) ** 2 // 300 + 1, 0)
-    index = fmindex.FmIndex(text, 8)
-    at = rng.integers(0, 4990, 300)
-    patterns = text[at[:, None] + np.arange(8)]
-    patterns[::3] = rng.integers(1, 1600, (100, 8))
-    patterns = np.minimum(patterns, text.max())
-    lo, hi = index.search(patterns)
-    for p, a, b in zip(patterns, lo, hi, strict=True):
-        assert b - a == sum((text[i : i + 8] == p).all() for i in range(len(text) - 8)) or b <= a
+    text[rng.integers(0, 5000, 40)] = 0
+    text[2000:2300] = text[100:400]
+    values = rng.integers(0, 50, len(text)) - 20
+    index = fmindex.FmIndex(text, 16, values)
+    assert index.tree.nbytes() - index.tree.starts.nbytes < 2.5 * len(text)  # 11 levels
+    ends = np.arange(len(text))
+    length, lo, hi = index.matching(text, ends, 13, batch=700)
+    for e in rng.integers(0, 5000, 200).tolist() + list(range(2000, 2020)):
+        want = 0
+        while want < 13 and e - want >= 0:
+            p = text[e - want : e + 1]
+            if (p == 0).any() or sum((text[i : i + len(p)] == p).all() for i in range(len(text) - len(p) + 1)) < 2:
+                break
+            want += 1
+        assert length[e] == want
+        if want:
+            p = text[e - want + 1 : e + 1]
+            at = [i for i in range(len(text) - want + 1) if (text[i : i + want] == p).all()]
+            assert hi[e] - lo[e] == len(at) and index.least(lo[e : e + 1], hi[e : e + 1])[0] == min(values[i] for i in at)
+    assert (length == 13).sum() >= 280
 
 
 # ---- language model
