@@ -26,6 +26,8 @@ ANCHORED = {
     "npm": re.compile(rb"npm_[A-Za-z0-9]{36}(?![A-Za-z0-9])"),
     "jwt": re.compile(rb"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"),
 }
+#: Where a token's first part ends: one that starts later in the same part fails for the same reason.
+JWT_PART = re.compile(rb"[A-Za-z0-9_-]*")
 #: A hexadecimal key has no keyword: its shape is its only anchor.
 HEX = re.compile(rb"[0-9a-f]{24,}")
 KINDS = ("assign", "access", "hex", "github", "npm", "jwt")
@@ -43,10 +45,11 @@ def base62_crc(body: bytes) -> bytes:
 
 
 def is_jwt(token: bytes) -> bool:
+    """Whether the first part is a JSON object with an algorithm; one nested too deeply to be read is none."""
     head = token.split(b".")[0]
     try:
         return "alg" in json.loads(base64.urlsafe_b64decode(head + b"=" * (-len(head) % 4)))
-    except (binascii.Error, ValueError, TypeError):
+    except (binascii.Error, ValueError, TypeError, RecursionError):
         return False
 
 
@@ -82,10 +85,14 @@ def find_secrets(text: str | None, words) -> list[tuple[str, int, int]]:
     found, after = [], dict.fromkeys(KINDS, 0)
     hits = sorted((end + 1 - n, kind) for end, (n, kind) in words.iter(raw.lower().decode("latin-1")))
     for at, kind in hits:
-        if at >= after[kind] and (m := ANCHORED[kind].match(raw, at)):
+        if at < after[kind]:
+            continue
+        if m := ANCHORED[kind].match(raw, at):
             after[kind] = m.end()
             if valid(kind, m):
                 found.append((at, kind, m.end()))
+        elif kind == "jwt" and raw.startswith(b"eyJ", at):
+            after[kind] = JWT_PART.match(raw, at).end()
     found += [(m.start(), "hex", m.end()) for m in HEX.finditer(raw)]
     if not found:
         return []
@@ -103,7 +110,11 @@ def joined(spans: list[tuple[str, int, int]]) -> str:
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """(doc_id, spans array<struct<kind, start, end>>) for every row of ``docs`` (doc_id, text); other columns are not read."""
+    """(doc_id, spans array<struct<kind, start, end>>) for every row of ``docs`` (doc_id, text); other columns are not read.
+
+    Null and empty texts have no spans; long ones are scanned whole, in time that grows with their length. Rows with a null id and
+    repeated rows each give their own; an empty table gives no rows.
+    """
 
     def make():
         words = automaton()
@@ -131,7 +142,10 @@ def redact(text: str | None, spans: list[tuple[str, int, int]], mark: str = "[SE
 
 
 def redact_documents(docs: DataFrame) -> DataFrame:
-    """``docs`` with secrets in ``text`` replaced and ``n_chars`` recounted where the text changed; all rows stay."""
+    """``docs`` with secrets in ``text`` replaced and ``n_chars``, if there, recounted where the text changed.
+
+    All rows and columns stay, null and empty texts, null ids and repeated rows as they are; an empty table stays empty.
+    """
     names = docs.columns
     schema, text, chars = docs.schema, names.index("text"), names.index("n_chars") if "n_chars" in names else None
 
