@@ -194,8 +194,9 @@ def test_labelers_are_judged_by_kind():
         keys = [k for k in counts if k.startswith(kind)]
         votes = np.array([[int(x) for x in k.split(":")[2:5]] for k in keys])
         _, told = pii.estimate(votes, np.zeros(len(keys), bool), np.array([counts[k] for k in keys], float))
-        assert told[0, 0, 0] == pytest.approx(0.9, abs=0.05)
-        assert told[1, 0, 0] == pytest.approx(0.9 if kind == "ssn" else 0.5, abs=0.05)
+        # two labelers that tell something don't fix each other's share exactly, three do
+        assert told[0, 0] == pytest.approx(0.9, abs=0.03 if kind == "ssn" else 0.1)
+        assert told[1, 0] == pytest.approx(0.9 if kind == "ssn" else 0.5, abs=0.05)
 
 
 def test_real_numbers_and_introductions_are_found(spark):
