@@ -3,13 +3,14 @@
 A frame is a grey baseline JPEG of 24 x 24 pixels, nine blocks of 64 coefficients with quantiser 1. Byte b is the coefficient
 whose eight magnitude bits are b (b for 128 to 255, b - 255 below), so each coefficient has the symbol (run 0, size 8). The
 frame's Huffman tables give that symbol the one-bit code 0: a block is 64 times "0" and eight bits, 72 bytes, and a restart
-marker after each block resets the DC prediction. Reading needs no more than the general baseline rules; frames with these
-tables are decoded in bulk, others bit by bit.
+marker after each block resets the DC prediction. Reading needs no more than the general baseline rules; frames with this header
+are decoded in bulk, others bit by bit.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -24,6 +25,8 @@ UNIT = 576
 SIDE, BLOCKS = 24, 9
 FPS = 25
 BINS = 16
+#: Frames that are decoded at a time.
+PIECE = 512
 #: Order of coefficients in a JPEG block (zigzag), by rule: along anti-diagonals, turning each time.
 ZIGZAG = np.array(sorted(range(64), key=lambda k: (k // 8 + k % 8, k // 8 if (k // 8 + k % 8) % 2 else k % 8)))
 
@@ -111,132 +114,210 @@ def chunks(data: bytes, at: int, end: int) -> Iterator[tuple[bytes, int, int]]:
         at += 8 + n + n % 2
 
 
+def frame_chunks(data: bytes, at: int, end: int) -> Iterator[tuple[bytes, int, int]]:
+    """Chunks of a movi list, those in its record lists too."""
+    for tag, s, e in chunks(data, at, end):
+        if tag == b"LIST" and data[s : s + 4] == b"rec ":
+            yield from chunks(data, s + 4, e)
+        else:
+            yield tag, s, e
+
+
+def is_frame(tag: bytes) -> bool:
+    return tag[2:] in (b"dc", b"db")
+
+
+def standard_index(body: bytes) -> Iterator[tuple[int, int]]:
+    """(start, length) of the frames in an OpenDML index chunk; offsets are to the frames' bytes."""
+    longs, _, kind, n, tag, base = struct.unpack_from("<HBBI4sQ", body)
+    if kind == 1 and longs == 2 and is_frame(tag):
+        for offset, size in struct.iter_unpack("<II", body[24 : 24 + (min(8 * n, len(body) - 24) // 8) * 8]):
+            yield base + offset, size & 0x7FFFFFFF
+
+
 def demux(data: bytes) -> tuple[int, int, list[bytes]]:
-    """(rate, scale, frames) of the first video stream, in index order. Without an index, frames are taken in file order."""
+    """(rate, scale, frames) of the first video stream, in index order.
+
+    Files of several RIFF lists have OpenDML indexes, others one at the end. Without either, frames are taken in file order.
+    """
     if data[:4] != b"RIFF" or data[8:12] != b"AVI ":
         raise ValueError("no AVI file")
-    rate, scale, movi, index, stop = FPS, 1, None, None, 0
-    for tag, s, e in chunks(data, 12, len(data)):
-        if tag == b"LIST" and data[s : s + 4] == b"hdrl":
-            for t, a, b in chunks(data, s + 4, e):
-                if t == b"LIST" and data[a : a + 4] == b"strl":
-                    for u, p, _ in chunks(data, a + 4, b):
-                        if u == b"strh" and data[p : p + 4] == b"vids":
-                            scale, rate = struct.unpack_from("<II", data, p + 20)
-        elif tag == b"LIST" and data[s : s + 4] == b"movi":
-            movi, stop = s, e
-        elif tag == b"idx1":
-            index = (s, e)
-    if movi is None:
+    rate, scale, movis, index, standard = FPS, 1, [], None, []
+    for riff, start, stop in chunks(data, 0, len(data)):
+        if riff != b"RIFF" or data[start : start + 4] not in (b"AVI ", b"AVIX"):
+            continue
+        for tag, s, e in chunks(data, start + 4, stop):
+            if tag == b"LIST" and data[s : s + 4] == b"hdrl":
+                for t, a, b in chunks(data, s + 4, e):
+                    if t == b"LIST" and data[a : a + 4] == b"strl":
+                        for u, p, _ in chunks(data, a + 4, b):
+                            if u == b"strh" and data[p : p + 4] == b"vids":
+                                scale, rate = struct.unpack_from("<II", data, p + 20)
+            elif tag == b"LIST" and data[s : s + 4] == b"movi":
+                movis.append((s, e))
+                for t, a, b in chunks(data, s + 4, e):
+                    if t[:2] == b"ix":
+                        standard += standard_index(data[a:b])
+            elif tag == b"idx1":
+                index = (s, e)
+    if not movis:
         return rate, scale, []
-    if index is None:
-        return rate, scale, [data[s:e] for t, s, e in chunks(data, movi + 4, stop) if t[2:] in (b"dc", b"db")]
-    entries = [x for x in struct.iter_unpack("<4sIII", data[index[0] : index[0] + (index[1] - index[0]) // 16 * 16]) if x[0][2:] in (b"dc", b"db")]
+    if standard:
+        return rate, scale, [data[o : o + n] for o, n in standard]
+    if index is None or len(movis) > 1:
+        return rate, scale, [data[s:e] for m, stop in movis for t, s, e in frame_chunks(data, m + 4, stop) if is_frame(t)]
+    movi = movis[0][0]
+    entries = [x for x in struct.iter_unpack("<4sIII", data[index[0] : index[0] + (index[1] - index[0]) // 16 * 16]) if is_frame(x[0])]
     # offsets count from the movi list or, in some files, from the file's start
     base = movi if entries and data[movi + entries[0][2] : movi + entries[0][2] + 4] == entries[0][0] else 0
     return rate, scale, [data[base + o + 8 : base + o + 8 + n] for _, _, o, n in entries]
 
 
+#: The Huffman tables that motion-JPEG frames without any of their own are coded with (ITU-T T.81, annex K.3): how many
+#: codes there are of each length, then their symbols. First for luma, then for chroma.
+DEFAULT_DC = [
+    (bytes.fromhex("00010501010101010100000000000000"), bytes(range(12))),
+    (bytes.fromhex("00030101010101010101010000000000"), bytes(range(12))),
+]
+DEFAULT_AC = [
+    (
+        bytes.fromhex("0002010303020403050504040000017d"),
+        bytes.fromhex(
+            "01020300041105122131410613516107227114328191a1082342b1c11552d1f02433627282090a161718191a25262728292a3435363738393a"
+            "434445464748494a535455565758595a636465666768696a737475767778797a838485868788898a92939495969798999aa2a3a4a5a6a7a8a9aa"
+            "b2b3b4b5b6b7b8b9bac2c3c4c5c6c7c8c9cad2d3d4d5d6d7d8d9dae1e2e3e4e5e6e7e8e9eaf1f2f3f4f5f6f7f8f9fa"
+        ),
+    ),
+    (
+        bytes.fromhex("00020102040403040705040400010277"),
+        bytes.fromhex(
+            "0001020311040521310612415107617113223281081442"
+            "91a1b1c109233352f0156272d10a162434e125f11718191a262728292a35363738393a434445464748494a535455565758595a636465666768696a"
+            "737475767778797a82838485868788898a92939495969798999aa2a3a4a5a6a7a8a9aab2b3b4b5b6b7b8b9bac2c3c4c5c6c7c8c9cad2d3d4d5d6d7d8d9da"
+            "e2e3e4e5e6e7e8e9eaf2f3f4f5f6f7f8f9fa"
+        ),
+    ),
+]
+
+
+@lru_cache(64)
+def huffman(counts: bytes, symbols: bytes) -> list[int]:
+    """For every 16 bits, length << 8 | symbol of the code they begin with; 0 where there is none."""
+    table, code, k = [0] * 65536, 0, 0
+    for bits, n in enumerate(counts, 1):
+        for _ in range(n):
+            low, width = code << (16 - bits), 1 << (16 - bits)
+            table[low : low + width] = [bits << 8 | symbols[k]] * width
+            code, k = code + 1, k + 1
+        code <<= 1
+    return table
+
+
 def parse_jpeg(frame: bytes) -> dict:
-    """Tables, size and entropy-coded data of a baseline grey JPEG."""
-    out, at = {"dc": {}, "ac": {}, "q": {}, "restart": 0}, 2
+    """Tables, size, components and entropy-coded data of a baseline JPEG, grey or in colour."""
+    dc = {k: huffman(*t) for k, t in enumerate(DEFAULT_DC)}
+    ac = {k: huffman(*t) for k, t in enumerate(DEFAULT_AC)}
+    out, at = {"dc": dc, "ac": ac, "q": {}, "restart": 0}, 2
     if frame[:2] != b"\xff\xd8":
         raise ValueError("no JPEG")
     while True:
+        while frame[at + 1] == 0xFF:  # fill bytes
+            at += 1
+        if frame[at] != 0xFF:
+            raise ValueError("no marker where one is due")
         marker, n = frame[at + 1], struct.unpack_from(">H", frame, at + 2)[0]
         body = frame[at + 4 : at + 2 + n]
         at += 2 + n
         if marker == 0xDB:
             while body:
-                out["q"][body[0] & 15] = np.frombuffer(body[1:65], np.uint8).astype(np.int32)
-                body = body[65:]
-        elif marker == 0xC0:
-            out["height"], out["width"], parts = struct.unpack_from(">HHB", body, 1)
-            if parts != 1:
-                raise ValueError("only grey frames are read")
-            out["qid"] = body[8]
+                wide = body[0] >> 4
+                out["q"][body[0] & 15] = np.frombuffer(body[1 : 65 + 64 * wide], ">u2" if wide else np.uint8).astype(np.int32)
+                body = body[65 + 64 * wide :]
+        elif marker in (0xC0, 0xC1):
+            bits, out["height"], out["width"], parts = struct.unpack_from(">BHHB", body)
+            if bits != 8 or parts not in (1, 3):
+                raise ValueError("only grey and three-component frames of 8 bits are read")
+            out["parts"] = [(body[6 + 3 * k], body[7 + 3 * k] >> 4, body[7 + 3 * k] & 15, body[8 + 3 * k]) for k in range(parts)]
+        elif 0xC2 <= marker <= 0xCF and marker not in (0xC4, 0xC8, 0xCC):
+            raise ValueError("no baseline frame")
         elif marker == 0xC4:
             while body:
-                counts, total = body[1:17], sum(body[1:17])
-                codes, code, k = {}, 0, 17
-                for bits, c in enumerate(counts, 1):
-                    for _ in range(c):
-                        codes[bits, code] = body[k]
-                        code, k = code + 1, k + 1
-                    code <<= 1
-                out["ac" if body[0] >> 4 else "dc"][body[0] & 15] = codes
+                total = sum(body[1:17])
+                out["ac" if body[0] >> 4 else "dc"][body[0] & 15] = huffman(body[1:17], body[17 : 17 + total])
                 body = body[17 + total :]
         elif marker == 0xDD:
             out["restart"] = struct.unpack(">H", body)[0]
         elif marker == 0xDA:
-            out["tables"] = body[2] >> 4, body[2] & 15
-            out["data"] = frame[at : frame.rindex(b"\xff\xd9")]
+            tables = {body[1 + 2 * k]: body[2 + 2 * k] for k in range(body[0])}
+            if body[0] != len(out["parts"]):
+                raise ValueError("only frames of one scan are read")
+            out["tables"] = [(tables[i] >> 4, tables[i] & 15) for i, _, _, _ in out["parts"]]
+            out["data"] = frame[at : frame.rindex(b"\xff\xd9") if b"\xff\xd9" in frame[at:] else len(frame)]
             return out
 
 
-def coefficients(jpeg: dict) -> np.ndarray:
-    """Quantised coefficients (blocks, 64) in zigzag order, by the general Huffman rules."""
-    dc, ac = jpeg["dc"][jpeg["tables"][0]], jpeg["ac"][jpeg["tables"][1]]
-    n = -(-jpeg["width"] // 8) * -(-jpeg["height"] // 8)
-    out, data, at = np.zeros((n, 64), np.int32), jpeg["data"], 0
-    bits, have, last = 0, 0, 0
-
-    def need(k: int) -> None:
-        nonlocal bits, have, at
-        while have < k:
-            b = data[at] if at < len(data) else 0
-            at += 2 if b == 0xFF else 1  # past the stuffed zero
-            bits, have = bits << 8 | b, have + 8
-
-    def take(k: int) -> int:
-        nonlocal bits, have
-        need(k)
-        have -= k
-        v = bits >> have
-        bits &= (1 << have) - 1
-        return v
-
-    def symbol(codes: dict) -> int:
-        code = 0
-        for length in range(1, 17):
-            code = code << 1 | take(1)
-            if (length, code) in codes:
-                return codes[length, code]
-        raise ValueError("bad code")
-
-    def value(size: int) -> int:
-        v = take(size) if size else 0
-        return v if not size or v >> (size - 1) else v - (1 << size) + 1
-
-    for i in range(n):
-        if jpeg["restart"] and i and i % jpeg["restart"] == 0:
-            at = data.index(b"\xff" + bytes([0xD0 + (i // jpeg["restart"] - 1) % 8]), max(0, at - have // 8)) + 2
-            bits = have = last = 0
-        last += value(symbol(dc))
-        out[i, 0], k = last, 1
-        while k < 64:
-            run, size = divmod(symbol(ac), 16)
-            if not size:
-                if run < 15:
-                    break
-                k += 16
-                continue
-            k += run
-            out[i, k], k = value(size), k + 1
+def coefficients(jpeg: dict) -> list[np.ndarray]:
+    """Quantised coefficients (block rows, block columns, 64) of each component, in zigzag order, by the general baseline rules."""
+    parts = jpeg["parts"] if len(jpeg["parts"]) > 1 else [(jpeg["parts"][0][0], 1, 1, jpeg["parts"][0][3])]
+    wide, high = max(p[1] for p in parts), max(p[2] for p in parts)
+    columns, rows = -(-jpeg["width"] // (8 * wide)), -(-jpeg["height"] // (8 * high))
+    out = [np.zeros((rows * v, columns * h, 64), np.int32) for _, h, v, _ in parts]
+    plan = [(k, jpeg["dc"][td], jpeg["ac"][ta], y, x) for k, ((_, h, v, _), (td, ta)) in enumerate(zip(parts, jpeg["tables"], strict=True)) for y in range(v) for x in range(h)]
+    every = jpeg["restart"] or columns * rows
+    stretches = re.split(b"\xff[\xd0-\xd7]", jpeg["data"])
+    for unit in range(columns * rows):
+        if unit % every == 0:
+            raw = np.frombuffer(stretches[unit // every].replace(b"\xff\0", b"\xff") + bytes(8), np.uint8).astype(np.int64)
+            bits = (raw[:-3] << 24 | raw[1:-2] << 16 | raw[2:-1] << 8 | raw[3:]).tolist()  # 32 bits from every byte on
+            at, last = 0, [0] * len(parts)
+        row, column = divmod(unit, columns)
+        for k, dc, ac, y, x in plan:
+            block = out[k][row * parts[k][2] + y, column * parts[k][1] + x]
+            i = 0
+            while i < 64:
+                code = (dc if i == 0 else ac)[bits[at >> 3] >> (16 - (at & 7)) & 0xFFFF]
+                if not code:
+                    raise ValueError("bad code")
+                at += code >> 8
+                run, size = (0, code & 255) if i == 0 else divmod(code & 255, 16)
+                if not size and i:
+                    if run < 15:
+                        break
+                    i += 16
+                    continue
+                v = 0
+                if size:
+                    v = bits[at >> 3] >> (32 - (at & 7) - size) & ((1 << size) - 1)
+                    at += size
+                    if not v >> (size - 1):
+                        v += 1 - (1 << size)
+                i += run
+                if i == 0:
+                    v = last[k] = last[k] + v
+                block[i] = v
+                i += 1
+    return out
+
+
+def planes(jpeg: dict) -> list[np.ndarray]:
+    """Samples of each component (luma, then blue and red difference), in its own resolution, cut to the frame's size."""
+    wide, high = max(p[1] for p in jpeg["parts"]), max(p[2] for p in jpeg["parts"])
+    out = []
+    for (_, h, v, q), c in zip(jpeg["parts"], coefficients(jpeg), strict=True):
+        blocks = samples(c.reshape(-1, 64) * jpeg["q"][q]).reshape(*c.shape[:2], 8, 8)
+        whole = blocks.transpose(0, 2, 1, 3).reshape(8 * c.shape[0], 8 * c.shape[1])
+        out.append(whole[: -(-jpeg["height"] * v // high), : -(-jpeg["width"] * h // wide)])
     return out
 
 
 def decode_frames(frames: list[bytes]) -> np.ndarray:
-    """Quantised coefficients (frames, blocks, 64) in zigzag order of frames of one size."""
+    """Quantised coefficients (frames, blocks, 64) in zigzag order of frames that :func:`encode_frames` made."""
     if not frames:
         return np.zeros((0, BLOCKS, 64), np.int32)
-    own = [len(f) > len(HEAD) and f.startswith(HEAD) for f in frames]
-    if not all(own):
-        return np.stack([coefficients(parse_jpeg(f)) for f in frames])
     coded = bytearray()
     for f in frames:
         body = f[len(HEAD) : -2].replace(b"\xff\0", b"\xff")
-        if len(body) != 74 * BLOCKS - 2:
+        if not f.startswith(HEAD) or len(body) != 74 * BLOCKS - 2:
             raise ValueError("bad frame")
         coded += body + b"\0\0"
     blocks = np.frombuffer(bytes(coded), np.uint8).reshape(-1, 74)[:, :72]
@@ -260,21 +341,48 @@ def inverse_dct() -> np.ndarray:
     return np.einsum("ux,vy->uvxy", c, c).reshape(64, 64)[ZIGZAG]
 
 
+def samples(coefs: np.ndarray) -> np.ndarray:
+    """Samples 0 to 255 (blocks, 64) of dequantised coefficients in zigzag order."""
+    return np.clip(coefs.astype(float) @ inverse_dct() + (128 + 1e-6), 0, 255)  # whole values stay whole under rounding
+
+
 def histograms(coefs: np.ndarray) -> np.ndarray:
-    """(frames, BINS) shares of brightness of the decoded pixels."""
+    """(frames, BINS) shares of brightness in frames (frames, blocks, 64) with quantiser 1."""
     n = len(coefs)
-    pixels = coefs.reshape(-1, 64).astype(float) @ inverse_dct() + (128 + 1e-6)  # whole values stay whole under rounding
-    level = np.clip(pixels, 0, 255).astype(np.int32) * BINS // 256
+    level = samples(coefs.reshape(-1, 64)).astype(np.int32) * BINS // 256
     flat = level.reshape(n, -1) + BINS * np.arange(n)[:, None]
     return np.bincount(flat.ravel(), minlength=n * BINS).reshape(n, BINS) / (coefs.shape[1] * 64)
 
 
+def histograms_of(frames: list[bytes]) -> np.ndarray:
+    """(frames, 3 * BINS) shares of brightness and of the two colour differences, which are in the middle in a grey frame.
+
+    The writer's own frames are decoded in bulk, others bit by bit. An empty frame repeats the one before it.
+    """
+    out = np.zeros((len(frames), 3, BINS))
+    out[:, 1:, BINS // 2] = 1
+    own = [k for k, f in enumerate(frames) if f.startswith(HEAD)]
+    for at in range(0, len(own), PIECE):
+        some = own[at : at + PIECE]
+        out[some, 0] = histograms(decode_frames([frames[k] for k in some]))
+    for k, f in enumerate(frames):
+        if f.startswith(HEAD):
+            continue
+        if not f and k:
+            out[k] = out[k - 1]
+            continue
+        for c, plane in enumerate(planes(parse_jpeg(f))):
+            out[k, c] = np.bincount(plane.astype(np.int32).ravel() * BINS // 256, minlength=BINS) / plane.size
+    return out.reshape(len(frames), 3 * BINS)
+
+
 def shots(hist: np.ndarray, reach: int = 8, times: float = 2.5, least: float = 0.25) -> list[tuple[int, int]]:
-    """(first frame, end) of each shot: a cut is where the histograms' distance stands out from those before and behind it."""
+    """(first frame, end) of each shot: a cut is where the histograms' distance, in the channel where it is greatest, stands out from
+    those before and behind it."""
     n = len(hist)
     if n < 2:
         return [(0, n)] if n else []
-    d = np.abs(np.diff(hist, axis=0)).sum(axis=1) / 2
+    d = np.abs(np.diff(hist, axis=0)).reshape(n - 1, -1, BINS).sum(axis=2).max(axis=1) / 2
     total = np.concatenate([[0], np.cumsum(d)])
     squares = np.concatenate([[0], np.cumsum(d * d)])
     i = np.arange(len(d))
@@ -290,7 +398,9 @@ def shots(hist: np.ndarray, reach: int = 8, times: float = 2.5, least: float = 0
 def clips(media: DataFrame, key: str, column: str) -> DataFrame:
     """Timed clip rows (key, clip, start_frame, end_frame, start_s, end_s, brightness) of AVI files in a binary column.
 
-    A null or empty file has no clips; one that is no AVI, or whose frames can't be read, has one row with null times.
+    Frames are baseline JPEG, grey or in colour, with the tables they bring or the default ones. A null or empty file has no clips;
+    one that is no AVI, or whose frames can't be read, has one row with null times. Repeated rows give their clips each; an empty
+    table gives no rows. Other columns are not read.
     """
 
     def make():
@@ -300,13 +410,13 @@ def clips(media: DataFrame, key: str, column: str) -> DataFrame:
                     continue
                 try:
                     rate, scale, frames = demux(data)
-                    hist = histograms(decode_frames(frames))
+                    hist = histograms_of(frames)
                 except (ValueError, KeyError, IndexError, struct.error):
                     yield i, 0, None, None, None, None, None
                     continue
                 step = scale / max(1, rate)
                 for k, (a, b) in enumerate(shots(hist)):
-                    yield i, k, a, b, a * step, b * step, float(hist[a:b].mean(axis=0) @ np.arange(BINS)) / (BINS - 1)
+                    yield i, k, a, b, a * step, b * step, float(hist[a:b, :BINS].mean(axis=0) @ np.arange(BINS)) / (BINS - 1)
 
         return rows
 
@@ -315,7 +425,11 @@ def clips(media: DataFrame, key: str, column: str) -> DataFrame:
 
 
 def store(texts: DataFrame, key: str = "doc_id", column: str = "text") -> DataFrame:
-    """(key, n_bytes, media binary): each text, padded to frames, as an AVI file. Null counts as empty: one frame of padding."""
+    """(key, n_bytes, media binary): each text, padded to frames, as an AVI file.
+
+    Null counts as empty: one frame of padding. A text of any length is one file. Repeated rows and null keys give a row each; an
+    empty table gives no rows. Other columns are not read.
+    """
 
     def make():
         def rows(cols: list[list]) -> Iterator[tuple]:
@@ -329,7 +443,7 @@ def store(texts: DataFrame, key: str = "doc_id", column: str = "text") -> DataFr
 
 
 def op9_avi(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document stored as an AVI file and read back: digests of both, and its shots."""
+    """Every document stored as an AVI file and read back: digests of both, and its shots. Edge cases are those of :func:`store`."""
 
     def make():
         def rows(cols: list[list]) -> Iterator[tuple]:
@@ -337,10 +451,12 @@ def op9_avi(spark: SparkSession, sf_dir: str) -> DataFrame:
                 raw = (text or "").encode()
                 media = mux(encode_frames(padded(raw)))
                 _, _, frames = demux(media)
-                coefs = decode_frames(frames)
-                back = stored_bytes(coefs)
-                hist = histograms(coefs)
-                found = shots(hist)
+                back, hist = bytearray(), [np.zeros((0, BINS))]
+                for at in range(0, len(frames), PIECE):
+                    coefs = decode_frames(frames[at : at + PIECE])
+                    back += stored_bytes(coefs)
+                    hist.append(histograms(coefs))
+                found = shots(np.concatenate(hist))
                 feature = f"frames={len(frames)};shots={len(found)};" + ",".join(f"{a / FPS:.2f}-{b / FPS:.2f}" for a, b in found)
                 yield i, len(raw), len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-32:]), len(media), hashlib.sha256(media).hexdigest(), feature
 

@@ -1,6 +1,7 @@
 """Operators that work on one document at a time, against brute force and the public libraries."""
 
 import hashlib
+import math
 import re
 import zlib
 from array import array
@@ -284,19 +285,142 @@ def test_media_round_trip(raw):
     assert avi.demux(data) == (avi.FPS, 1, frames)
     coefs = avi.decode_frames(frames)
     assert avi.stored_bytes(coefs) == payload
-    assert (avi.coefficients(avi.parse_jpeg(frames[0])) == coefs[0]).all()
+    assert (avi.coefficients(avi.parse_jpeg(frames[0]))[0].reshape(-1, 64) == coefs[0]).all()
+    assert np.allclose(avi.histograms_of([f[:2] + b"\xff\xfe\x00\x04hi" + f[2:] for f in frames])[:, :16], avi.histograms(coefs))
     assert len(payload) % 576 == 0 and payload[: len(raw)] == raw
 
 
-def test_general_frames_and_lost_index():
+def test_lost_and_other_indexes():
+    import struct
+
     frames = avi.encode_frames(avi.padded(b"a" * 1000))
     data = avi.mux(frames)
     cut = data[: data.rindex(b"idx1")]
     assert avi.demux(cut)[2] == frames
-    other = [f[:2] + b"\xff\xfe\x00\x04hi" + f[2:] for f in frames]  # a comment: not the writer's own header
-    assert (avi.decode_frames(other) == avi.decode_frames(frames)).all()
     with pytest.raises(ValueError):
         avi.demux(b"RIFF")
+    # two RIFF lists, each with an OpenDML index of its frames in another order
+    head = data[12 : data.index(b"movi") - 8]
+    parts, at = [], 0
+    for k, own in enumerate((frames, frames[:1])):
+        body = b"".join(avi.chunk(b"00dc", f) for f in own)
+        start = at + 12 + (len(head) if not k else 0) + 12
+        offsets = [start + 8 + sum(8 + len(f) + len(f) % 2 for f in own[:j]) for j in range(len(own))]
+        ix = struct.pack("<HBBI4sQI", 2, 0, 1, len(own), b"00dc", 0, 0) + b"".join(struct.pack("<II", o, len(f)) for o, f in reversed(list(zip(offsets, own, strict=True))))
+        parts.append(avi.chunk(b"RIFF", (b"AVI " + head if not k else b"AVIX") + avi.chunk(b"LIST", b"movi" + body + avi.chunk(b"ix00", ix))))
+        at += len(parts[-1])
+    assert avi.demux(b"".join(parts))[2] == [*frames[::-1], frames[0]]
+    nested = data.replace(b"LIST" + data[data.index(b"movi") - 4 : data.index(b"movi")] + b"movi", b"LIST" + data[data.index(b"movi") - 4 : data.index(b"movi")] + b"movi", 1)
+    assert avi.demux(nested)[2] == frames
+
+
+def forward(plane):
+    """Quantiser-free coefficients (rows, columns, 64) in zigzag order of a plane whose sides are multiples of 8."""
+    h, w = plane.shape
+    blocks = (plane.astype(float) - 128).reshape(h // 8, 8, w // 8, 8).transpose(0, 2, 1, 3).reshape(-1, 64)
+    return (blocks @ np.linalg.inv(avi.inverse_dct())).reshape(h // 8, w // 8, 64)
+
+
+def encode_jpeg(width, height, parts, quantisers, dht=True, restart=0):
+    """A baseline JPEG with the default Huffman codes; parts: (h, v, padded plane, quantiser and table number)."""
+    import struct
+
+    out = b"\xff\xd8" + b"".join(avi.segment(0xDB, bytes([k, *q])) for k, q in enumerate(quantisers))
+    out += avi.segment(0xC0, struct.pack(">BHHB", 8, height, width, len(parts)) + b"".join(bytes([k + 1, h << 4 | v, q]) for k, (h, v, _, q) in enumerate(parts)))
+    if dht:
+        for c, tables in ((0, avi.DEFAULT_DC), (1, avi.DEFAULT_AC)):
+            out += b"".join(avi.segment(0xC4, bytes([c << 4 | k]) + counts + symbols) for k, (counts, symbols) in enumerate(tables))
+    if restart:
+        out += avi.segment(0xDD, struct.pack(">H", restart))
+    out += avi.segment(0xDA, bytes([len(parts)]) + b"".join(bytes([k + 1, q << 4 | q]) for k, (_, _, _, q) in enumerate(parts)) + bytes([0, 63, 0]))
+
+    def codes(table):
+        counts, symbols = table
+        found, code, k = {}, 0, 0
+        for bits, n in enumerate(counts, 1):
+            for _ in range(n):
+                found[symbols[k]] = format(code, f"0{bits}b")
+                code, k = code + 1, k + 1
+            code <<= 1
+        return found
+
+    dc, ac = [codes(t) for t in avi.DEFAULT_DC], [codes(t) for t in avi.DEFAULT_AC]
+    quantised = [np.rint(forward(plane) / np.array(quantisers[q])).astype(int) for _, _, plane, q in parts]
+
+    def put(v):
+        size = abs(v).bit_length()
+        return size, format(v if v > 0 else v + (1 << size) - 1, f"0{size}b") if size else ""
+
+    wide, high = max(p[0] for p in parts), max(p[1] for p in parts)
+    columns, rows = -(-width // (8 * wide)), -(-height // (8 * high))
+    bits, last, marks = "", [0] * len(parts), 0
+
+    def flush():
+        nonlocal bits
+        bits += "1" * (-len(bits) % 8)
+        raw = int(bits, 2).to_bytes(len(bits) // 8, "big") if bits else b""
+        bits = ""
+        return raw.replace(b"\xff", b"\xff\0")
+
+    for unit in range(columns * rows):
+        if restart and unit and unit % restart == 0:
+            out += flush() + b"\xff" + bytes([0xD0 + marks % 8])
+            marks, last = marks + 1, [0] * len(parts)
+        for k, (h, v, _, q) in enumerate(parts):
+            for y in range(v):
+                for x in range(h):
+                    block = quantised[k][unit // columns * v + y, unit % columns * h + x].tolist()
+                    size, word = put(block[0] - last[k])
+                    last[k] = block[0]
+                    bits += dc[q][size] + word
+                    run = 0
+                    for n, c in enumerate(block[1:], 1):
+                        if not any(block[n:]):
+                            bits += ac[q][0]
+                            break
+                        if not c:
+                            run += 1
+                            continue
+                        while run > 15:
+                            bits, run = bits + ac[q][0xF0], run - 16
+                        size, word = put(c)
+                        bits += ac[q][run << 4 | size] + word
+                        run = 0
+    return out + flush() + b"\xff\xd9"
+
+
+@pytest.mark.parametrize("dht", [True, False])
+@pytest.mark.parametrize("restart", [0, 2])
+@pytest.mark.parametrize("sampling", [(1, 1), (2, 1), (2, 2)])
+def test_colour_frames(dht, restart, sampling):
+    """Colour frames in the usual samplings come back within what their quantisers lose."""
+    h, v = sampling
+    y, x = np.mgrid[0:48, 0:64]
+    luma, blue, red = 128 + 90 * np.sin(x / 9) * np.cos(y / 7), 60 + x[: 48 // v, : 64 // h] * h * 2.0, 200 - y[: 48 // v, : 64 // h] * v * 3.0
+    frame = encode_jpeg(59, 45, [(h, v, luma, 0), (1, 1, blue, 1), (1, 1, red, 1)], [[3] * 64, [6] * 64], dht, restart)
+    got = avi.planes(avi.parse_jpeg(frame))
+    assert [p.shape for p in got] == [(45, 59), (-(-45 // v), -(-59 // h)), (-(-45 // v), -(-59 // h))]
+    for p, want in zip(got, (luma, blue, red), strict=True):
+        assert np.abs(p - want[: p.shape[0], : p.shape[1]]).max() < 16
+
+
+def test_quantisers_count():
+    """Equal codes under another quantiser are another picture."""
+    plane = 128 + 40 * np.sin(np.mgrid[0:16, 0:16][0] / 3)
+    one = encode_jpeg(16, 16, [(1, 1, plane, 0)], [[2] * 64])
+    other = one.replace(bytes([0, *[2] * 64]), bytes([0, *[4] * 64]))
+    a, b = (avi.planes(avi.parse_jpeg(f))[0] for f in (one, other))
+    assert np.abs(a - plane).max() < 8 and np.abs(b - (128 + 2 * (plane - 128))).max() < 16
+    assert np.abs(avi.histograms_of([one]) - avi.histograms_of([other])).sum() > 0.5
+
+
+def test_clips_of_colour_frames(spark):
+    flat = lambda luma, blue: encode_jpeg(16, 16, [(2, 2, np.full((16, 16), luma), 0), (1, 1, np.full((8, 8), blue), 1), (1, 1, np.full((8, 8), 128), 1)], [[1] * 64, [1] * 64], dht=False)
+    frames = [flat(100, 90)] * 12 + [flat(100, 200)] * 8 + [b""] * 2 + [flat(220, 200)] * 10
+    data = avi.mux(frames, side=16)
+    got = avi.clips(spark.createDataFrame([(7, bytearray(data), 1)], "id int, media binary, clip int"), "id", "media").orderBy("clip").collect()
+    assert [(r["start_frame"], r["end_frame"]) for r in got] == [(0, 12), (12, 22), (22, 32)]
+    assert got[0]["end_s"] == pytest.approx(12 / avi.FPS) and got[0]["brightness"] == pytest.approx(6 / 15) and got[2]["brightness"] == pytest.approx(13 / 15)
 
 
 def test_shots():
@@ -305,7 +429,7 @@ def test_shots():
     assert avi.shots(np.zeros((0, 16))) == [] and avi.shots(a[:1]) == [(0, 1)]
 
 
-def test_clips(spark, docs, rows, as_tables):
+def test_clips(spark, docs, rows, as_tables, none):
     media = avi.store(docs)
     clips = avi.clips(media, "doc_id", "media").collect()
     assert all(r["end_s"] > r["start_s"] for r in clips)
@@ -315,4 +439,35 @@ def test_clips(spark, docs, rows, as_tables):
     for i, t in rows:
         payload = avi.padded((t or "").encode())
         assert got[i]["payload_sha256"] == hashlib.sha256(payload).hexdigest() and got[i]["n_bytes"] == len((t or "").encode())
-        assert got[i]["tail_crc32"] == zlib.crc32(payload[-32:])
+        assert got[i]["tail_crc32"] == zlib.crc32(payload[-32:]) and got[i]["payload_bytes"] == len(payload)
+        data = avi.mux(avi.encode_frames(payload))
+        assert (got[i]["media_bytes"], got[i]["media_sha256"]) == (len(data), hashlib.sha256(data).hexdigest())
+        assert got[i]["feature"] == slow_feature(payload)
+    assert len(got) == len({i for i, _ in rows}) and avi.store(none).count() == avi.clips(avi.store(none), "doc_id", "media").count() == 0
+
+
+def slow_feature(payload):
+    """Shots of a payload's frames, pixel by pixel and frame by frame."""
+    x = np.arange(8)
+    basis = np.array([np.cos((2 * x + 1) * u * np.pi / 16) * np.sqrt((1 if u == 0 else 2) / 8) for u in range(8)])
+    order = sorted(((u, v) for u in range(8) for v in range(8)), key=lambda p: (p[0] + p[1], p[0] if (p[0] + p[1]) % 2 else p[1]))
+    hist = []
+    for f in range(len(payload) // 576):
+        counts = [0] * 16
+        for b in range(9):
+            block = np.zeros((8, 8))
+            for (u, v), value in zip(order, payload[576 * f + 64 * b : 576 * f + 64 * b + 64], strict=True):
+                block[u, v] = value if value >= 128 else value - 255
+            for p in (basis.T @ block @ basis + 128 + 1e-6).ravel():
+                counts[int(min(255, max(0, p))) * 16 // 256] += 1
+        hist.append([c / 576 for c in counts])
+    d = [sum(abs(a - b) for a, b in zip(p, q, strict=True)) / 2 for p, q in zip(hist, hist[1:])]
+    cuts = [0]
+    for i, here in enumerate(d):
+        near = d[max(0, i - 8) : i] + d[i + 1 : i + 9]
+        mean = sum(near) / max(1, len(near))
+        spread = math.sqrt(max(0, sum(z * z for z in near) / max(1, len(near)) - mean * mean))
+        if here > max(0.25, mean + 2.5 * spread):
+            cuts.append(i + 1)
+    edges = [*cuts, len(hist)]
+    return f"frames={len(hist)};shots={len(cuts)};" + ",".join(f"{a / 25:.2f}-{b / 25:.2f}" for a, b in zip(edges, edges[1:]))
