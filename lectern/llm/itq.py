@@ -1,10 +1,11 @@
 """Embedding near-duplicates: iterative quantisation, multi-index Hamming tables, reranking with the original vectors.
 
 A rotation of the principal components is learnt so that signs make balanced binary codes. The code is cut into substrings; each
-is the key of one table. Vectors that share a substring are compared by cosine in double precision. The substrings grow with the
-logarithm of the largest label, and there are as many tables as pairs of the least similarity need at the angles that centring
-leaves between them, so lists stay short at any size. Equal
-vectors are folded first; lists over ``TILE`` are dealt to several tasks; a list yields counts and a forest, not its pairs.
+is the key of one table. Tables hold codes only. Two vectors of a list whose whole codes differ in no more bits than pairs of the
+least similarity do are candidates; members without one leave, and only the rest fetch their vectors and are compared by cosine in
+double precision. The substrings grow with the logarithm of the largest label, and there are as many tables as pairs of the least
+similarity need at the angles that centring leaves between them, so lists stay short at any size. Equal vectors are folded first;
+lists over ``TILE`` are dealt to several tasks; a list yields counts and a forest, not its pairs.
 """
 
 from __future__ import annotations
@@ -26,7 +27,11 @@ SAMPLE = 8192
 ROUNDS = 30
 #: Vectors of a label per list, were codes even; and the share of pairs at LEAST that may share no table.
 PER_LIST, MISSED = 64, 0.03
+#: The share of pairs at LEAST whose codes may differ in more bits than candidates do.
+BEYOND = 0.005
 TILE = 512
+#: Members of a list that are compared with all others at a time.
+STRIP = 512
 #: A sample of fewer vectors has no mean to speak of: it isn't centred.
 FEW = 32
 SEED = 11
@@ -80,18 +85,31 @@ def learn(x: np.ndarray, bits: int, rng: np.random.Generator) -> tuple[np.ndarra
     return mean, np.concatenate(parts, axis=1)
 
 
-def centred_angles(x: np.ndarray, mean: np.ndarray, least: float, rng: np.random.Generator) -> np.ndarray:
-    """Angles around ``mean`` between unit vectors and partners at cosine ``least``, moved towards other vectors of the sample ``x``."""
-    other = x[rng.permutation(len(x))]
-    side = other - (other * x).sum(axis=1, keepdims=True) * x
+def partners(x: np.ndarray, least: float, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """Unit vectors of the sample ``x`` and others at cosine ``least`` to them: moved towards other vectors, away from them, and in
+    random directions."""
+    other = np.concatenate([x[rng.permutation(len(x))], rng.standard_normal(x.shape)])
+    twice = np.concatenate([x, x])
+    side = other - (other * twice).sum(axis=1, keepdims=True) * twice
     norm = np.linalg.norm(side, axis=1)
-    x, side = x[norm > 1e-6], (side / np.maximum(norm, 1e-300)[:, None])[norm > 1e-6]
-    out = []
-    for sign in (1, -1):
-        a, b = x - mean, least * x + sign * math.sqrt(1 - least**2) * side - mean
-        size = np.linalg.norm(a, axis=1) * np.linalg.norm(b, axis=1)
-        out.append(np.arccos(np.clip((a * b).sum(axis=1) / np.maximum(size, 1e-300), -1, 1)))
-    return np.concatenate(out) if len(x) else np.array([math.acos(least)])
+    twice, side = twice[norm > 1e-6], side[norm > 1e-6] / norm[norm > 1e-6, None]
+    return np.concatenate([twice, twice]), np.concatenate([least * twice + sign * math.sqrt(1 - least**2) * side for sign in (1, -1)])
+
+
+def centred_angles(x: np.ndarray, mean: np.ndarray, least: float, rng: np.random.Generator) -> np.ndarray:
+    """Angles around ``mean`` between vectors of the sample ``x`` and partners at cosine ``least``."""
+    a, b = (v - mean for v in partners(x, least, rng))
+    size = np.linalg.norm(a, axis=1) * np.linalg.norm(b, axis=1)
+    return np.arccos(np.clip((a * b).sum(axis=1) / np.maximum(size, 1e-300), -1, 1)) if len(a) else np.array([math.acos(least)])
+
+
+def most_bits(x: np.ndarray, mean: np.ndarray, projection: np.ndarray, least: float, rng: np.random.Generator) -> int:
+    """In how many bits codes of partners at cosine ``least`` differ, but for a share of ``BEYOND``."""
+    a, b = partners(x, least, rng)
+    if not len(a):
+        return projection.shape[1]
+    apart = (((a - mean) @ projection >= 0) != ((b - mean) @ projection >= 0)).sum(axis=1)
+    return int(np.quantile(apart, 1 - BEYOND, method="higher"))
 
 
 def shape(largest: int, least: float = LEAST, angles: np.ndarray | None = None) -> tuple[int, int]:
@@ -107,19 +125,46 @@ def shape(largest: int, least: float = LEAST, angles: np.ndarray | None = None)
     return bits, high
 
 
-def substrings(x: np.ndarray, mean: np.ndarray, projection: np.ndarray, bits: int, tables: int) -> np.ndarray:
-    """(n, tables) keys of unit vectors."""
-    code = ((x - mean) @ projection >= 0).reshape(len(x), tables, bits)
-    return (code * (1 << np.arange(bits))).sum(axis=2).astype(np.int32)
+def substrings(x: np.ndarray, mean: np.ndarray, projection: np.ndarray, bits: int, tables: int) -> tuple[np.ndarray, np.ndarray]:
+    """(n, tables) keys of unit vectors, and their whole codes (n, bytes)."""
+    code = (x - mean) @ projection >= 0
+    return (code.reshape(len(x), tables, bits) * (1 << np.arange(bits))).sum(axis=2).astype(np.int32), np.packbits(code, axis=1)
+
+
+def words_of(code: list[bytes]) -> np.ndarray:
+    """Whole codes as (n, words) of 64 bits."""
+    size = len(code[0])
+    return np.frombuffer(b"".join(c + bytes(-size % 8) for c in code), np.uint64).reshape(len(code), -1)
+
 
+def close(code: np.ndarray, a: int, most: int) -> np.ndarray:
+    """Which members differ from ``code[a : a + STRIP]`` in ``most`` bits or fewer."""
+    apart = np.zeros((len(code[a : a + STRIP]), len(code)), np.int32)
+    for k in range(code.shape[1]):
+        apart += np.bitwise_count(code[a : a + STRIP, k][:, None] ^ code[:, k])
+    return apart <= most
 
-def compare(sub: np.ndarray, tab: int, x: np.ndarray, n: np.ndarray, s: np.ndarray, cross: bool, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Linked others of each member, copies counted, and the least member reached, over pairs that no earlier table shares."""
+
+def with_candidate(code: np.ndarray, s: np.ndarray, cross: bool, most: int) -> np.ndarray:
+    """Which members of a list have another within ``most`` bits, in another tile if ``cross``."""
+    out = np.zeros(len(code), bool)
+    for a in range(0, len(code), STRIP):
+        near = close(code, a, most)
+        near[np.arange(len(near)), np.arange(a, a + len(near))] = False
+        if cross:
+            near &= s[a : a + STRIP][:, None] != s
+        out |= near.any(axis=0)
+        out[a : a + STRIP] |= near.any(axis=1)
+    return out
+
+
+def compare(code: np.ndarray, sub: np.ndarray, tab: int, x: np.ndarray, n: np.ndarray, s: np.ndarray, cross: bool, least: float, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Linked others of each member, copies counted, and the least member reached, over candidate pairs that no earlier table shares."""
     g = len(x)
     links, root = np.zeros(g, np.int64), np.arange(g)
     left, right = [], []
-    for a in range(0, g, 512):
-        i, j = np.nonzero(x[a : a + 512] @ x.T >= least)
+    for a in range(0, g, STRIP):
+        i, j = np.nonzero(close(code, a, most) & (x[a : a + STRIP] @ x.T >= least))
         i += a
         on = i < j
         if cross:
@@ -147,7 +192,7 @@ def compare(sub: np.ndarray, tab: int, x: np.ndarray, n: np.ndarray, s: np.ndarr
 
 
 def found_links(reps: DataFrame, least: float = LEAST) -> DataFrame:
-    """(rep, add, root) of the distinct vectors ``reps`` (label, dim, rep, n, vec): rows to be summed and joined up by rep."""
+    """(rep, add, root) of the distinct vectors ``reps`` (label, dim, h, rep, n, vec): rows to be summed and joined up by rep."""
     spark = reps.sparkSession
     largest = reps.groupBy("label").count().agg(F.max("count")).first()[0] or 0
     sample = reps.orderBy(F.xxhash64("rep", F.lit(SEED)), "rep").select("dim", "vec").limit(SAMPLE).collect()
@@ -158,37 +203,57 @@ def found_links(reps: DataFrame, least: float = LEAST) -> DataFrame:
     samples = {d: unit(v, d) for d, v in sorted(dims.items()) if len(v) > 1}
     shapes = [shape(largest, least), *(shape(largest, least, centred_angles(x, x.mean(axis=0), least, rng)) for x in samples.values() if len(x) >= FEW)]
     bits, tables = max(shapes)
-    models = {d: learn(x, bits * tables, rng) for d, x in samples.items()}
+    models = {}
+    for d, x in samples.items():
+        mean, projection = learn(x, bits * tables, rng)
+        # few vectors tell nothing about the rest: all pairs of a list are candidates
+        models[d] = mean, projection, most_bits(x, mean, projection, least, rng) if len(x) >= FEW else bits * tables
     shared = spark.sparkContext.broadcast(models)
 
-    def listed(batches: Iterator[list[list]]) -> Iterator[tuple]:
-        for label, dim, rep, n, vec in batches:
+    def model(d: int) -> tuple[np.ndarray, np.ndarray, int]:
+        if d in shared.value:
+            return shared.value[d]
+        return np.zeros(d), np.random.default_rng(d).standard_normal((d, bits * tables)), bits * tables  # a length that the sample lacks
+
+    def coded(batches: Iterator[list[list]]) -> Iterator[tuple]:
+        for label, dim, rep, h, vec in batches:
             d = np.array(dim)
             for one in np.unique(d).tolist():
                 at = np.flatnonzero(d == one).tolist()
-                x = unit([vec[i] for i in at], one)
-                if one in shared.value:
-                    mean, projection = shared.value[one]
-                else:  # a length that the sample lacks: random directions
-                    mean, projection = np.zeros(one), np.random.default_rng(one).standard_normal((one, bits * tables))
-                keys = substrings(x, mean, projection, bits, tables)
-                for i, own in zip(at, keys, strict=True):
-                    code = own.tobytes()
+                mean, projection, _ = model(one)
+                keys, codes = substrings(unit([vec[i] for i in at], one), mean, projection, bits, tables)
+                for i, own, code in zip(at, keys, codes, strict=True):
+                    raw = code.tobytes()
                     for t, key in enumerate(own.tolist()):
-                        yield label[i], one, t, key, rep[i], n[i], code, vec[i]
+                        yield label[i], one, t, key, rep[i], h[i], raw
+
+    def screen(batches: Iterator[list[list]]) -> Iterator[tuple]:
+        for key, group in grouped(batches, 6):
+            if len(group) > 1:
+                s, rep, h, code = zip(*group, strict=True)
+                on = np.flatnonzero(with_candidate(words_of(list(code)), np.array(s), key[4] != key[5], model(key[1])[2]))
+                for i in on.tolist():
+                    yield *key, s[i], rep[i], h[i], code[i]
 
     def verify(batches: Iterator[list[list]]) -> Iterator[tuple]:
         for key, group in grouped(batches, 6):
             if len(group) > 1:
-                s, rep, n, code, vec = (list(c) for c in zip(*group, strict=True))
-                sub = np.frombuffer(b"".join(code), np.int32).reshape(len(code), tables)
-                links, root = compare(sub, key[2], unit(vec, key[1]), np.array(n), np.array(s), key[4] != key[5], least)
-                for i in np.flatnonzero((links > 0)).tolist():
+                s, rep, code, n, vec = (list(c) for c in zip(*group, strict=True))
+                flat = np.unpackbits(np.frombuffer(b"".join(code), np.uint8).reshape(len(code), -1), axis=1, count=bits * tables)
+                sub = (flat.reshape(len(code), tables, bits) * (1 << np.arange(bits))).sum(axis=2)
+                links, root = compare(words_of(code), sub, key[2], unit(vec, key[1]), np.array(n), np.array(s), key[4] != key[5], least, model(key[1])[2])
+                for i in np.flatnonzero(links > 0).tolist():
                     yield rep[i], int(links[i]), rep[int(root[i])]
 
-    rows = map_stream(reps.select("label", "dim", "rep", "n", "vec"), "label long, dim int, tab int, sub int, rep long, n long, code binary, vec binary", listed)
-    pairs = dealt_in_tiles(rows, ["label", "dim", "tab", "sub"], "rep", TILE).select("label", "dim", "tab", "sub", "a", "b", "s", "rep", "n", "code", "vec")
-    return map_stream(pairs, "rep long, add long, root long", verify)
+    keys = ["label", "dim", "tab", "sub", "a", "b"]
+    typed = "label long, dim int, tab int, sub int"
+    rows = map_stream(reps.select("label", "dim", "rep", "h", "vec"), f"{typed}, rep long, h binary, code binary", coded)
+    pairs = dealt_in_tiles(rows, keys[:4], "h", TILE).select(*keys, "s", "rep", "h", "code")
+    kept = materialize(map_stream(pairs, f"{typed}, a int, b int, s int, rep long, h binary, code binary", screen))
+    whole = kept.join(reps.select("label", "h", "n", "vec"), ["label", "h"])  # an id may have several vectors
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    met = whole.repartition(n, *keys).sortWithinPartitions(*keys).select(*keys, "s", "rep", "code", "n", "vec")
+    return map_stream(met, "rep long, add long, root long", verify)
 
 
 def grouped(batches: Iterator[list[list]], keys: int) -> Iterator[tuple[tuple, list[tuple]]]:
@@ -208,8 +273,8 @@ def grouped(batches: Iterator[list[list]], keys: int) -> Iterator[tuple[tuple, l
 def near_vectors(vectors: DataFrame, least: float = LEAST) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for every row of ``vectors`` (vec_id, embedding, label); other columns are not read.
 
-    Null, zero and non-finite vectors and those with a null component, label or id link with nothing. Repeated rows count as
-    vectors of their own. An empty table gives no rows.
+    Null, zero and non-finite vectors and those with a null component, label or id link with nothing; they are kept, but for a null
+    id, which is no id to be kept under. Repeated rows count as vectors of their own. An empty table gives no rows.
     """
     every = materialize(clean(vectors))
     reps = materialize(every.where("h is not null").groupBy("label", "dim", "h").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("n"), F.first("vec").alias("vec")))
@@ -224,4 +289,5 @@ def near_vectors(vectors: DataFrame, least: float = LEAST) -> DataFrame:
 
 
 def op10_itq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`near_vectors` of the whole table."""
     return near_vectors(table(spark, sf_dir, "embeddings"))

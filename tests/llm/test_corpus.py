@@ -328,6 +328,10 @@ def test_near_vectors(spark, monkeypatch):
     found = sum(got[i]["n_links"] for i in range(len(x)))
     assert all(got[i]["n_links"] <= linked[i].sum() for i in range(len(x)))
     assert found >= 0.9 * linked.sum()
+    part = components(len(x), list(zip(*np.nonzero(linked))))
+    right = [got[i]["component_id"] == part[i] for i in range(len(x))]
+    assert np.mean(right) > 0.97 and all(got[i]["component_id"] in np.flatnonzero(np.array(part) == part[i]) for i in range(len(x)))
+    assert all(got[i]["kept"] == (got[i]["component_id"] == i) for i in range(len(x)))
     for i in (1000, 1001, 1002, 1003, 1004, 1005):
         assert tuple(got[i]) == (i, 0, i, True)
     assert tuple(got[1006]) == (1006, 1, 1006, True) and tuple(got[1007]) == (1007, 1, 1006, False)
@@ -355,3 +359,34 @@ def test_recall_with_a_common_mean(spark, monkeypatch, bits):
     df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
     got = sum(r["n_links"] for r in itq.near_vectors(df).collect())
     assert 0.9 * linked.sum() <= got <= linked.sum()
+
+
+@pytest.mark.parametrize(("n", "common"), [(300, 0.0), (3000, 0.3), (12_000, 0.5)])
+def test_recall_at_sizes(spark, n, common):
+    """Planted pairs just above the least cosine among unlike vectors, at several sizes and with a common mean; groups of copies and
+    of near copies with them. Links and components against brute force."""
+    rng = np.random.default_rng(n)
+    norm = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    x = norm(common * np.eye(1, 48) + math.sqrt(1 - common**2) * norm(rng.standard_normal((n, 48))))
+    side = norm(rng.standard_normal((n // 3, 48)))
+    side = norm(side - (side * x[: n // 3]).sum(axis=1, keepdims=True) * x[: n // 3])
+    cosine = rng.uniform(0.931, 0.97, (n // 3, 1))
+    group = norm(x[:1] + 0.02 * rng.standard_normal((60, 48)))
+    x = np.concatenate([x, cosine * x[: n // 3] + np.sqrt(1 - cosine**2) * side, group, np.repeat(x[1:2], 30, axis=0)])
+    links, count = [], np.zeros(len(x), int)
+    u = norm(x)
+    for a in range(0, len(u), 1000):
+        i, j = np.nonzero(u[a : a + 1000] @ u.T >= 0.93)
+        i += a
+        i, j = i[i != j], j[i != j]
+        count += np.bincount(i, minlength=len(x))
+        links += list(zip(i.tolist(), j.tolist()))
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = {r["vec_id"]: r for r in itq.near_vectors(df).collect()}
+    own = np.array([got[i]["n_links"] for i in range(len(x))])
+    assert (own <= count).all() and own.sum() >= 0.9 * count.sum()
+    pairs = count == 1
+    assert own[pairs].sum() >= 0.9 * pairs.sum()
+    part = components(len(x), links)
+    assert np.mean([got[i]["component_id"] == part[i] for i in range(len(x))]) > 0.97
+    print(f"{len(x)} vectors, mean {common}: {own.sum() / count.sum():.4f} of all links, {own[pairs].sum() / pairs.sum():.4f} of lone pairs")
