@@ -112,7 +112,8 @@ class Runs:
 
 
 def cut(ids: list, texts: list, keys: np.ndarray, counts: np.ndarray, shards: int, hot: int) -> Runs | None:
-    """The runs of a block whose shared anchors are ``keys``; the same call gives the same runs in the same order."""
+    """The runs of a block whose shared anchors are ``keys``. Distinct runs are sorted: a block's rows may come in another order when
+    they are read again."""
     if not len(ids) or not len(keys):
         return None
     raw, first_byte, end_byte, h, sizes = of_texts(texts)
@@ -144,9 +145,10 @@ def cut(ids: list, texts: list, keys: np.ndarray, counts: np.ndarray, shards: in
     by_shard = {}
     for s, e in zip(cuts, cuts[1:], strict=False):
         some = order[s:e]
-        seen: dict[bytes, int] = {}
-        which = np.array([seen.setdefault(single_spaced(raw[low[i] : high[i]]), len(seen)) for i in some.tolist()], np.int32)
-        by_shard[int(shard[some[0]])] = some, which, list(seen)
+        here = [single_spaced(raw[low[i] : high[i]]) for i in some.tolist()]
+        found = sorted(set(here))
+        number = dict(zip(found, range(len(found)), strict=True))
+        by_shard[int(shard[some[0]])] = some, np.array([number[r] for r in here], np.int32), found
     return Runs(begin, end - begin - WINDOW + 1, doc, by_shard)
 
 

@@ -118,6 +118,19 @@ def test_hot_anchors_are_cut_into_windows(docs, rows, hot):
     assert sorted(((r["doc_id"], r["n_words"], r["n_removed"], hashlib.sha256(r["kept"].encode()).hexdigest()) for r in out.collect()), key=str) == slow_removed(rows)
 
 
+def test_runs_do_not_depend_on_the_order_of_rows(rows):
+    from lectern.llm.words import of_texts
+
+    some = [(i, t) for i, t in rows if i is not None][:60]
+    _, _, _, h, sizes = of_texts([t for _, t in some])
+    keys, counts = np.unique(substrings.anchors(h, sizes)[2], return_counts=True)
+    cut = lambda x: substrings.cut([i for i, _ in x], [t for _, t in x], keys, counts, 3, 5)
+    one, other = cut(some), cut(some[::-1])
+    assert {s: found for s, (_, _, found) in one.by_shard.items()} == {s: found for s, (_, _, found) in other.by_shard.items()}
+    docs = lambda r: {s: sorted(zip(which.tolist(), r.doc[places].tolist(), r.windows[places].tolist())) for s, (places, which, _) in r.by_shard.items()}
+    assert docs(one) == docs(other)
+
+
 def colliding_words():
     """Words whose polynomial hashes modulo 2 ** 64 are equal for every base."""
     a, b = "a", "b"
