@@ -7,7 +7,8 @@ takes those with the least padding plus cut penalties:
     f(j) = penalty(j) + SEQUENCE + min over i of f(i) + padding(pos(j) - pos(i))
 
 Padding is WINDOW - length, so the minimum over i is a sliding minimum of f(i) + pos(i), kept in a monotone queue; lengths
-that are a power of two need none and are looked up by position. No row is shuffled, and a task holds one chunk of tokens.
+that are a power of two need none and are looked up by position. No row is shuffled. A task works on a chunk of tokens at a time and
+gives out only what every cheapest way on has in common, so the cuts of a task are the cheapest of its whole stream.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ WINDOW = 1024
 SENTENCE, INSIDE, SEQUENCE = 4, 40, 16
 #: A sentence gets further cuts after so many tokens.
 STEP = 64
-#: Tokens that are packed at a time; the last window of a chunk is packed again with the next one.
+#: New tokens that are packed at a time.
 CHUNK = 1 << 18
 CACHE = 250_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -41,14 +42,15 @@ class ByteTokens:
     def __init__(self, path: str):
         import regex
         import tiktoken
+        from public_tokenizers import PATTERN
 
         spec = json.load(open(path, encoding="utf-8"))
         back = {c: b for b, c in enumerate(byte_alphabet())}
         special = {x["content"]: x["id"] for x in spec["added_tokens"]}
         ranks = {bytes(back[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
-        pattern = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-        self.pattern = regex.compile(pattern)
-        self.core = tiktoken.Encoding("words", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})._core_bpe
+        self.pattern = regex.compile(PATTERN)
+        # whatever it is given is one piece
+        self.merged = tiktoken.Encoding("pieces", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.special = {k: array("I", [v]).tobytes() for k, v in special.items()}
         self.specials = regex.compile("(" + "|".join(regex.escape(x) for x in special) + ")")
         self.sentence_end = np.zeros(1 + max([*ranks.values(), *special.values()]), bool)
@@ -60,7 +62,7 @@ class ByteTokens:
 
     def piece(self, word: str) -> bytes:
         """Ids of one pre-token."""
-        return array("I", self.core.encode_single_piece(word.encode())).tobytes()
+        return array("I", self.merged(word)).tobytes()
 
     def part(self, word: str) -> bytes:
         """As :meth:`piece`, through a cache of the parts of words with marks or line ends in them."""
@@ -140,8 +142,9 @@ def cut_points(ids: np.ndarray, doc_ends: np.ndarray, sentence_end: np.ndarray,
     return pos, cost
 
 
-def best_cuts(pos: np.ndarray, cost: np.ndarray, window: int = WINDOW) -> tuple[list[int], int]:
-    """Indices into ``pos`` of the cheapest cuts, both ends included, and their total cost. Neighbours in ``pos`` lie ``window`` apart at most."""
+def cheapest(pos: np.ndarray, cost: np.ndarray, window: int = WINDOW) -> tuple[list[int], int]:
+    """For each of ``pos``, the cut before it (an index) on the cheapest way there; and the cost of the way to the last. Neighbours in
+    ``pos`` lie ``window`` apart at most."""
     m = len(pos)
     where = np.full(int(pos[-1]) + 1, -1, np.int64)
     where[pos] = np.arange(m)
@@ -177,30 +180,53 @@ def best_cuts(pos: np.ndarray, cost: np.ndarray, window: int = WINDOW) -> tuple[
         if head > 4096:
             del queue[:head], keys[:head]
             head = 0
-    cuts, j = [m - 1], m - 1
+    return origin, f[-1]
+
+
+def way(origin: list[int], j: int) -> list[int]:
+    """The cuts from the first to the j-th, both included."""
+    cuts = [j]
     while j:
         j = origin[j]
         cuts.append(j)
-    return cuts[::-1], f[-1]
+    return cuts[::-1]
+
+
+def common(origin: list[int], pos: np.ndarray, window: int = WINDOW) -> int:
+    """The last cut that is on the way to each of those from which a window can reach beyond the end."""
+    m = len(pos)
+    first = int(np.searchsorted(pos, pos[-1] - window, side="right"))
+    on, n = [False] * first + [True] * (m - first), m - first
+    j = m - 1
+    while n > 1:
+        if on[j]:
+            if on[origin[j]]:
+                n -= 1
+            else:
+                on[origin[j]] = True
+            on[j] = False
+        j -= 1
+    return on.index(True)
 
 
 def pack_stream(docs: Iterator[tuple], sentence_end: np.ndarray, base: int, chunk: int = CHUNK) -> Iterator[tuple]:
-    """Pieces (doc_id, start, length, ids bytes, doc_tokens, sequence_id, offset) of ``docs`` (doc_id, ids bytes)."""
+    """Pieces (doc_id, start, length, ids bytes, doc_tokens, sequence_id, offset) of ``docs`` (doc_id, ids bytes).
+
+    However the next documents go on, their cheapest cuts begin with those up to :func:`common`. They are given out and forgotten;
+    the rest is packed again with what comes, so ``chunk`` does not change how dear the cuts are.
+    """
     held: list[tuple] = []  # (doc_id, ids from start on, start, doc_tokens)
-    size, sequence = 0, base
+    size, due, sequence = 0, chunk, base
 
     def cut(last: bool) -> Iterator[tuple]:
-        nonlocal held, size, sequence
+        nonlocal held, size, due, sequence
         raw = b"".join([d[1] for d in held])
         ends = np.cumsum([len(d[1]) // 4 for d in held])
         pos, cost = cut_points(np.frombuffer(raw, np.uint32), ends, sentence_end)
-        cuts, _ = best_cuts(pos, cost)
-        bounds = pos[cuts].tolist()
+        origin, _ = cheapest(pos, cost)
+        bounds = pos[way(origin, len(pos) - 1 if last else common(origin, pos))].tolist()
         k, begin = 0, 0  # document, and where it begins in the stream
-        stop = len(bounds) - 1 if last else max(1, len(bounds) - 2)
-        if not last and len(bounds) < 3:
-            stop = 0
-        for a, b in zip(bounds[:stop], bounds[1 : stop + 1], strict=True):
+        for a, b in zip(bounds, bounds[1:], strict=False):
             at = a
             while at < b:
                 while ends[k] <= at:
@@ -211,17 +237,18 @@ def pack_stream(docs: Iterator[tuple], sentence_end: np.ndarray, base: int, chun
                 yield i, start + at - begin, upto - at, ids[4 * (at - begin) : 4 * (upto - begin)], total, sequence, at - a
                 at = upto
             sequence += 1
-        rest, left = bounds[stop], []
+        rest, left = bounds[-1], []
         for (i, ids, start, total), end in zip(held, ends.tolist(), strict=True):
             if end > rest:
                 skip = max(0, rest - (end - len(ids) // 4))
                 left.append((i, ids[4 * skip :], start + skip, total))
         held, size = left, sum(len(d[1]) // 4 for d in left)
+        due = size + chunk
 
     for i, ids in docs:
         held.append((i, ids, 0, len(ids) // 4))
         size += len(ids) // 4
-        if size >= chunk:
+        if size >= due:
             yield from cut(False)
     if held:
         yield from cut(True)
@@ -237,8 +264,8 @@ def pieces(batches: Iterator[list[list]], path: str) -> Iterator[tuple]:
 def pack(docs: DataFrame, path: str | None = None) -> DataFrame:
     """Pieces of all ``docs`` (doc_id, text; other columns are not read) with their ids.
 
-    A document is its text's ids and a closing 0; a null text counts as empty. Rows with equal ids are packed one by one.
-    No documents, no pieces. Order within an input partition is kept; sequences don't span partitions.
+    A document is its text's ids and a closing 0; a null text counts as empty. Rows with equal or null ids are packed one by one; a
+    long text takes several sequences. No documents, no pieces. Order within an input partition is kept; sequences don't span partitions.
     """
     path = path or vocabulary("byte_bpe_50k.json")
 
@@ -250,7 +277,7 @@ def pack(docs: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pieces of all documents, each with its ids' checksum."""
+    """:func:`pack` of all documents: their pieces, each with its ids' checksum."""
     path = vocabulary("byte_bpe_50k.json")
 
     def run(batches: Iterator[list[list]]) -> Iterator[tuple]:
