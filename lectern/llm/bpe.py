@@ -166,7 +166,11 @@ def vocabulary(name: str) -> str:
 
 
 def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
-    """(doc_id, ids array<int>, decoded string) for every row of ``docs``; a null text counts as empty, other columns are not read."""
+    """(doc_id, ids array<int>, decoded string) for every row of ``docs`` (doc_id, text); other columns are not read.
+
+    A null text counts as empty, which has no ids; long ones are encoded whole. Rows with a null id and repeated rows each give their
+    own; an empty table gives no rows.
+    """
 
     def make():
         bpe = load(path or vocabulary("word_bpe_49k.json"))

@@ -180,8 +180,8 @@ def pair_buckets(blocks: int) -> int:
 def score(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of ``docs`` (doc_id, text).
 
-    Null and empty texts have their end token only. Other columns are not read; repeated rows count and score each on its own;
-    an empty table gives no rows.
+    Null and empty texts have their end token only; long ones are scored whole. A null id counts as one that is held out. Other
+    columns are not read; repeated rows count and score each on its own; an empty table gives no rows.
     """
     docs = docs.select("doc_id", "text")
     blocked, blocks = with_block(docs)
@@ -224,4 +224,5 @@ def score(docs: DataFrame) -> DataFrame:
 
 
 def op7_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`score` of all documents."""
     return score(table(spark, sf_dir, "documents"))

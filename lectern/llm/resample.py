@@ -25,18 +25,27 @@ LABELLED = 20_000
 #: Added to both counts, on the target's scale.
 SMOOTHING = 20.0
 SEED = 17
-CACHE = 200_000
+#: Words of a generation; a worker holds two.
+CACHE = 100_000
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 
-_words: dict[str, bytes] = {}
+_young: dict[str, bytes] = {}
+_old: dict[str, bytes] = {}
 
 
 def word_ids(word: str) -> bytes:
-    found = np.array([zlib.crc32(t.encode()) for t in TOKEN.findall(word)], np.uint32).tobytes()
+    """Hashes of a word's tokens. A word that was met lately is looked up in the generation of words before this one."""
+    global _young, _old
+    found = _old.get(word)
+    if found is None:
+        if word.isalnum():  # all word characters but the underscore
+            found = zlib.crc32(word.encode()).to_bytes(4, "little")
+        else:
+            found = np.array([zlib.crc32(t.encode()) for t in TOKEN.findall(word)], "<u4").tobytes()
     if len(word) < 64:
-        if len(_words) >= CACHE:
-            _words.clear()
-        _words[word] = found
+        if len(_young) >= CACHE:
+            _old, _young = _young, {}
+        _young[word] = found
     return found
 
 
@@ -45,24 +54,25 @@ def features(text: str | None) -> np.ndarray:
     if not text:
         return np.zeros(0, np.int64)
     words = text.split()
-    found = list(map(_words.get, words))
+    found = list(map(_young.get, words))
     if None in found:
         found = [word_ids(w) if f is None else f for w, f in zip(words, found, strict=True)]
-    t = np.frombuffer(b"".join(found), np.uint32).astype(np.int64)
+    t = np.frombuffer(b"".join(found), "<u4").astype(np.int64)
     pairs = (t[:-1] * 0x9E3779B1 + t[1:] * 0x85EBCA77) >> 7
     return np.concatenate([t, pairs]) & (BUCKETS - 1)
 
 
 def labelled(labels: DataFrame, most: int = LABELLED) -> tuple[dict[int, bool], dict[int, bool]]:
-    """Bounded (fit, held out): doc_id -> good. Rows with a null are left out; of repeated ids one counts."""
+    """Bounded (fit, held out): doc_id -> good, which is of good quality and not toxic. Rows with a null are left out; a repeated id
+    counts once, with the worst of its labels."""
     rows = labels.where("doc_id is not null and quality is not null and toxic is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
     picked = rows.orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id").limit(most).collect()
     fit: dict[int, bool] = {}
     held: dict[int, bool] = {}
     for r in picked:
-        good = r["quality"] > 0
+        good = r["quality"] > 0 and not r["toxic"]
         if zlib.crc32(str(r["doc_id"]).encode()) % 4:
-            if good and not r["toxic"]:
+            if good:
                 fit[r["doc_id"]] = True
         else:
             held[r["doc_id"]] = good
@@ -150,11 +160,15 @@ def resample(docs: DataFrame, labels: DataFrame, k: int | None = None) -> DataFr
     """(doc_id, log_weight, kept) for every row of ``docs`` (doc_id, text); other columns are not read.
 
     ``k``: how many to keep; by default, as many as weigh more than :func:`threshold`. Rows that tie at the k-th key, such as
-    repeated rows, are all kept. Without labels of both kinds, all are. Rows with a null id share one noise value.
+    repeated rows, are all kept. Without labels of both kinds, all are. Null and empty texts weigh 0, long ones are read whole. Rows
+    with a null id share one noise value. An empty table gives no rows.
     """
     fit, held = labelled(labels)
     scored = materialize(log_weights(docs, fit_ratio(docs, fit)))
-    known = {r["doc_id"]: r["log_weight"] for r in scored.join(F.broadcast(docs.sparkSession.createDataFrame([(i,) for i in held], "doc_id long")), "doc_id").collect()} if held else {}
+    known = {}
+    if held:  # LABELLED ids at most, each once
+        few = docs.sparkSession.createDataFrame([(i,) for i in held], "doc_id long")
+        known = {r["doc_id"]: r["log_weight"] for r in scored.join(F.broadcast(few), "doc_id").groupBy("doc_id").agg(F.min("log_weight").alias("log_weight")).collect()}
     if k is None:
         bar = threshold([(known[i], g) for i, g in held.items() if i in known])
         k = scored.where(F.col("log_weight") >= F.lit(bar)).count()

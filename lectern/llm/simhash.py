@@ -127,5 +127,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """:func:`near_duplicates` of all documents, fingerprints in hexadecimal."""
     found = near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

@@ -260,6 +260,45 @@ def test_quality(spark, none):
     assert resample.resample(none, labels).count() == 0
 
 
+def test_quality_query_is_the_brute_force_draw(spark, as_tables, docs, rows):
+    """Counts, ratios, weights, threshold and draw one by one; only the noise comes from the same hash of the id."""
+    import re
+
+    labels = [(i, int(i % 3 > 0), int(i % 10 == 1)) for i, _ in rows if i is not None and i < 60] + [(5, 0, 0), (None, 1, 0), (6, None, 0)]
+    got = resample.op1_quality(spark, as_tables(documents=docs, labels=spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))).collect()
+
+    def buckets(t):
+        tokens = [zlib.crc32(x.encode()) for w in (t or "").split() for x in re.findall(r"\w+|[^\w\s]+", w)]
+        return [x % resample.BUCKETS for x in tokens] + [(((a * 0x9E3779B1 + b * 0x85EBCA77) % 2**64 if a * 0x9E3779B1 + b * 0x85EBCA77 < 2**63 else a * 0x9E3779B1 + b * 0x85EBCA77 - 2**64) >> 7) % resample.BUCKETS for a, b in zip(tokens, tokens[1:])]
+
+    good = {}
+    for i, q, t in labels:
+        if i is not None and q is not None:
+            good[i] = good.get(i, True) and q > 0 and not t
+    assert len(good) < resample.LABELLED
+    held = {i: g for i, g in good.items() if zlib.crc32(str(i).encode()) % 4 == 0}
+    raw = Counter(b for _, t in rows for b in buckets(t))
+    target = Counter(b for i, t in rows if good.get(i) and i not in held for b in buckets(t))
+    scale = sum(target.values()) / sum(raw.values())
+    weight = [sum(math.log((target[b] + 20) / (raw[b] * scale + 20)) for b in buckets(t)) for _, t in rows]
+    noise = {r["doc_id"]: r["h"] for r in docs.selectExpr("doc_id", "xxhash64(doc_id, 17) as h").collect()}
+    key = [w - math.log(-math.log((((noise[i] % 2**64) >> 11) + 0.5) / 2**53)) for w, (i, _) in zip(weight, rows, strict=True)]
+    known = {}
+    for w, (i, _) in zip(weight, rows, strict=True):
+        if i in held:
+            known[i] = min(w, known.get(i, w))
+    scores = sorted((w, held[i]) for i, w in known.items())
+    told = lambda bar: sum(g for w, g in scores if w >= bar) / sum(g for _, g in scores) + sum(not g for w, g in scores if w < bar) / sum(not g for _, g in scores)
+    best = max((told(w), -k) for k, (w, _) in enumerate(scores))[1]
+    bar = (scores[-best][0] + (scores[-best - 1][0] if best else scores[0][0] - 1)) / 2
+    k = sum(w >= bar for w in weight)
+    least = sorted(key, reverse=True)[k - 1]
+    want = [(i, w) for w, x, (i, _) in zip(weight, key, rows, strict=True) if x >= least]
+    assert 0 < len(want) < len(rows)
+    shown = lambda x: sorted((str(i), round(w, 2)) for i, w in x)
+    assert shown(map(tuple, got)) == shown(want)
+
+
 def test_kth_largest(spark):
     df = spark.createDataFrame([(x * x * x - 5000,) for x in range(-300, 300)], "v long")
     values = sorted((r["v"] for r in df.collect()), reverse=True)
@@ -309,8 +348,28 @@ def test_cuts_are_the_cheapest():
                 if size <= window:
                     pad = 0 if size & (size - 1) == 0 else window - size
                     best[j] = min(best[j], best[i] + pad + cost[j] + packing.SEQUENCE)
-        cuts, total = packing.best_cuts(pos, cost, window)
+        origin, total = packing.cheapest(pos, cost, window)
+        cuts = packing.way(origin, len(pos) - 1)
         assert total == best[-1] and cuts[0] == 0 and cuts[-1] == len(pos) - 1
+        last = packing.common(origin, pos, window)
+        assert all(last in packing.way(origin, j) for j in range(len(pos)) if pos[j] > pos[-1] - window)
+
+
+@pytest.mark.parametrize("chunk", [1100, 3000, 9000])
+def test_chunks_do_not_make_the_cuts_dearer(chunk):
+    rng = np.random.default_rng(17)
+    ends = np.zeros(400, bool)
+    ends[:4] = True
+    docs = [(i, rng.integers(0, 400, int(rng.choice([1, 7, 90, 600, 4000]))).astype(np.uint32).tobytes()) for i in range(60)]
+    whole = np.frombuffer(b"".join(d for _, d in docs), np.uint32)
+    pos, cost = packing.cut_points(whole, np.cumsum([len(d) // 4 for _, d in docs]), ends)
+    _, best = packing.cheapest(pos, cost)
+    sizes = Counter()
+    for r in packing.pack_stream(iter(docs), ends, 0, chunk):
+        sizes[r[5]] += r[2]
+    at = np.cumsum([sizes[k] for k in sorted(sizes)])
+    padding = sum(0 if n & (n - 1) == 0 else packing.WINDOW - n for n in sizes.values())
+    assert padding + len(sizes) * packing.SEQUENCE + int(cost[np.searchsorted(pos, at)].sum()) == best
 
 
 def test_long_documents_cross_chunks():
