@@ -1,9 +1,9 @@
 """Language-model scoring with a log-frequency Bloom filter.
 
-Unigram counts are exact: blocks of documents exchange their distinct words with count buckets. So are the training counts of all
-pairs of words, exchanged in the same way by buckets of the pair's key; a bucket quantises them to powers of the square root of two,
-stores each as that many entries of its segments of the filter, and answers a block's keys by repeated probes until one fails.
-The segments grow with the distinct pairs of a bucket, the buckets with the corpus; none is gathered or broadcast.
+Unigram counts are exact: they are tallied over all blocks of documents. So are the training counts of all pairs of words; a bucket
+of pairs quantises them to powers of the square root of two, stores each as that many entries of its segments of the filter, and
+answers a block's pairs by repeated probes until one fails. The segments grow with the distinct pairs of a bucket, the buckets with
+the corpus; none is gathered or broadcast.
 
     P(w | u) = MIX * count(u, w) / count(u) + (1 - MIX) * P(w),   P(w) = (c + 0.1) / (N + 0.1 * (V + 1))
 
@@ -21,11 +21,13 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lectern.llm.blocks import BLOCKS_PER_BUCKET, dealt, joined, per_group, per_pair, with_block
-from lectern.llm.common import materialize, table
+from lectern.llm.blocks import GROUP, per_pair, replied, tally, with_block
+from lectern.llm.common import table
 from lectern.llm.words import of_texts
 
 MIX = 0.4
+#: Blocks whose distinct words, and pairs of words, meet in one bucket, about.
+WORD_BLOCKS, PAIR_BLOCKS = 16, 8
 SEGMENT_BITS = 1 << 23
 BITS_PER_ENTRY, PROBES = 10, 7
 LEVELS_PER_DOUBLING = 2
@@ -102,29 +104,16 @@ class Filter:
         return counted(self.level(codes), self.floor)
 
 
-def count_words(blocked: DataFrame, blocks: int) -> DataFrame:
-    """Per block and bucket, the block's keys with their training counts over the whole corpus (block >= 0); per bucket, its totals
-    (block -1: tokens, distinct words). Written to the shared folder."""
-    buckets = max(1, blocks // BLOCKS_PER_BUCKET)
+def count_words(blocked: DataFrame, blocks: int, group: int = GROUP) -> tuple[DataFrame, int]:
+    """Training counts over the whole corpus of each block's words (long), and the number of parts they come in; in block -1, per
+    bucket, the number of tokens and of distinct words."""
 
-    def ask(group: dict) -> Iterator[tuple]:
-        keys, tokens, sizes = tokenised(group["text"])
-        train = np.repeat([not is_held_out(i) for i in group["doc_id"]], sizes)
-        yield from dealt(group["block"][0], keys, np.bincount(tokens[train], minlength=len(keys)).astype(np.int64), buckets)
+    def ask(rows: dict) -> tuple[np.ndarray, np.ndarray]:
+        keys, tokens, sizes = tokenised(rows["text"])
+        train = np.repeat([not is_held_out(i) for i in rows["doc_id"]], sizes)
+        return keys, np.bincount(tokens[train], minlength=len(keys))
 
-    def answer(group: dict) -> Iterator[tuple]:
-        keys, counts = joined(group["keys"]), joined(group["values"], np.int64)
-        distinct, place = np.unique(keys, return_inverse=True)
-        totals = np.bincount(place, weights=counts, minlength=len(distinct)).astype(np.int64)
-        at = 0
-        for block, blob in zip(group["block"], group["keys"], strict=True):
-            n = len(blob) // 8
-            yield block, blob, totals[place[at : at + n]].tobytes()
-            at += n
-        yield -1, b"", np.array([totals.sum(), (totals > 0).sum()], np.int64).tobytes()
-
-    asked = per_group(blocked, ["block"], "bucket int, block int, keys binary, values binary", ask)
-    return materialize(per_group(asked, ["bucket"], "block int, keys binary, values binary", answer))
+    return tally(blocked, blocks, WORD_BLOCKS, ask, lambda keys, sums: sums, lambda keys, sums: np.array([sums.sum(), (sums > 0).sum()], np.int64), group)
 
 
 def pair_keys(keys: np.ndarray, tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -148,63 +137,39 @@ def filled(codes: np.ndarray, counts: np.ndarray) -> Filter:
     return Filter(bits, 1.0)
 
 
-def count_pairs(blocked: DataFrame, blocks: int) -> DataFrame:
-    """Per block and bucket, the quantised training counts over the whole corpus of the block's distinct pairs in that bucket, in the
-    order of their keys: (block, bucket, values), a byte each. Written to the shared folder."""
-    buckets = pair_buckets(blocks)
+def count_pairs(blocked: DataFrame, blocks: int, group: int = GROUP) -> tuple[DataFrame, int]:
+    """Quantised training counts over the whole corpus of each block's distinct pairs (a byte each), and the number of parts."""
 
-    def ask(group: dict) -> Iterator[tuple]:
-        keys, tokens, sizes = tokenised(group["text"])
+    def ask(rows: dict) -> tuple[np.ndarray, np.ndarray]:
+        keys, tokens, sizes = tokenised(rows["text"])
         pairs, place = np.unique(pair_keys(keys, tokens, sizes), return_inverse=True)
-        train = np.repeat([not is_held_out(i) for i in group["doc_id"]], sizes)
-        yield from dealt(group["block"][0], pairs, np.bincount(place[train], minlength=len(pairs)).astype(np.int32), buckets)
-
-    def answer(group: dict) -> Iterator[tuple]:
-        pairs, place = np.unique(joined(group["keys"]), return_inverse=True)
-        counts = np.bincount(place, weights=joined(group["values"], np.int32), minlength=len(pairs))
-        known = filled(pairs, counts).level(pairs).astype(np.uint8)[place]
-        at = 0
-        for block, blob in zip(group["block"], group["keys"], strict=True):
-            n = len(blob) // 8
-            yield block, group["bucket"][0], known[at : at + n].tobytes()
-            at += n
-
-    asked = per_group(blocked, ["block"], "bucket int, block int, keys binary, values binary", ask)
-    return materialize(per_group(asked, ["bucket"], "block int, bucket int, values binary", answer))
-
+        train = np.repeat([not is_held_out(i) for i in rows["doc_id"]], sizes)
+        return pairs, np.bincount(place[train], minlength=len(pairs))
 
-def pair_buckets(blocks: int) -> int:
-    return max(1, math.ceil(blocks / (BLOCKS_PER_BUCKET // 2)))
+    return tally(blocked, blocks, PAIR_BLOCKS, ask, lambda pairs, sums: filled(pairs, sums).level(pairs).astype(np.uint8), group=group)
 
 
-def score(docs: DataFrame) -> DataFrame:
+def score(docs: DataFrame, group: int = GROUP) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of ``docs`` (doc_id, text).
 
     Null and empty texts have their end token only; long ones are scored whole. A null id counts as one that is held out. Other
     columns are not read; repeated rows count and score each on its own; an empty table gives no rows.
     """
-    docs = docs.select("doc_id", "text")
-    blocked, blocks = with_block(docs)
-    words = count_words(blocked, blocks)
+    blocked, blocks = with_block(docs.select("doc_id", "text"))
+    words, word_parts = count_words(blocked, blocks, group)
     totals = [np.frombuffer(r["values"], np.int64) for r in words.where("block = -1").select("values").toLocalIterator()]
     n, v = (int(sum(t[k] for t in totals)) for k in (0, 1))
-    buckets = pair_buckets(blocks)
-    pairs = count_pairs(blocked, blocks)
-    known = words.where("block >= 0").select("block", F.lit(-1).alias("bucket"), "keys", "values").unionByName(pairs.select("block", "bucket", F.lit(None).cast("binary").alias("keys"), "values"))
+    pairs, pair_parts = count_pairs(blocked, blocks, group)
+    known = words.where("block >= 0").withColumn("pair", F.lit(False)).unionByName(pairs.withColumn("pair", F.lit(True)))
 
     def rate(left: dict, right: dict) -> Iterator[tuple]:
         if not left["doc_id"]:
             return
         keys, tokens, sizes = tokenised(left["text"])
-        c = np.zeros(len(keys))
         pair, place = np.unique(pair_keys(keys, tokens, sizes), return_inverse=True)
-        where = pair % np.uint64(buckets)
-        level = np.zeros(len(pair), np.int64)
-        for bucket, k, values in zip(right["bucket"], right["keys"], right["values"], strict=True):
-            if bucket < 0:
-                c[np.searchsorted(keys, np.frombuffer(k, np.uint64))] = np.frombuffer(values, np.int64)
-            else:
-                level[where == np.uint64(bucket)] = np.frombuffer(values, np.uint8)
+        told = list(zip(right["pair"], right["part"], right["values"], strict=True))
+        c = replied(keys, word_parts, [p for x, p, _ in told if not x], [v for x, _, v in told if not x], np.int64)
+        level = replied(pair, pair_parts, [p for x, p, _ in told if x], [v for x, _, v in told if x], np.uint8).astype(np.int64)
         unigram = (c + 0.1) / (n + 0.1 * (v + 1))
         p = unigram[tokens]
         seen = np.empty(len(tokens))

@@ -3,7 +3,7 @@
 A window is ``WINDOW`` consecutive words of one document. Its anchor is the least hash among its ``GRAM``-grams, so equal windows
 have equal anchors wherever they stand.
 
-1. Blocks of documents exchange their distinct anchors with count buckets; anchors of one document only are done with.
+1. The documents that have an anchor are tallied over all blocks; anchors of one document only are done with.
 2. Windows with a shared anchor go, in runs under the same anchor position, to the shard of that anchor: each distinct run once per
    block, with the least and the greatest document that has it there, however many do. Runs under an anchor of over ``HOT``
    documents are cut into single windows, dealt by the window's own hash, so that no shard holds a third of the corpus.
@@ -28,13 +28,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lectern.llm.blocks import BLOCKS_PER_BUCKET, dealt, joined, per_group, per_pair, with_block
+from lectern.llm.blocks import GROUP, joined, per_group, per_pair, replied, tally, with_block
 from lectern.llm.common import importable, materialize, table
 from lectern.llm.fmindex import FmIndex
 from lectern.llm.words import TO_SPACE, of_texts
 
 WINDOW, GRAM = 13, 5
 HOT = 4096
+#: Blocks whose distinct anchors meet in one bucket, about.
+ANCHOR_BLOCKS = 16
 #: A shard gets the shared runs of as much text as this many blocks have, about.
 BLOCKS_PER_SHARD = 4
 #: Rows without an id come after all others.
@@ -68,13 +70,22 @@ def anchors(h: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return starts, starts + place[starts], g
 
 
-def shared_anchors(blocked: DataFrame, blocks: int) -> DataFrame:
-    """(block, keys, values): each block's anchors that several documents have, with their number of documents."""
-    buckets = max(1, blocks // BLOCKS_PER_BUCKET)
+def own_anchors(h: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """As :func:`anchors`, and the distinct hashes of the grams that are anchors."""
+    start, place, g = anchors(h, sizes)
+    return start, place, g, np.unique(g[place]) if len(place) else np.zeros(0, np.uint64)
+
+
+#: What is known of an anchor: only one document has it, several do, or too many for one shard.
+ALONE, SHARED, OFTEN = 0, 1, 2
+
 
-    def ask(group: dict) -> Iterator[tuple]:
-        _, _, _, h, sizes = of_texts(group["text"])
-        _, place, g = anchors(h, sizes)
+def count_anchors(blocked: DataFrame, blocks: int, hot: int, group: int) -> tuple[DataFrame, int]:
+    """What is known of each block's anchors (a byte each), and the number of parts it comes in."""
+
+    def ask(rows: dict) -> tuple[np.ndarray, np.ndarray]:
+        _, _, _, h, sizes = of_texts(rows["text"])
+        _, place, g, _ = own_anchors(h, sizes)
         place = np.unique(place)
         owner = np.repeat(np.arange(len(sizes)), sizes)[place]
         key = g[place]
@@ -82,23 +93,9 @@ def shared_anchors(blocked: DataFrame, blocks: int) -> DataFrame:
         key, owner = key[order], owner[order]
         new = np.ones(len(key), bool)
         new[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
-        distinct, counts = np.unique(key[new], return_counts=True)
-        yield from dealt(group["block"][0], distinct, counts.astype(np.int32), buckets)
-
-    def answer(group: dict) -> Iterator[tuple]:
-        keys, counts = joined(group["keys"]), joined(group["values"], np.int32)
-        distinct, place = np.unique(keys, return_inverse=True)
-        total = np.bincount(place, weights=counts, minlength=len(distinct)).astype(np.int64)[place]
-        at = 0
-        for block, blob in zip(group["block"], group["keys"], strict=True):
-            end = at + len(blob) // 8
-            on = total[at:end] > 1
-            if on.any():
-                yield block, keys[at:end][on].tobytes(), np.minimum(total[at:end][on], LAST >> 32).astype(np.int32).tobytes()
-            at = end
+        return np.unique(key[new], return_counts=True)
 
-    asked = per_group(blocked, ["block"], "bucket int, block int, keys binary, values binary", ask)
-    return materialize(per_group(asked, ["bucket"], "block int, keys binary, values binary", answer))
+    return tally(blocked, blocks, ANCHOR_BLOCKS, ask, lambda keys, sums: np.where(sums > hot, OFTEN, np.where(sums > 1, SHARED, ALONE)).astype(np.uint8), group=group)
 
 
 @dataclass
@@ -111,22 +108,19 @@ class Runs:
     by_shard: dict[int, tuple[np.ndarray, np.ndarray, list[bytes]]]  # places, run of each, runs
 
 
-def cut(ids: list, texts: list, keys: np.ndarray, counts: np.ndarray, shards: int, hot: int) -> Runs | None:
-    """The runs of a block whose shared anchors are ``keys``. Distinct runs are sorted: a block's rows may come in another order when
-    they are read again."""
-    if not len(ids) or not len(keys):
-        return None
+def cut(ids: list, texts: list, told: tuple[list[int], list[bytes]], parts: int, shards: int) -> Runs | None:
+    """The runs of a block, of whose anchors ``told`` (see :func:`lectern.llm.blocks.replied`) is known. Distinct runs are sorted: a
+    block's rows may come in another order when they are read again."""
     raw, first_byte, end_byte, h, sizes = of_texts(texts)
-    raw = raw.translate(TO_SPACE)
-    start, place, g = anchors(h, sizes)
-    order = np.argsort(keys)
-    keys, counts = keys[order], counts[order]
-    own = g[place] if len(place) else np.zeros(0, np.uint64)
-    at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
-    on = keys[at] == own
-    start, place, own, often = start[on], place[on], own[on], counts[at[on]] > hot
-    if not len(start):
+    start, place, g, keys = own_anchors(h, sizes)
+    known = replied(keys, parts, *told, np.uint8)
+    if not known.any():
         return None
+    raw = raw.translate(TO_SPACE)
+    of_window = known[np.searchsorted(keys, g[place])]
+    on = of_window > ALONE
+    start, place, often = start[on], place[on], of_window[on] == OFTEN
+    own = g[place]
     new = np.ones(len(start), bool)
     new[1:] = (place[1:] != place[:-1]) | often[1:]
     first = np.flatnonzero(new)
@@ -156,11 +150,11 @@ def single_spaced(raw: bytes) -> bytes:
     return b" ".join(raw.split()) if b"  " in raw else raw
 
 
-def sent(blocked: DataFrame, shared: DataFrame, shards: int, hot: int) -> DataFrame:
+def sent(blocked: DataFrame, known: DataFrame, parts: int, shards: int) -> DataFrame:
     """(shard, block, words, low, high): each block's distinct runs, packed, with the least and the greatest document of each."""
 
     def pack(left: dict, right: dict) -> Iterator[tuple]:
-        runs = cut(left["doc_id"], left["text"], joined(right["keys"]), joined(right["values"], np.int32), shards, hot)
+        runs = cut(left["doc_id"], left["text"], (right["part"], right["values"]), parts, shards) if left["doc_id"] else None
         if runs is None:
             return
         for shard, (places, which, found) in runs.by_shard.items():
@@ -169,7 +163,7 @@ def sent(blocked: DataFrame, shared: DataFrame, shards: int, hot: int) -> DataFr
             np.maximum.at(high, which, runs.doc[places])
             yield shard, left["block"][0], zlib.compress(b"\n".join(found), 1), low.tobytes(), high.tobytes()
 
-    return per_pair(blocked, shared, "block", "shard int, block int, words binary, low binary, high binary", pack)
+    return per_pair(blocked, known, "block", "shard int, block int, words binary, low binary, high binary", pack)
 
 
 def first_documents(found: list[bytes], docs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -227,15 +221,22 @@ def report(runs: DataFrame) -> DataFrame:
     return materialize(per_group(runs, ["shard"], "block int, shard int, runs binary, least binary", search), runs)
 
 
-def removed(ids: list, texts: list, right: dict, shards: int, hot: int) -> Iterator[tuple[list[bytes], np.ndarray]]:
-    """(words, which are removed) of each row of a block; ``right``: its shared anchors (shard null) and its shards' reports."""
-    keys = [k for k, s in zip(right["keys"], right["shard"], strict=True) if s is None]
-    counts = [c for c, s in zip(right["values"], right["shard"], strict=True) if s is None]
+@dataclass(frozen=True)
+class Plan:
+    """Into how many parts what is known of anchors comes, and among how many shards runs are dealt."""
+
+    parts: int
+    shards: int
+
+
+def removed(ids: list, texts: list, right: dict, plan: Plan) -> Iterator[tuple[list[bytes], np.ndarray]]:
+    """(words, which are removed) of each row of a block; ``right``: what is known of its anchors (shard null) and its shards' reports."""
+    anchors_of = [(p, v) for p, v, s in zip(right["part"], right["values"], right["shard"], strict=True) if s is None]
     reports = [(s, r, x) for s, r, x in zip(right["shard"], right["runs"], right["least"], strict=True) if s is not None]
     words = [(t or "").encode().split() for t in texts]
     sizes = np.array([len(w) for w in words], np.int64)
     change = np.zeros(int(sizes.sum()) + 1, np.int32)
-    runs = cut(ids, texts, joined(keys), joined(counts, np.int32), shards, hot) if reports else None
+    runs = cut(ids, texts, ([p for p, _ in anchors_of], [v for _, v in anchors_of]), plan.parts, plan.shards) if reports else None
     for shard, told, least in reports:
         places, which, found = runs.by_shard[shard]
         told, least = np.frombuffer(told, np.int32), np.frombuffer(zlib.decompress(least), np.int64)
@@ -259,21 +260,21 @@ def removed(ids: list, texts: list, right: dict, shards: int, hot: int) -> Itera
         at += len(w)
 
 
-def reported(blocked: DataFrame, blocks: int, hot: int = HOT) -> tuple[DataFrame, int]:
-    """What each block needs to remove its words (see :func:`removed`), and the number of shards."""
-    shards = max(1, blocks // BLOCKS_PER_SHARD)
-    shared = shared_anchors(blocked, blocks)
-    found = report(sent(blocked, shared, shards, hot))
+def reported(blocked: DataFrame, blocks: int, hot: int = HOT, group: int = GROUP) -> tuple[DataFrame, Plan]:
+    """What each block needs to remove its words (see :func:`removed`)."""
+    known, parts = count_anchors(blocked, blocks, hot, group)
+    plan = Plan(parts, max(1, blocks // BLOCKS_PER_SHARD))
+    found = report(sent(blocked, known, parts, plan.shards))
     none = F.lit(None).cast("binary")
-    anchors_of = shared.select("block", "keys", "values", F.lit(None).cast("int").alias("shard"), none.alias("runs"), none.alias("least"))
-    return anchors_of.unionByName(found.select("block", none.alias("keys"), none.alias("values"), "shard", "runs", "least")), shards
+    left = known.select("block", "part", "values", F.lit(None).cast("int").alias("shard"), none.alias("runs"), none.alias("least"))
+    return left.unionByName(found.select("block", F.lit(None).cast("int").alias("part"), none.alias("values"), "shard", "runs", "least")), plan
 
 
 def kept_words(words: list[bytes], gone: np.ndarray) -> bytes:
     return b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g] if gone.any() else words)
 
 
-def remove_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
+def remove_repeats(docs: DataFrame, hot: int = HOT, group: int = GROUP) -> DataFrame:
     """(doc_id, n_words, n_removed, kept): every row of ``docs`` (doc_id, text) with the words kept, joined by one space.
 
     A word goes if a window over it starts in a document with a smaller id as well; windows are judged on the input. Null texts
@@ -281,10 +282,10 @@ def remove_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
     handled whole. Other columns are not read; an empty table gives no rows.
     """
     blocked, blocks = with_block(docs.select("doc_id", "text"))
-    found, shards = reported(blocked, blocks, hot)
+    found, plan = reported(blocked, blocks, hot, group)
 
     def keep(left: dict, right: dict) -> Iterator[tuple]:
-        for i, (words, gone) in zip(left["doc_id"], removed(left["doc_id"], left["text"], right, shards, hot), strict=True):
+        for i, (words, gone) in zip(left["doc_id"], removed(left["doc_id"], left["text"], right, plan), strict=True):
             yield i, len(words), int(gone.sum()), kept_words(words, gone).decode()
 
     return per_pair(blocked, found, "block", "doc_id long, n_words long, n_removed long, kept string", keep)
@@ -297,7 +298,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     plain = docs.toDF(*("doc_id" if n == "doc_id" else "text" if n == "text" else f"c{k}" for k, n in enumerate(names)))
     inner = plain.columns
     blocked, blocks = with_block(plain, *(c for c in inner if c not in ("doc_id", "text")))
-    found, shards = reported(blocked.select("doc_id", "text", "block"), blocks)
+    found, plan = reported(blocked.select("doc_id", "text", "block"), blocks)
     schema = T.StructType([T.StructField(n, docs.schema[n].dataType, True) for n in names])
     chars = names.index("n_chars") if "n_chars" in names else None
 
@@ -310,7 +311,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         ids, texts = left["doc_id"].to_pylist(), left["text"].to_pylist()
         columns = {c: left[c] for c in inner}
         out, sizes = list(texts), columns[inner[chars]].to_pylist() if chars is not None else None
-        for k, (words, gone) in enumerate(removed(ids, texts, right.to_pydict(), shards, HOT)):
+        for k, (words, gone) in enumerate(removed(ids, texts, right.to_pydict(), plan)):
             if gone.any():
                 out[k] = kept_words(words, gone).decode()
                 if sizes is not None:
@@ -327,10 +328,10 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 def op4_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digest of :func:`remove_repeats` for every document: numbers of words and of words removed, and the hash of those kept."""
     blocked, blocks = with_block(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    found, shards = reported(blocked, blocks)
+    found, plan = reported(blocked, blocks)
 
     def digest(left: dict, right: dict) -> Iterator[tuple]:
-        for i, (words, gone) in zip(left["doc_id"], removed(left["doc_id"], left["text"], right, shards, HOT), strict=True):
+        for i, (words, gone) in zip(left["doc_id"], removed(left["doc_id"], left["text"], right, plan), strict=True):
             yield i, len(words), int(gone.sum()), hashlib.sha256(kept_words(words, gone)).hexdigest()
 
     return per_pair(blocked, found, "block", "doc_id long, n_words long, n_removed long, kept_sha256 string", digest)

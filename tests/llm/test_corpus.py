@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from lectern.llm import fmindex, itq, lm, packing, resample, simhash, substrings
+from lectern.llm import blocks, fmindex, itq, lm, packing, resample, simhash, substrings
 from lectern.llm.common import connected_components
 
 xxhash = pytest.importorskip("xxhash")
@@ -111,20 +111,43 @@ def test_repeated_windows(spark, as_tables, docs, rows, none):
     assert substrings.remove_repeats(none).count() == 0
 
 
-@pytest.mark.parametrize("hot", [1, substrings.HOT])
-def test_hot_anchors_are_cut_into_windows(docs, rows, hot):
-    """With every shared anchor hot, single windows are dealt, and the result is the same."""
-    out = substrings.remove_repeats(docs, hot)
+@pytest.mark.parametrize(("hot", "group"), [(1, 1024), (substrings.HOT, 2), (1, 2)])
+def test_hot_anchors_and_merged_groups_change_nothing(monkeypatch, docs, rows, hot, group):
+    """With every shared anchor hot, single windows are dealt; with groups of two blocks, their keys are merged first."""
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", 30_000)
+    out = substrings.remove_repeats(docs, hot, group)
     assert sorted(((r["doc_id"], r["n_words"], r["n_removed"], hashlib.sha256(r["kept"].encode()).hexdigest()) for r in out.collect()), key=str) == slow_removed(rows)
 
 
+@pytest.mark.parametrize("group", [1, 3, 100])
+def test_tally(spark, monkeypatch, group):
+    """Sums over all blocks, replied to each of them, by either route."""
+    monkeypatch.setattr(blocks, "RANGES", 2)
+    rng = random.Random(group)
+    rows = [(b, " ".join(str(rng.randrange(40)) for _ in range(rng.randrange(30)))) for b in range(10)]
+    blocked = spark.createDataFrame(rows, "block int, text string")
+
+    def ask(r):
+        return np.unique(np.array([int(x) for t in r["text"] for x in t.split()], np.uint64), return_counts=True)
+
+    replies, parts = blocks.tally(blocked, 10, 2, ask, lambda k, s: (s * 2).astype(np.int16), lambda k, s: np.array([s.sum(), len(k)], np.int64), group)
+    got = replies.collect()
+    total = Counter(x for _, t in rows for x in map(int, t.split()))
+    for b, t in rows:
+        keys = np.unique(np.array([int(x) for x in t.split()], np.uint64))
+        mine = [r for r in got if r["block"] == b]
+        assert blocks.replied(keys, parts, [r["part"] for r in mine], [r["values"] for r in mine], np.int16).tolist() == [2 * total[int(k)] for k in keys]
+    assert sum(np.frombuffer(r["values"], np.int64) for r in got if r["block"] < 0).tolist() == [sum(total.values()), len(total)]
+
+
 def test_runs_do_not_depend_on_the_order_of_rows(rows):
     from lectern.llm.words import of_texts
 
     some = [(i, t) for i, t in rows if i is not None][:60]
     _, _, _, h, sizes = of_texts([t for _, t in some])
-    keys, counts = np.unique(substrings.anchors(h, sizes)[2], return_counts=True)
-    cut = lambda x: substrings.cut([i for i, _ in x], [t for _, t in x], keys, counts, 3, 5)
+    keys = substrings.own_anchors(h, sizes)[3]
+    told = [1], [bytes(np.where(keys[keys % np.uint64(2) == 1] % np.uint64(3) == 0, substrings.OFTEN, substrings.SHARED).astype(np.uint8))]
+    cut = lambda x: substrings.cut([i for i, _ in x], [t for _, t in x], told, 2, 3)
     one, other = cut(some), cut(some[::-1])
     assert {s: found for s, (_, _, found) in one.by_shard.items()} == {s: found for s, (_, _, found) in other.by_shard.items()}
     docs = lambda r: {s: sorted(zip(which.tolist(), r.doc[places].tolist(), r.windows[places].tolist())) for s, (places, which, _) in r.by_shard.items()}
@@ -209,24 +232,29 @@ def test_scores(spark, as_tables, docs, rows):
         assert r["score"] < 0
 
 
-def test_every_training_pair_counts(spark):
-    """A rare word still is a context, in a corpus whose size once raised the floors above it."""
+@pytest.mark.parametrize(("n", "group"), [(20, 1024), (200, 1024), (200, 1), (800, 1024)])
+def test_every_training_pair_counts(spark, monkeypatch, n, group):
+    """Scores against a brute-force model, at several sizes of the corpus: a rare word still is a context, and the route of the counts
+    changes nothing."""
+    monkeypatch.setattr(blocks, "BLOCK_BYTES", 300_000)
     rng = random.Random(13)
-    rows = [(i, " ".join(f"w{rng.randrange(40)}" for _ in range(3000))) for i in range(200)]
+    rows = [(i, " ".join(f"w{rng.randrange(40)}" for _ in range(3000))) for i in range(n)]
     rows += [(1000 + i, f"w1 rare{i // 2} next{i // 2} w2") for i in range(40)]
     held = lambda i: zlib.crc32(str(i).encode()) % 10 == 0
     tokens = [(i, ["", *t.split(), None]) for i, t in rows]
     c = Counter(w for i, ws in tokens if not held(i) for w in ws)
     pairs = Counter(p for i, ws in tokens if not held(i) for p in zip(ws, ws[1:]))
-    n, v = sum(c.values()) - c[""], len(c) - 1
-    got = {r["doc_id"]: r["score"] for r in lm.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    for i, ws in tokens[200:]:
-        want = 0
+    total, v = sum(c.values()) - c[""], len(c) - 1
+    got = {r["doc_id"]: r for r in lm.score(spark.createDataFrame(rows, "doc_id long, text string"), group).collect()}
+    for i, ws in tokens[-60:]:
+        want = base = 0
         for u, w in zip(ws, ws[1:]):
-            p = (c[w] + 0.1) / (n + 0.1 * (v + 1))
+            p = (c[w] + 0.1) / (total + 0.1 * (v + 1))
             low = 2.0 ** (math.floor(2 * math.log2(pairs[u, w]) + 1e-9) / 2) if pairs[u, w] else 0
             want += math.log10(lm.MIX * low / c[u] + (1 - lm.MIX) * p if c[u] else p)
-        assert got[i] == pytest.approx(want, rel=1e-6, abs=0.05)
+            base += math.log10(p)
+        assert got[i]["base_score"] == pytest.approx(base, rel=1e-9) and got[i]["train_tokens"] == total
+        assert got[i]["score"] == pytest.approx(want, rel=2e-3, abs=0.05)
 
 
 def test_bloom_filter_never_undercounts():
