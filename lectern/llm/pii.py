@@ -53,17 +53,20 @@ CUES = {
     "birth": (("born", "birth", "dob", "geboren", "geburt", "nacid", "nacimiento", "né le", "née le", "naissance"), ("published", "updated", "version", "posted", "on sale", "due")),
     "name": (("name is", "dear", "signed", "hello", "patient", "llamo", "appelle", "heiße", "contact", "regards", "mr", "mrs", "dr"), ("street", "saint", "university", "prize", "avenue", "award")),
 }
-TITLED = r"\b(?:Mr|Mrs|Ms|Dr|Herr|Frau|Mme|Sr|Sra)\.? [A-Z][a-zà-ÿ]+(?: [A-Z][a-zà-ÿ]+)?|\b(?:[Mm]y name is|[Ii]ch heiße|[Mm]e llamo|[Jj]e m'appelle) [A-Z][a-zà-ÿ]+(?: [A-Z][a-zà-ÿ]+)?"
-#: Loose shapes of a kind, and a text without one of whose parts there is none. No shape starts inside a run it could have started at.
+TITLED = re.compile(r"\b(?:M(?:rs?|s|me)|Dr|Herr|Frau|Sra?)\.? [A-Z][a-zà-ÿ]++(?: [A-Z][a-zà-ÿ]++)?")
+INTRODUCED = re.compile(r"\b(?:[Mm]y name is|[Ii]ch heiße|[Mm]e llamo|[Jj]e m'appelle) [A-Z][a-zà-ÿ]++(?: [A-Z][a-zà-ÿ]++)?")
+#: Loose shapes of each kind, in order, and the parts of which a text with a match has one (none: any text may have one). No shape
+#: starts inside a run it could have started at.
 LOOSE = (
-    ("email", re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?[\[(] ?at ?[\])] ?[A-Za-z0-9-]++(?: ?[\[(] ?dot ?[\])] ?[A-Za-z0-9-]++)+"), "at"),
-    ("phone", re.compile(r"(?<![0-9+(.-])(?:\([0-9]{3}\) ?|[0-9]{3}[-. ])[0-9]{3}[-. ][0-9]{4}(?![0-9]|[-.][0-9])"), None),
-    ("ssn", re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"), "-"),
-    ("iban", re.compile(r"(?<![A-Z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Z0-9])"), None),
-    ("birth", re.compile(r"(?<![0-9./-])(?:[0-9]{1,2}([./-])[0-9]{1,2}\1(?:19|20)[0-9]{2}|(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2})(?![0-9]|[./-][0-9])"), None),
-    ("name", re.compile(TITLED + r"|\b(?:" + "|".join(sorted(FIRST_NAMES)) + r") [A-Z][a-zà-ÿ]++"), " "),
-)
-TITLE = re.compile(TITLED)
+    ("email", re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?[\[(] ?at ?[\])] ?[A-Za-z0-9-]++(?: ?[\[(] ?dot ?[\])] ?[A-Za-z0-9-]++)+"), ("at]", "at )", "at)", "at ]")),
+    ("phone", re.compile(r"(?<![0-9+(.-])(?:\([0-9]{3}\) ?|[0-9]{3}[-. ])[0-9]{3}[-. ][0-9]{4}(?![0-9]|[-.][0-9])"), ()),
+    ("ssn", re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9]|-[0-9])"), ("-",)),
+    ("iban", re.compile(r"(?<![A-Z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Z0-9])"), ()),
+    ("birth", re.compile(r"(?<![0-9./-])(?:[0-9]{1,2}([./-])[0-9]{1,2}\1(?:19|20)[0-9]{2}|(?:19|20)[0-9]{2}-[0-9]{2}-[0-9]{2})(?![0-9]|[./-][0-9])"), ("/", "-", ".19", ".20")),
+    ("name", TITLED, ("Mr", "Ms", "Mme", "Dr", "Herr", "Frau", "Sr")),
+    ("name", INTRODUCED, ("name is ", "heiße ", "llamo ", "appelle ")),
+    ("name", re.compile(r"\b[A-Z][a-zà-ÿ]++ [A-Z][a-zà-ÿ]++"), ()),
+)
 LABELERS = ("shape", "gazetteer", "context")
 #: kinds x base or not x 3 ** labelers x features (line start, length, digits, followed by a letter or digit).
 MOST_PATTERNS = len(KINDS) * 2 * 27 * 2 * 4 * 4 * 2
@@ -153,12 +156,16 @@ def candidates(text: str | None, base: list[tuple[str, int, int]]) -> list[tuple
     """Base spans and looser ones that overlap none of them nor an earlier one of their kind, with their patterns."""
     if not text:
         return []
-    spans = [(k, s, e, True) for k, s, e in base]
-    free = free_of(base)
-    for kind, shape, part in LOOSE:
-        if part is None or part in text:
-            spans += [(kind, m.start(), m.end(), False) for m in shape.finditer(text) if free(m.start(), m.end())]
-    return [(k, s, e, pattern(text, k, s, e, strict)) for k, s, e, strict in spans]
+    found, free = [], free_of(base)
+    for kind, shape, parts in LOOSE:
+        if parts and not any(p in text for p in parts):
+            continue
+        new = [(kind, m.start(), m.end()) for m in shape.finditer(text) if free(m.start(), m.end())]
+        if kind == "name":  # two capitalised words are a candidate only if the first is a first name
+            apart = free_of([x for x in found if x[0] == kind])
+            new = [x for x in new if apart(x[1], x[2]) and (shape in (TITLED, INTRODUCED) or text[x[1] : text.index(" ", x[1])] in FIRST_NAMES)]
+        found += new
+    return [(k, s, e, pattern(text, k, s, e, True)) for k, s, e in base] + [(k, s, e, pattern(text, k, s, e, False)) for k, s, e in found]
 
 
 def shape_vote(kind: str, span: str, strict: bool) -> int:
@@ -170,7 +177,7 @@ def shape_vote(kind: str, span: str, strict: bool) -> int:
         day = [int(x) for x in re.findall("[0-9]+", span)]
         return 0 if sorted(day)[0] >= 1 and sorted(day)[1] <= 31 and sorted(day)[0] <= 12 else -1
     if kind == "name":
-        return 1 if TITLE.match(span) else 0
+        return 1 if TITLED.match(span) or INTRODUCED.match(span) else 0
     if kind == "phone":
         return 1 if span[0] == "(" else 0
     return 1 if kind == "email" else 0
