@@ -79,8 +79,6 @@ class ByteTokens:
         """Ids of a space and ``word``; None where the tokens depend on what stands around them."""
         if not word or word[0].isspace():
             return None
-        if word.isalpha():
-            return self.piece(" " + word)
         if word[-1] in ".,!?;:" and word[:-1].isalpha():
             return (self.young.get(word[:-1]) or self.old.get(word[:-1]) or self.part(" " + word[:-1])) + self.part(word[-1])
         return b"".join([self.part(w) for w in self.pattern.findall(" " + word)])
@@ -88,6 +86,8 @@ class ByteTokens:
     def miss(self, word: str) -> bytes | None:
         if word in self.old:
             found = self.old[word]
+        elif word.isalpha():
+            found = array("I", self.merged(" " + word)).tobytes()
         else:
             found = self.after_space(word)
         if len(word) < 64:
@@ -148,27 +148,31 @@ def cheapest(pos: np.ndarray, cost: np.ndarray, window: int = WINDOW) -> tuple[l
     m = len(pos)
     where = np.full(int(pos[-1]) + 1, -1, np.int64)
     where[pos] = np.arange(m)
-    exact: dict[int, list[int]] = {}  # end -> beginnings a power of two before it
+    ends, begins = [], []  # cuts that lie a power of two apart
     n = 1
     while n < window:
         j = np.flatnonzero(pos >= n)
         i = where[pos[j] - n]
-        for a, b in zip(i[i >= 0].tolist(), j[i >= 0].tolist(), strict=True):
-            exact.setdefault(b, []).append(a)
+        ends.append(j[i >= 0])
+        begins.append(i[i >= 0])
         n *= 2
+    ends, begins = np.concatenate(ends), np.concatenate(begins)
+    order = np.argsort(ends, kind="stable")
+    begins, upto = begins[order].tolist(), np.cumsum(np.bincount(ends, minlength=m)).tolist()
     at, pen = pos.tolist(), cost.tolist()
     f, origin = [0] * m, [0] * m
-    queue, keys, head = [0], [at[0]], 0
+    queue, keys, head, taken = [0], [at[0]], 0, 0
     for j in range(1, m):
         p = at[j]
         while p - at[queue[head]] > window:
             head += 1
         i = queue[head]
         best = keys[head] + window - p
-        if j in exact:
-            for e in exact[j]:
-                if f[e] < best:
-                    best, i = f[e], e
+        while taken < upto[j]:
+            e = begins[taken]
+            taken += 1
+            if f[e] < best:
+                best, i = f[e], e
         f[j] = total = best + pen[j] + SEQUENCE
         origin[j] = i
         key = total + p
