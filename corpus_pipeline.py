@@ -22,7 +22,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     rows at the last weight that is taken all stay. An empty table gives an empty one.
     """
     kept = resample(docs, table(spark, sf_dir, "labels")).where("kept and doc_id is not null").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").unionByName(docs.where("doc_id is null"))
+    return docs.join(kept, "doc_id", "left_semi").unionByName(docs.where("doc_id is null")).select(docs.columns)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +32,7 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     Null, empty and blank texts are near-duplicates of each other. Long texts are compared whole. An empty table gives an empty one.
     """
     kept = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").unionByName(docs.where("doc_id is null"))
+    return docs.join(kept, "doc_id", "left_semi").unionByName(docs.where("doc_id is null")).select(docs.columns)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
