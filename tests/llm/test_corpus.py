@@ -409,6 +409,12 @@ def test_long_documents_cross_chunks():
     assert [r[1] for r in out if r[0] == 1] == np.cumsum([0] + [r[2] for r in out if r[0] == 1])[:-1].tolist()
 
 
+def test_empty_tables(spark, as_tables, none):
+    folder = as_tables(documents=none, labels=spark.createDataFrame([], "doc_id long, quality int, toxic int"), embeddings=spark.createDataFrame([], "vec_id long, embedding array<float>, label int"))
+    for query in (resample.op1_quality, simhash.op3_simhash, substrings.op4_substrings, packing.op5_packing, lm.op7_lm, itq.op10_itq):
+        assert query(spark, folder).count() == 0
+
+
 # ---- embeddings
 
 

@@ -51,3 +51,35 @@ def test_rows_of_shared_and_null_ids_keep_their_own_text(spark):
     got = corpus_pipeline.substring_dedup(spark, docs, "").collect()
     want = [(1, rows[0][1]), (5, own[1]), (5, own[2]), (5, own[3]), (None, own[4]), (None, own[5])]
     assert sorted(map(tuple, got), key=str) == sorted(((i, t, len(t)) for i, t in want), key=str)
+
+
+def test_edges_of_the_stages(spark, as_tables):
+    """Null ids and texts, empty and long texts, repeated rows and further columns with clashing names, stage by stage; empty tables."""
+    rng = random.Random(4)
+    prose = lambda n: " ".join(f"{rng.choice(['the', 'of', 'and', 'to'])} w{rng.randrange(300)}" for _ in range(n))
+    shared = prose(60)
+    rows = [(i, prose(60)) for i in range(40)] + [(50, None), (51, ""), (None, prose(80)), (None, shared), (52, shared + " " + prose(30)), (53, prose(20) + " " + shared), (54, prose(20_000)), (7, None)]
+    rows += [rows[3], rows[3], (60, rows[3][1])]
+    full = [(t, i, "en", "s", len(t or ""), f"b{k}", 1, [k]) for k, (i, t) in enumerate(rows)]
+    docs = spark.createDataFrame(full, "text string, doc_id long, lang string, source string, n_chars long, block string, shard int, words array<int>")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(30)], "doc_id long, quality int, toxic int")  # of one kind: all stay
+    folder = as_tables(labels=labels)
+    at = docs
+    for name, stage in corpus_pipeline.STAGES:
+        before = at.collect()
+        at = spark.read.parquet(as_tables(x=stage(spark, at, folder)) + "/x.parquet")
+        if name == "packing":
+            assert at.select("doc_id").distinct().count() == len({r["doc_id"] for r in before})
+            break
+        after = at.collect()
+        assert at.columns == docs.columns
+        assert all(r["n_chars"] == len(r["text"] or "") for r in after)
+        if name == "simhash near-dedup":
+            assert 60 not in {r["doc_id"] for r in after} and sum(r["doc_id"] == 3 for r in after) == 3 and sum(r["doc_id"] is None for r in after) == 2
+        else:
+            assert sorted(r["block"] for r in after) == sorted(r["block"] for r in before)
+    none = docs.where("doc_id < 0")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, none, folder)
+        assert out.count() == 0 and (name == "packing" or out.columns == docs.columns)
+    assert corpus_pipeline.run(spark, as_tables(documents=none, labels=labels.limit(0))).count() == 0

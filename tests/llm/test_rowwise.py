@@ -471,3 +471,10 @@ def slow_feature(payload):
             cuts.append(i + 1)
     edges = [*cuts, len(hist)]
     return f"frames={len(hist)};shots={len(cuts)};" + ",".join(f"{a / 25:.2f}-{b / 25:.2f}" for a, b in zip(edges, edges[1:]))
+
+
+def test_empty_tables(spark, as_tables, none):
+    folder = as_tables(documents=none)
+    for query in (pii.op2_pii, bpe.op6_bpe, secrets.op8_secret_scan, avi.op9_avi):
+        assert query(spark, folder).count() == 0
+    assert bpe.encode(none).count() == 0
