@@ -133,3 +133,8 @@ def percent(value: Column, base: Column) -> Column:
 
 def append_distinct(items: Column, extra: Column) -> Column:
     return F.array_distinct(F.concat(F.coalesce(items, F.array().cast("array<string>")), F.array(extra)))
+
+
+def preview(c: Column, most: int = 40) -> Column:
+    """The beginning of a text, for logs."""
+    return F.substring(c, 1, most)

@@ -108,6 +108,11 @@ def text_normalize_compare(spark, d):
     return docs(spark, d).select("doc_id", text.normalize_lines(t).alias("listening"), text.normalize_lines(t, lone_cr=True).alias("speaking"), text.normalize_text(t).alias("plain"))
 
 
+@query("SELECT doc_id, left(text, 40) AS preview FROM documents")
+def text_preview(spark, d):
+    return docs(spark, d).select("doc_id", text.preview(F.col("text")).alias("preview"))
+
+
 @query(r"SELECT doc_id, replace(text, chr(10), '\n') AS literal FROM documents")
 def text_literal_newline(spark, d):
     return docs(spark, d).select("doc_id", text.literal_newlines(F.col("text")).alias("literal"))

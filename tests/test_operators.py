@@ -2,7 +2,8 @@ from pyspark.sql import functions as F
 
 import pytest
 
-from lectern.operators import assign, export, load, report, sample, sinks, stats
+from lectern.operators import assign, charts, export, load, report, sample, sinks, stats
+from lectern.sources import store
 from lectern.sources.files import read_consolidated, read_csv, read_jdbc
 from lectern.streaming.load import load_stream
 
@@ -174,3 +175,43 @@ def test_store_tables_over_jdbc(spark, tmp_path):
     back = read_jdbc(spark, url, "nodes", **driver, partitionColumn="id", lowerBound="0", upperBound="10", numPartitions="2")
     assert back.rdd.getNumPartitions() == 2
     assert sorted((r["id"], r["title"]) for r in back.collect()) == [(i, f"n{i}") for i in range(10)]
+
+
+def test_charts(spark, tmp_path):
+    from xml.etree import ElementTree
+
+    nodes = spark.createDataFrame([(i, 1 + i % 2, f"n{i}", ["VOCAB", "LISTENING", "REVIEW"][i % 3], i) for i in range(12)], "id long, skill_tree_id long, title string, node_type string, order_index int")
+    trees = spark.createDataFrame([(1, 1, 0), (2, 2, 0)], "id long, level_id int, order_index int")
+    q = spark.createDataFrame([(i, i % 12, 1 + i % 2, "VOCAB" if i % 4 else "<odd & type>") for i in range(120)], "id long, node_id long, level_id int, question_type string")
+    charts.write_charts(stats.charts(q, nodes, trees), str(tmp_path / "charts"))
+    found = {p.stem: ElementTree.parse(p).getroot() for p in (tmp_path / "charts").glob("*.svg")}
+    assert sorted(found) == ["balance-score-by-level", "node-balance-by-skill", "node-coverage-by-level", "node-distribution-level-1", "node-distribution-level-2", "question-by-level", "skill-ratio-by-level", "skill-x-question-type"]
+    tips = {name: [t.text for t in root.iter("{http://www.w3.org/2000/svg}title")] for name, root in found.items()}
+    assert "Level 1 (50.0%): 60" in tips["question-by-level"]
+    assert "VOCAB - <odd & type>: 10" in tips["skill-x-question-type"]
+    assert "Node 3 - VOCAB: 10" in tips["node-distribution-level-2"]
+
+
+def test_chart_shapes():
+    assert charts.pie(["a", "b", "c"], [1, 3, 0], "t").count("<path") == 2 and charts.pie(["a"], [5], "t").count("<circle") == 1
+    assert charts.pie([], [], "t").endswith("</svg>") and charts.bars([], [], "t").endswith("</svg>") and charts.grouped_bars([], {}, "t").endswith("</svg>")
+    height = lambda svg, tip: float(svg[: svg.index(tip)].rsplit('height="', 1)[1].split('"')[0])
+    one = charts.stacked_bars(["x", "y"], {"a": [1, 2], "b": [3, 2]}, "t")
+    assert height(one, "x, b: 3") == pytest.approx(3 * height(one, "x, a: 1"), abs=0.2)
+
+
+def test_store_fallback():
+    tried = []
+
+    def connect(uri):
+        tried.append(uri)
+        if uri == "a":
+            raise OSError("querySrv ENOTFOUND")
+        if uri == "c":
+            raise OSError("refused")
+        return uri
+
+    assert store.with_fallback(connect, "a", "b") == "b" and tried == ["a", "b"]
+    for uri, direct in (("a", None), ("c", "b")):
+        with pytest.raises(OSError):
+            store.with_fallback(connect, uri, direct)
