@@ -13,20 +13,27 @@ GAP = "_{2,}"
 GAP_MARK = "_______"
 
 
+#: White space as ECMAScript defines it.
+WHITE = "\t\n\u000b\u000c\r \u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000\ufeff"
+
+
 def trim_unicode(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)^[\s\x{FEFF}]+|[\s\x{FEFF}]+$", "")
+    return F.trim(c, F.lit(WHITE))
 
 
 def normalize_space(c: Column) -> Column:
-    """One space for every run of white space, none at the ends."""
+    """One space for every run of white space, none at the ends; a lone space of another kind than these stays."""
     spaced = F.regexp_replace(F.replace(c, F.lit("\u00a0"), F.lit(" ")), r"[\t\r\n\f]+", " ")
-    return trim_unicode(F.regexp_replace(spaced, r"(?U)[\s\x{FEFF}]{2,}", " "))
+    return trim_unicode(F.regexp_replace(spaced, r"[\s\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}]{2,}", " "))
 
 
 def normalize_lines(c: Column, lone_cr: bool = False) -> Column:
     """LF line ends (a lone CR too, if asked), single spaces, trimmed; line breaks stay."""
-    lf = F.regexp_replace(c, r"\r\n?" if lone_cr else r"\r\n", "\n")
-    return trim_unicode(F.regexp_replace(F.replace(lf, F.lit("\u00a0"), F.lit(" ")), r"[ \t]+", " "))
+    lf = F.replace(c, F.lit("\r\n"), F.lit("\n"))
+    if lone_cr:
+        lf = F.replace(lf, F.lit("\r"), F.lit("\n"))
+    # only what isn't one space already is matched
+    return trim_unicode(F.regexp_replace(lf, "[\t\u00a0][ \t\u00a0]*| [ \t\u00a0]+", " "))
 
 
 def normalize_text(c: Column) -> Column:
