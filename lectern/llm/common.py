@@ -21,10 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def importable(df: DataFrame) -> DataFrame:
-    """Let Python workers find this package where it isn't installed (on a cluster, ship it with --py-files)."""
+    """Let Python workers find this package where it isn't installed (on a cluster, ship it with --py-files), and give freed arrays
+    back to the system instead of keeping them for the next stage."""
     env, root = df.sparkSession.sparkContext.environment, str(Path(__file__).resolve().parents[2])
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH"), root]))
+    env.setdefault("MALLOC_MMAP_THRESHOLD_", "1048576")
+    env.setdefault("MALLOC_TRIM_THRESHOLD_", "1048576")
+    env.setdefault("ARROW_DEFAULT_MEMORY_POOL", "system")
     return df
 
 

@@ -25,41 +25,41 @@ LABELLED = 20_000
 #: Added to both counts, on the target's scale.
 SMOOTHING = 20.0
 SEED = 17
-#: Words of a generation; a worker holds two.
+#: Words of a generation.
 CACHE = 100_000
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 
-_young: dict[str, bytes] = {}
-_old: dict[str, bytes] = {}
-
-
-def word_ids(word: str) -> bytes:
-    """Hashes of a word's tokens. A word that was met lately is looked up in the generation of words before this one."""
-    global _young, _old
-    found = _old.get(word)
-    if found is None:
-        if word.isalnum():  # all word characters but the underscore
-            found = zlib.crc32(word.encode()).to_bytes(4, "little")
-        else:
-            found = np.array([zlib.crc32(t.encode()) for t in TOKEN.findall(word)], "<u4").tobytes()
-    if len(word) < 64:
-        if len(_young) >= CACHE:
-            _old, _young = _young, {}
-        _young[word] = found
-    return found
-
-
-def features(text: str | None) -> np.ndarray:
-    """Buckets of a text's tokens (runs of word characters or of others) and of neighbouring pairs, repeats included."""
-    if not text:
-        return np.zeros(0, np.int64)
-    words = text.split()
-    found = list(map(_young.get, words))
-    if None in found:
-        found = [word_ids(w) if f is None else f for w, f in zip(words, found, strict=True)]
-    t = np.frombuffer(b"".join(found), "<u4").astype(np.int64)
-    pairs = (t[:-1] * 0x9E3779B1 + t[1:] * 0x85EBCA77) >> 7
-    return np.concatenate([t, pairs]) & (BUCKETS - 1)
+class Words:
+    """Hashes of the tokens of words. A task keeps two generations of words that it met lately."""
+
+    def __init__(self):
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def miss(self, word: str) -> bytes:
+        found = self.old.get(word)
+        if found is None:
+            if word.isalnum():  # all word characters but the underscore
+                found = zlib.crc32(word.encode()).to_bytes(4, "little")
+            else:
+                found = np.array([zlib.crc32(t.encode()) for t in TOKEN.findall(word)], "<u4").tobytes()
+        if len(word) < 64:
+            if len(self.young) >= CACHE:
+                self.old, self.young = self.young, {}
+            self.young[word] = found
+        return found
+
+    def features(self, text: str | None) -> np.ndarray:
+        """Buckets of a text's tokens (runs of word characters or of others) and of neighbouring pairs, repeats included."""
+        if not text:
+            return np.zeros(0, np.int64)
+        words = text.split()
+        found = list(map(self.young.get, words))
+        if None in found:
+            found = [self.miss(w) if f is None else f for w, f in zip(words, found, strict=True)]
+        t = np.frombuffer(b"".join(found), "<u4").astype(np.int64)
+        pairs = (t[:-1] * 0x9E3779B1 + t[1:] * 0x85EBCA77) >> 7
+        return np.concatenate([t, pairs]) & (BUCKETS - 1)
 
 
 def labelled(labels: DataFrame, most: int = LABELLED) -> tuple[dict[int, bool], dict[int, bool]]:
@@ -84,9 +84,9 @@ def fit_ratio(docs: DataFrame, fit: dict[int, bool], smoothing: float = SMOOTHIN
     chosen = docs.sparkSession.sparkContext.broadcast(frozenset(fit))
 
     def run(batches: Iterator[list[list]]) -> Iterator[tuple]:
-        raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+        raw, target, words = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64), Words()
         for ids, texts in batches:
-            found = [features(t) for t in texts]
+            found = [words.features(t) for t in texts]
             raw += np.bincount(np.concatenate(found), minlength=BUCKETS)
             good = [f for i, f in zip(ids, found, strict=True) if i in chosen.value]
             if good:
@@ -107,11 +107,11 @@ def log_weights(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(ratio)
 
     def make():
-        r = shared.value
+        r, words = shared.value, Words()
 
         def rows(cols: list[list]) -> Iterator[tuple]:
             for i, text in zip(*cols, strict=True):
-                yield i, float(r[features(text)].sum(dtype=np.float64))
+                yield i, float(r[words.features(text)].sum(dtype=np.float64))
 
         return rows
 
