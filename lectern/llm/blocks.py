@@ -63,7 +63,7 @@ def dealt(keys: np.ndarray, values: np.ndarray, parts: int) -> Iterator[tuple[in
     """(part, keys, values) of sorted uint64 ``keys``, by key modulo ``parts``; keys stay sorted."""
     if not len(keys):
         return
-    where = (keys % np.uint64(parts)).astype(np.int64)
+    where = (keys % np.uint64(parts)).astype(np.uint16 if parts <= 1 << 16 else np.int64)  # short numbers sort by radix
     order = np.argsort(where, kind="stable")
     where, keys, values = where[order], keys[order], values[order]
     cuts = [0, *(np.flatnonzero(np.diff(where)) + 1).tolist(), len(where)]

@@ -26,8 +26,8 @@ def importable(df: DataFrame) -> DataFrame:
     env, root = df.sparkSession.sparkContext.environment, str(Path(__file__).resolve().parents[2])
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH"), root]))
-    env.setdefault("MALLOC_MMAP_THRESHOLD_", "1048576")
-    env.setdefault("MALLOC_TRIM_THRESHOLD_", "1048576")
+    env.setdefault("MALLOC_MMAP_THRESHOLD_", "4194304")
+    env.setdefault("MALLOC_TRIM_THRESHOLD_", "8388608")
     env.setdefault("ARROW_DEFAULT_MEMORY_POOL", "system")
     return df
 

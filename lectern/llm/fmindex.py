@@ -11,11 +11,11 @@ import numpy as np
 def suffix_order(text: np.ndarray, depth: int) -> np.ndarray:
     """Positions sorted by the ``depth`` symbols from each on (prefix doubling); patterns up to that length can be searched."""
     rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
-    k, order = 1, np.argsort(rank, kind="stable")
+    k, order = 1, np.argsort(rank)
     while k < depth:
         key = rank * (int(rank.max()) + 2)
         key[:-k] += rank[k:] + 1
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         step = np.concatenate([[0], np.cumsum(key[order][1:] != key[order][:-1])])
         rank = np.empty_like(rank)
         rank[order] = step

@@ -70,10 +70,12 @@ def anchors(h: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return starts, starts + place[starts], g
 
 
-def own_anchors(h: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """As :func:`anchors`, and the distinct hashes of the grams that are anchors."""
+def own_anchors(h: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """As :func:`anchors`, then the distinct anchor positions and how many windows each has; positions never fall from one window to
+    the next, so those of one anchor follow each other."""
     start, place, g = anchors(h, sizes)
-    return start, place, g, np.unique(g[place]) if len(place) else np.zeros(0, np.uint64)
+    first = np.flatnonzero(np.diff(place, prepend=-1))
+    return start, place, g, place[first], np.diff(np.append(first, len(place)))
 
 
 #: What is known of an anchor: only one document has it, several do, or too many for one shard.
@@ -85,15 +87,13 @@ def count_anchors(blocked: DataFrame, blocks: int, hot: int, group: int) -> tupl
 
     def ask(rows: dict) -> tuple[np.ndarray, np.ndarray]:
         _, _, _, h, sizes = of_texts(rows["text"])
-        _, place, g, _ = own_anchors(h, sizes)
-        place = np.unique(place)
-        owner = np.repeat(np.arange(len(sizes)), sizes)[place]
-        key = g[place]
-        order = np.lexsort((owner, key))
+        _, _, g, position, _ = own_anchors(h, sizes)
+        owner, key = np.searchsorted(np.cumsum(sizes), position, side="right"), g[position]
+        order = np.argsort(key, kind="stable")  # owners stay in order within a key
         key, owner = key[order], owner[order]
-        new = np.ones(len(key), bool)
-        new[1:] = (key[1:] != key[:-1]) | (owner[1:] != owner[:-1])
-        return np.unique(key[new], return_counts=True)
+        other = np.diff(key, prepend=key[:1] ^ np.uint64(1)) != 0
+        first = np.flatnonzero(other)
+        return key[first], np.add.reduceat(other | (np.diff(owner, prepend=-1) != 0), first, dtype=np.int64) if len(first) else first
 
     return tally(blocked, blocks, ANCHOR_BLOCKS, ask, lambda keys, sums: np.where(sums > hot, OFTEN, np.where(sums > 1, SHARED, ALONE)).astype(np.uint8), group=group)
 
@@ -112,12 +112,13 @@ def cut(ids: list, texts: list, told: tuple[list[int], list[bytes]], parts: int,
     """The runs of a block, of whose anchors ``told`` (see :func:`lectern.llm.blocks.replied`) is known. Distinct runs are sorted: a
     block's rows may come in another order when they are read again."""
     raw, first_byte, end_byte, h, sizes = of_texts(texts)
-    start, place, g, keys = own_anchors(h, sizes)
+    start, place, g, position, windows = own_anchors(h, sizes)
+    keys, which = np.unique(g[position], return_inverse=True)
     known = replied(keys, parts, *told, np.uint8)
     if not known.any():
         return None
     raw = raw.translate(TO_SPACE)
-    of_window = known[np.searchsorted(keys, g[place])]
+    of_window = np.repeat(known[which], windows)
     on = of_window > ALONE
     start, place, often = start[on], place[on], of_window[on] == OFTEN
     own = g[place]
@@ -175,9 +176,11 @@ def first_documents(found: list[bytes], docs: np.ndarray) -> tuple[np.ndarray, n
     sizes = np.array([r.count(b" ") + 1 for r in found])
     windows = sizes - WINDOW + 1
     begin = np.concatenate([[0], np.cumsum(windows)])
-    number: dict[bytes, int] = {}
-    word = np.fromiter((number.setdefault(w, len(number)) for r in found for w in r.split(b" ")), np.int64, int(sizes.sum()))
-    del number
+    words = b" ".join(found).split(b" ")
+    distinct = dict.fromkeys(words)
+    number = dict(zip(distinct, range(len(distinct)), strict=True))
+    word = np.fromiter(map(number.__getitem__, words), np.int64, len(words))
+    del words, distinct, number
     # symbol 0 parts runs and stands for words that occur once: no window with one of them is elsewhere too
     often = np.bincount(word) > 1
     symbol = np.where(often, np.cumsum(often), 0)[word]

@@ -145,7 +145,9 @@ def test_runs_do_not_depend_on_the_order_of_rows(rows):
 
     some = [(i, t) for i, t in rows if i is not None][:60]
     _, _, _, h, sizes = of_texts([t for _, t in some])
-    keys = substrings.own_anchors(h, sizes)[3]
+    _, place, g, position, windows = substrings.own_anchors(h, sizes)
+    assert np.repeat(position, windows).tolist() == place.tolist() and (np.diff(position) > 0).all()
+    keys = np.unique(g[position])
     told = [1], [bytes(np.where(keys[keys % np.uint64(2) == 1] % np.uint64(3) == 0, substrings.OFTEN, substrings.SHARED).astype(np.uint8))]
     cut = lambda x: substrings.cut([i for i, _ in x], [t for _, t in x], told, 2, 3)
     one, other = cut(some), cut(some[::-1])
