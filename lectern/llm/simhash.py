@@ -5,6 +5,11 @@ A fingerprint has 8 positional bytes. Two that differ in at most 3 bits differ i
 positional bytes of each half (8 lists each). Within a list, the shared positional bytes of a pair are tallied, pairs below 5
 are dropped, and the rest are verified bit by bit. Copies are folded first: the index holds each fingerprint once. Lists over
 ``TILE`` are dealt to several tasks as pairs of tiles. What leaves a list is a forest over its linked members, not its pairs.
+
+:func:`similar_documents` does the same for word shingles and a Jaccard similarity. There 64 bits tell too little (at 0.8 some 10 of
+them differ), so the positional bytes are 64 and come from min-hashes: lists under 16 groups of four positions, a tally of shared
+bytes per pair with the minimum that similar pairs reach, and whole shingle sets to verify. A pair at 0.8 is in none of the lists
+with a probability of 0.0002, and below the minimum with one of 0.000001.
 """
 
 from __future__ import annotations
@@ -17,6 +22,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.llm.common import connected_components, dealt_in_tiles, map_rows, map_stream, materialize, table
+from lectern.llm.itq import grouped
+from lectern.llm.signatures import digest, shingle_sets, signature
+from lectern.llm.signatures import links_within as similar_within
 
 WORDS, SEED, MOST_BITS = 3, 42, 3
 SHARED = 8 - MOST_BITS
@@ -126,6 +134,52 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
+def similar_documents(docs: DataFrame, words: int = 5, least: float = 0.8, tile: int = 4096) -> DataFrame:
+    """(doc_id, component_id) for every row of ``docs`` (doc_id, text); other columns are not read.
+
+    Documents whose sets of ``words``-word shingles have a Jaccard similarity of ``least`` or more are linked; component_id is the
+    smallest doc_id that links reach, the row's own included. Words are split and lowered as bytes (ASCII). Null, empty and blank
+    texts equal each other. Repeated rows give repeated rows. Rows with a null id get their component all the same, null where
+    nothing else is linked. An empty table gives no rows.
+    """
+
+    def printed():
+        def rows(cols: list[list]) -> Iterator[tuple]:
+            for i, own in zip(cols[0], shingle_sets(cols[1], words), strict=True):
+                yield i, digest(own), *signature(own)
+
+        return rows
+
+    def whole():
+        def rows(cols: list[list]) -> Iterator[tuple]:
+            for own in shingle_sets(cols[0], words):
+                yield digest(own), own.tobytes()
+
+        return rows
+
+    def link(batches: Iterator[list[list]]) -> Iterator[tuple]:
+        for _, group in grouped(batches, 3):
+            if len(group) > 1:
+                reps, signs, blobs = zip(*group, strict=True)
+                yield from similar_within(list(reps), list(signs), [np.frombuffer(b, np.uint64) for b in blobs], least)
+
+    prints = materialize(map_rows(docs.select("doc_id", "text"), "doc_id long, digest binary, sign binary, lists array<long>", printed))
+    unique = materialize(prints.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("sign").alias("sign"), F.first("lists").alias("lists")))
+    listed = unique.where("rep is not null").select("digest", "rep", "sign", F.explode("lists").alias("list"))
+    # of lists with the same members one is enough
+    sums = listed.groupBy("list").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("low"), F.max("rep").alias("high"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("sum"))
+    lists = sums.where("n > 1").groupBy("n", "low", "high", "sum").agg(F.min("list").alias("list")).select("list")
+    shared = materialize(listed.join(lists, "list"))
+    # a rep's id may belong to rows of other texts too, so sets are found again by their digest
+    again = docs.join(shared.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select("text")
+    sets = map_rows(again, "digest binary, shingles binary", whole).dropDuplicates(["digest"])
+    members = shared.join(sets, "digest").select("list", "rep", "sign", "shingles")
+    dealt = dealt_in_tiles(members, ["list"], "rep", tile).select("list", "a", "b", "rep", "sign", "shingles")
+    parts = connected_components(map_stream(dealt, "u long, v long", link))
+    named = unique.join(parts, unique.rep == parts.id, "left").select("digest", F.coalesce("component", "rep").alias("component_id"))
+    return prints.select("doc_id", "digest").join(named, "digest").select("doc_id", "component_id")
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """:func:`near_duplicates` of all documents, fingerprints in hexadecimal."""
     found = near_duplicates(table(spark, sf_dir, "documents"))
