@@ -11,7 +11,7 @@ from lectern.llm.common import materialize, table
 from lectern.llm.packing import pack
 from lectern.llm.resample import resample
 from lectern.llm.secrets import redact_documents
-from lectern.llm.shingles import near_duplicates
+from lectern.llm.simhash import similar_documents
 from lectern.llm.substrings import without_repeats
 
 
@@ -31,7 +31,7 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
     Null, empty and blank texts are near-duplicates of each other. Long texts are compared whole. An empty table gives an empty one.
     """
-    kept = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
+    kept = similar_documents(docs).where("doc_id = component_id").select("doc_id").distinct()
     return docs.join(kept, "doc_id", "left_semi").unionByName(docs.where("doc_id is null")).select(docs.columns)
 
 
